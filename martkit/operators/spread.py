@@ -39,7 +39,7 @@ _COPIES = "__copies"
 def estimated_bytes(df: DataFrame) -> int:
     """Size of a frame as Spark's optimizer estimates it, without running it."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(stats.sizeInBytes())
 
 
 def _threshold(df: DataFrame) -> int:

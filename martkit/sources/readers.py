@@ -58,8 +58,15 @@ def read_json_records(
 def read_json_rejects(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str
 ) -> DataFrame:
-    """File and text of the records that could not be decoded."""
-    bad = with_source_file(_json(spark, path, schema)).where(F.col(CORRUPT).isNotNull())
+    """File and text of the records that could not be decoded.
+
+    Spark refuses to read the corrupt record column alone, hence the condition
+    on a data column, which always holds.
+    """
+    first = q(as_schema(schema).fieldNames()[0]).cast("string")
+    bad = with_source_file(_json(spark, path, schema)).where(
+        F.col(CORRUPT).isNotNull() & (F.coalesce(first, F.lit("")) >= "")
+    )
     return bad.select("source_file", CORRUPT)
 
 
