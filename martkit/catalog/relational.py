@@ -34,7 +34,9 @@ def latest_movement_flag(spark, sf):
         "event_id", F.col("user_id").alias("deal_id"), F.col("ts").alias("timestamp")
     )
     flagged = history.flag_latest(moves, "deal_id", "timestamp", "flg_ultimo_movimento")
-    out = joins.member_flag(flagged, active_customers(spark, sf), "deal_id", "flag_deal_ativo")
+    out = joins.member_flag(
+        flagged, active_customers(spark, sf), "deal_id", "flag_deal_ativo", counts_from=moves
+    )
     return out.withColumn("date", F.to_date("timestamp")).drop("timestamp")
 
 
@@ -680,9 +682,8 @@ def scd2_from_snapshots(spark, sf):
 )
 def snapshot_diff(spark, sf):
     snaps = daily_snapshots(spark, sf)
-    ends = snaps.agg(F.min("d").alias("first"), F.max("d").alias("last"))
-    both = snaps.join(F.broadcast(ends))
-    old, new = both.where("d = first"), both.where("d = last")
+    old = snaps.where(F.col("d") == snaps.agg(F.min("d")).scalar())
+    new = snaps.where(F.col("d") == snaps.agg(F.max("d")).scalar())
     return history.snapshot_diff(old, new, ["event_type", "user_id"], ["bucket"])
 
 

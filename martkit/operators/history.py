@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from martkit.functions.dates import open_end
 from martkit.operators.filters import current_rows
 from martkit.operators.project import q
-from martkit.operators.spread import ROWS_PER_TASK, hot_from_counts, left_lookup
+from martkit.operators.spread import ROWS_PER_TASK, left_lookup
 
 
 def flag_latest(
@@ -29,11 +29,7 @@ def flag_latest(
         F.max(q(ts)).alias("__newest"), F.count(F.lit(1)).alias("__n")
     )
     out = left_lookup(
-        df.drop(alias),
-        per_key.drop("__n"),
-        [key],
-        nulls_match=True,
-        hot=hot_from_counts(per_key, [key], rows_per_task),
+        df.drop(alias), per_key, [key], nulls_match=True, count_col="__n",
         rows_per_task=rows_per_task,
     )
     return out.withColumn(alias, (q(ts) == F.col("__newest")).cast("bigint")).drop("__newest")
@@ -176,13 +172,14 @@ def remap_to_current(
     The mapping has one row per id, so the fact keeps its row count.
     """
     mapping = id_mapping(history, history_id, natural_key, end_col)
+    source = fact
     for col in id_cols:
         one = mapping.select(
             F.col("__id").cast(fact.schema[col].dataType).alias(col),
             F.col("__current").cast(fact.schema[col].dataType).alias("__to"),
         )
         fact = (
-            left_lookup(fact, one, [col])
+            left_lookup(fact, one, [col], counts_from=source)
             .withColumn(col, F.coalesce("__to", q(col)))
             .drop("__to")
         )

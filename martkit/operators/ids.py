@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from martkit.functions.text import strip
 from martkit.operators.project import q
-from martkit.operators.spread import ROWS_PER_TASK, hot_from_counts, left_lookup
+from martkit.operators.spread import ROWS_PER_TASK, left_lookup
 from martkit.workspace import reliable
 
 _PART = "__part"
@@ -64,11 +64,7 @@ def add_dim_ids(
     """
     numbered = number_labels(label_counts(df, col, include_null), col, id_col)
     out = left_lookup(
-        df.drop(id_col),
-        numbered.drop("__n"),
-        [col],
-        nulls_match=include_null,
-        hot=hot_from_counts(numbered, [col], rows_per_task),
+        df.drop(id_col), numbered, [col], nulls_match=include_null, count_col="__n",
         rows_per_task=rows_per_task,
     )
     value = q(id_col).cast("bigint")

@@ -14,10 +14,14 @@ from martkit.operators.spread import left_lookup
 
 
 def lookup_default(
-    df: DataFrame, dim: DataFrame, keys: Sequence[str], defaults: Mapping[str, object]
+    df: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    defaults: Mapping[str, object],
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left lookup; a key without a match gets the default."""
-    out = left_lookup(df, dim, keys)
+    out = left_lookup(df, dim, keys, counts_from=counts_from)
     types = {f.name: f.dataType for f in dim.schema.fields}
     return out.withColumns(
         {c: F.coalesce(q(c), F.lit(v).cast(types[c])) for c, v in defaults.items()}
@@ -51,15 +55,25 @@ def keep_members(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(q(key)), key, "left_semi")
 
 
+def _as_text(df: DataFrame | None, key: str) -> DataFrame | None:
+    return None if df is None else df.select(q(key).cast("string").alias("__id"))
+
+
 def member_flag(
-    df: DataFrame, other: DataFrame, key: str, alias: str, as_text: bool = False
+    df: DataFrame,
+    other: DataFrame,
+    key: str,
+    alias: str,
+    as_text: bool = False,
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """1 where the key, compared as text, is in the other frame, else 0."""
     members = other.select(q(key).cast("string").alias("__id")).where(
         F.col("__id").isNotNull()
     ).distinct().withColumn("__is_member", F.lit(1))
     out = left_lookup(
-        df.drop(alias).withColumn("__id", q(key).cast("string")), members, ["__id"]
+        df.drop(alias).withColumn("__id", q(key).cast("string")), members, ["__id"],
+        counts_from=_as_text(counts_from, key),
     )
     flag = F.coalesce(F.col("__is_member"), F.lit(0)).cast("string" if as_text else "bigint")
     return out.withColumn(alias, flag).drop("__id", "__is_member")
@@ -133,12 +147,14 @@ def enrich_attributes(
     map_col: str,
     labels: DataFrame,
     aliases: Mapping[str, str],
+    counts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the aliased attributes of each row's owner, empty text if none."""
     wide = map_to_columns(owners, owner_key, map_col, labels, aliases)
-    wide = wide.withColumnRenamed(owner_key, "__owner").withColumn(
-        "__owner", F.col("__owner").cast("string")
+    wide = wide.withColumn("__id", q(owner_key).cast("string")).drop(owner_key)
+    out = left_lookup(
+        df.withColumn("__id", q(key).cast("string")), wide, ["__id"],
+        counts_from=_as_text(counts_from, key),
     )
-    out = left_lookup(df.withColumn("__owner", q(key).cast("string")), wide, ["__owner"])
     cols = list(dict.fromkeys(aliases.values()))
-    return out.withColumns({c: F.coalesce(q(c), F.lit("")) for c in cols}).drop("__owner")
+    return out.withColumns({c: F.coalesce(q(c), F.lit("")) for c in cols}).drop("__id")

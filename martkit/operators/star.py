@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from martkit.operators.dedup import dedup_by_key
 from martkit.operators.project import q, select_all
 from martkit.operators.spread import left_lookup
-from pyspark.sql import functions as F
 
 
 def build_dim(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -40,6 +40,8 @@ def build_fact(
     """
     if natural_key is None or load_col is None:
         return select_all(df, cols)
-    newest = df.groupBy(*[q(k) for k in natural_key]).agg(F.max(q(load_col)).alias("__newest"))
-    kept = left_lookup(df, newest, natural_key, nulls_match=True)
+    newest = df.groupBy(*[q(k) for k in natural_key]).agg(
+        F.max(q(load_col)).alias("__newest"), F.count(F.lit(1)).alias("__n")
+    )
+    kept = left_lookup(df, newest, natural_key, nulls_match=True, count_col="__n")
     return select_all(kept.where(q(load_col).eqNullSafe(F.col("__newest"))), cols)

@@ -35,13 +35,13 @@ def silver_moves(
         events = events.withColumns(
             {new: F.coalesce(new, old) for old, new in c.MOVE_RENAMES.items()}
         ).drop(*c.MOVE_RENAMES)
-    df = all_to_string(rename_aliases(events, c.MOVE_RENAMES))
+    source = all_to_string(rename_aliases(events, c.MOVE_RENAMES))
     df = enrich_attributes(
-        df, persons, "person_id", "id", "fields", person_fields, c.UTM_ALIASES
+        source, persons, "person_id", "id", "fields", person_fields, c.UTM_ALIASES
     )
     df = df.withColumn("fk_allstages", pipe_key(F.col("new_stage_id"), F.col("pipeline_id")))
     known = deals.select(F.col("id").alias("deal_id"))
-    df = member_flag(df, known, "deal_id", "deal_ativo", as_text=True)
+    df = member_flag(df, known, "deal_id", "deal_ativo", as_text=True, counts_from=source)
     schema = c.text_schema(c.MOVE_COLUMNS)
     return align_to_contract(df, schema, dict.fromkeys(c.MOVE_COLUMNS, ""))
 

@@ -18,6 +18,8 @@ from martkit.operators.project import null_tokens as apply_null_tokens
 from martkit.operators.project import q, rename_aliases, select_all
 
 CORRUPT = "_corrupt_record"
+# Fixed value: the id of the writing job in the name of a part file.
+SPARK_JOB_IN_NAME = r"^part-\d+-([0-9a-f-]{36})"
 # Fixed value: smaller Parquet files cannot hold a table.
 MIN_PARQUET_BYTES = 100
 # Fixed value: the version stamp in file and folder names.
@@ -183,25 +185,36 @@ def read_parquet_feed(
     """The Parquet files that lie directly in a folder, as one frame.
 
     Tiny and unreadable files are skipped, and so is a file that lacks a
-    required column after renaming. One footer per file is looked at on the
-    driver; the files are then read in one scan per distinct schema. Without
-    ``required`` the columns are the union over all files.
+    required column after renaming. Files that one Spark job wrote share a job
+    id in their names and a schema, so one footer per writing job is looked at
+    (one per file for other files); the files are then read in one scan per
+    distinct schema. Without ``required`` the columns are the union over all
+    files.
     """
     found = list_files(spark, path.rstrip("/") + "/*.parquet")
-    paths = [r["path"] for r in found.where(F.col("length") >= min_bytes).select("path").collect()]
+    job = F.regexp_extract("name", SPARK_JOB_IN_NAME, 1)
+    groups = (
+        found.where(F.col("length") >= min_bytes)
+        .groupBy(F.when(job != "", job).otherwise(F.col("path")))
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .collect()
+    )
 
-    def footer(p: str):
-        try:
-            return p, spark.read.parquet(p).schema
-        except PySparkException:
-            return p, None
+    def footer(paths: list[str]) -> T.StructType | None:
+        for p in paths:
+            try:
+                return spark.read.parquet(p).schema
+            except PySparkException:
+                continue
+        return None
 
-    by_schema: dict[str, list] = defaultdict(list)
+    by_schema: dict[str, list[str]] = defaultdict(list)
     schemas: dict[str, T.StructType] = {}
     with ThreadPoolExecutor(16) as pool:
-        for p, schema in pool.map(footer, sorted(paths)):
+        every = sorted(g["paths"] for g in groups)
+        for paths, schema in zip(every, pool.map(footer, every)):
             if schema is not None:
-                by_schema[schema.json()].append(p)
+                by_schema[schema.json()] += paths
                 schemas[schema.json()] = schema
     frames = []
     for key, group in by_schema.items():
