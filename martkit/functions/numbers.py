@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from martkit.functions.text import strip
 
-# A whole or decimal number with nothing around it. Spark's own cast also takes
-# padded text, "NaN" and the Java suffixes "1.0d"/"1.0f", which are not numbers here.
+# A whole or decimal number with nothing around it. Spark's own casts also take
+# padded text, "NaN", "Infinity", hexadecimal and the Java suffixes "1.0d"/"1.0f".
 _LONG = r"^[+-]?[0-9]+\z"
 _DOUBLE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
@@ -33,8 +33,8 @@ def truncated(c: Column) -> Column:
 
 
 def comma_to_dot(c: Column) -> Column:
-    """Only the first comma changes, so text with two separators stays no number."""
-    return F.regexp_replace(c, r"^([^,]*),", "$1.")
+    """Decimal comma to point; text with two separators is no number either way."""
+    return F.replace(c, F.lit(","), F.lit("."))
 
 
 def decimal_comma(c: Column, default: float | None = 0.0) -> Column:
@@ -49,7 +49,8 @@ def scrub_int(c: Column) -> Column:
 
 def scrub_float(c: Column) -> Column:
     """First comma to dot, then digits, dots and minus signs only."""
-    return to_double(F.regexp_replace(comma_to_dot(c), r"[^0-9.\-]", ""), 0.0)
+    dotted = F.regexp_replace(c, r"^([^,]*),", "$1.")
+    return to_double(F.regexp_replace(dotted, r"[^0-9.\-]", ""), 0.0)
 
 
 def brl_to_decimal(c: Column) -> Column:

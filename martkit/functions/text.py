@@ -14,6 +14,8 @@ BLANK_TOKENS = ("", "none", "nan")
 UNKNOWN_LIST = "unknown_list"
 CUSTOM_PREFIX = "cf__"
 
+_LONGEST_BLANK = max(map(len, BLANK_TOKENS))
+
 # White space that plain trim() leaves in place, the no-break space included.
 SPACES = " \t\n\x0b\f\r\u00a0"
 
@@ -36,7 +38,8 @@ def null_tokens(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 def blank_to_zero(c: Column) -> Column:
     """Trimmed text, or "0" for null, blank, none and nan in any case."""
     t = strip(c)
-    return F.when(t.isNull() | F.lower(t).isin(*BLANK_TOKENS), F.lit("0")).otherwise(t)
+    blank = (F.octet_length(t) <= _LONGEST_BLANK) & F.lower(t).isin(*BLANK_TOKENS)
+    return F.when(t.isNull() | blank, F.lit("0")).otherwise(t)
 
 
 def is_text(c: Column) -> Column:

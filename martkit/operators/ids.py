@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from martkit.functions.text import strip
 from martkit.operators.project import q
 from martkit.operators.spread import ROWS_PER_TASK, left_lookup
-from martkit.workspace import reliable
+from martkit.workspace import written
 
 _PART = "__part"
 
@@ -22,15 +22,15 @@ def label_counts(df: DataFrame, col: str, include_null: bool = False) -> DataFra
 def number_labels(counts: DataFrame, col: str, id_col: str, start: int = 1) -> DataFrame:
     """Consecutive ids over distinct labels in sort order, null last.
 
-    The labels are range-partitioned and written to the checkpoint folder, so
-    the partition of a label stays the same however often it is read. Each
-    partition then numbers its own labels and adds the number of labels in the
-    partitions before it; only the per-partition sizes meet in one task.
+    The labels are range-partitioned and written with their partition number to
+    the shared folder, so that number stays the same however often it is read.
+    Each partition then numbers its own labels and adds the number of labels in
+    the partitions before it; only the per-partition sizes meet in one task.
     """
     ranged = counts.repartitionByRange(q(col).asc_nulls_last()).withColumn(
         _PART, F.spark_partition_id()
     )
-    fixed = reliable(ranged)
+    fixed = written(ranged)
     sizes = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -56,13 +56,16 @@ def add_dim_ids(
     missing: int | None = 0,
     include_null: bool = False,
     as_text: bool = False,
+    counts_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Attach the dense id of each row's label; no label gives ``missing``.
 
     The label counts that the ids are built from also tell which labels are hot.
+    They may be taken from an earlier stage of the frame with the same labels.
     """
-    numbered = number_labels(label_counts(df, col, include_null), col, id_col)
+    base = df if counts_from is None else counts_from
+    numbered = number_labels(label_counts(base, col, include_null), col, id_col)
     out = left_lookup(
         df.drop(id_col), numbered, [col], nulls_match=include_null, count_col="__n",
         rows_per_task=rows_per_task,

@@ -5,8 +5,8 @@ to a big frame. The size of the small side decides how:
 
 * Spark's own estimate is below the broadcast threshold: broadcast join.
 * Otherwise the estimate says little (an aggregate is estimated as large as its
-  input), so the small side is computed once, written to the checkpoint folder
-  and measured. Below ``BROADCAST_BYTES`` it is broadcast: the big side is not
+  input), so the small side is computed once, written to the shared folder and
+  measured. Below ``BROADCAST_BYTES`` it is broadcast: the big side is not
   shuffled at all, however few and hot its keys are.
 * Above that both sides are shuffled. If some keys are hot, their rows are
   spread over several tasks by a hash of the row, and the one matching row is
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.operators.project import q
-from martkit.workspace import reliable
+from martkit.workspace import written
 
 ROWS_PER_TASK = 5_000_000
 BROADCAST_BYTES = 64 << 20
@@ -130,12 +130,12 @@ def left_lookup(
     threshold = broadcast_threshold(small)
     if estimated_bytes(small) <= threshold:
         return big.join(F.broadcast(right_side(small)), on, "left").drop(*renamed)
-    small = reliable(small)
+    small = written(small)
     if threshold >= 0 and measured_bytes(small) <= broadcast_bytes:
         return big.join(F.broadcast(right_side(small)), on, "left").drop(*renamed)
 
     if count_col is None:
-        hot = reliable(hot_keys(big if counts_from is None else counts_from, keys, rows_per_task))
+        hot = written(hot_keys(big if counts_from is None else counts_from, keys, rows_per_task))
     else:
         hot = hot_from_counts(small, keys, count_col, rows_per_task)
     if hot.isEmpty():

@@ -58,10 +58,11 @@ def combine_ads(frames: Sequence[DataFrame]) -> DataFrame:
     types = {x: "string" for x in text} | {"data": "date"}
     types |= {x: "bigint" for x in c.ADS_B_INTS} | {x: "double" for x in c.ADS_B_FLOATS}
     schema = T.StructType.fromDDL(", ".join(f"{x} {types[x]}" for x in c.ADS_B_AD_COLUMNS))
-    df = stack_relaxed(*[align_to_contract(f, schema) for f in frames])
+    rows = df = stack_relaxed(*[align_to_contract(f, schema) for f in frames])
     for label in ("dispositivo", "rede"):
         df = add_dim_ids(
-            df, label, f"id_{label}", missing=None, include_null=True, as_text=True
+            df, label, f"id_{label}", missing=None, include_null=True, as_text=True,
+            counts_from=rows,
         )
     return select_present(df, c.ADS_B_AD_COLUMNS)
 

@@ -1,4 +1,4 @@
-"""The shared folder for checkpoints and for tables a job writes and reads back."""
+"""The shared folder for tables that a job writes and reads back."""
 
 from __future__ import annotations
 
@@ -33,9 +33,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so that a lost executor cannot change the rows."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, lineage cut.
+
+    A lost executor cannot change its rows, later steps read only the columns
+    they need, and Spark knows its size.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
