@@ -53,15 +53,19 @@ def crm_inputs(spark, sf):
         F.when(F.col("r_regionkey") == 0, F.lit("UTM Campaign")).otherwise(F.col("r_name")).alias("name"),
     )
     status = F.when(F.col("c_acctbal") < 0, F.lit("deleted")).otherwise(F.lit("open"))
-    deals = customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), status.alias("status"))
-    # three snapshots: one name changes, one stage is gone in the second, one lacks a field
+    # customers of one segment never had a deal
+    deals = customer.where("c_mktsegment <> 'BUILDING'").select(
+        F.col("c_custkey").alias("id"), status.alias("status")
+    )
+    # three snapshots: some names change, some stages are gone in the second, some lack a field
     stages = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("stage_id"),
         F.col("s_name").alias("stage_name"),
         (F.col("s_suppkey") % 9).cast("int").alias("stage_order_nr"),
         (F.col("s_suppkey") % 5).alias("pipeline_id"),
         F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("n"),
-    ).where("not (n = 2 and stage_id % 4 = 1)")
+        (F.col("s_acctbal") > 5000).alias("gap"),
+    ).where("not (n = 2 and gap)")
     stages = stages.select(
         "stage_id", "stage_name", "stage_order_nr", "pipeline_id",
         F.when((F.col("n") < 3) | (F.col("stage_id") % 3 != 0), F.lit("Funnel"))
@@ -106,7 +110,7 @@ CRM_FACT = """
            CAST(p.c_custkey AS VARCHAR) AS person_phone,
            s.s_name AS stage_name
     FROM f LEFT JOIN customer p ON person_id = p.c_custkey
-    LEFT JOIN customer d ON deal_id = d.c_custkey AND d.c_custkey % 2 = 0 AND d.c_acctbal >= 0
+    LEFT JOIN customer d ON deal_id = d.c_custkey AND d.c_mktsegment <> 'BUILDING' AND d.c_acctbal >= 0
     LEFT JOIN supplier s ON new_stage_id = s_suppkey
     """,
 )
@@ -130,7 +134,7 @@ def mart_crm(spark, sf):
     "mart_crm_stage_history",
     """
     WITH s AS (SELECT s_suppkey AS id, s_name, s_suppkey % 5 AS pipeline_id, CAST(s_suppkey % 9 AS INTEGER) AS o,
-                      s_suppkey % 4 = 1 AS gap, s_suppkey % 3 = 0 AS renamed FROM supplier),
+                      s_acctbal > 5000 AS gap, s_suppkey % 3 = 0 AS renamed FROM supplier),
     v AS (
       SELECT *, 'Funnel' AS p, TIMESTAMP '2025-01-01' AS a,
              CASE WHEN gap THEN TIMESTAMP '2025-01-02' WHEN renamed THEN TIMESTAMP '2025-01-03'
@@ -428,8 +432,10 @@ def mart_ads_a(spark, sf):
         ).alias("creative"),
     )
     thumbs = F.struct(F.array(F.struct(F.concat(F.lit("thumb"), i).alias("uri"))).alias("data"))
-    media = users.where("user_id % 5 in (0, 3)").select(
-        F.when(kind == 0, F.concat(F.lit("v"), i)).otherwise(F.concat(F.lit("1_"), i)).alias("id"),
+    # media are known for the videos of one kind of user and the posts of another
+    prefix = F.when(kind == 0, "v").when(kind == 3, "1_").otherwise("none")
+    media = users.select(
+        F.concat(prefix, i).alias("id"),
         F.when(kind == 0, F.concat(F.lit("https://www.facebook.com/v/videos/"), i))
         .otherwise(F.concat(F.lit("https://example.org/p/1_"), i)).alias("permalink_url"),
         F.lit("").alias("picture"),
@@ -660,10 +666,11 @@ def contact_inputs(spark, sf):
         F.col("user_id").alias("contact"), (F.col("event_id") % 7).alias("field"),
         F.when(F.col("event_id") % 6 != 0, F.col("event_type")).alias("value"), F.col("event_id").alias("pos"),
     )
-    tags = table(spark, sf, "nation").where("n_nationkey <> 3").select(
+    tags = table(spark, sf, "nation").select(
         text("n_nationkey").alias("id"), F.col("n_name").alias("tag")
     )
-    contact_tags = orders.select(F.col("o_custkey").alias("contact"), (F.col("o_orderkey") % 9).alias("tag"))
+    # tag ids from 25 on have no tag
+    contact_tags = orders.select(F.col("o_custkey").alias("contact"), (F.col("o_orderkey") % 30).alias("tag"))
     lists = table(spark, sf, "region").select(
         text("r_regionkey").alias("id"),
         F.when(F.col("r_regionkey") == 4, F.lit(" ")).otherwise(F.col("r_name")).alias("name"),
@@ -696,7 +703,7 @@ CONTACT_FIELDS = """
     f"""
     WITH {CONTACT_FIELDS},
     t AS (SELECT o_custkey, string_agg(DISTINCT n_name, ', ' ORDER BY n_name) AS tags
-          FROM orders JOIN nation ON o_orderkey % 9 = n_nationkey AND n_nationkey <> 3 GROUP BY 1),
+          FROM orders JOIN nation ON o_orderkey % 30 = n_nationkey GROUP BY 1),
     l AS (SELECT o_custkey, string_agg(DISTINCT x, ', ' ORDER BY x) AS lists
           FROM (SELECT o_custkey, CASE WHEN r_regionkey = 4 THEN 'unknown_list' ELSE r_name END ||
                        CASE WHEN o_orderstatus <> 'F' THEN ' [' || o_orderstatus || ']' ELSE '' END AS x

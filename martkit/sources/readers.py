@@ -203,7 +203,7 @@ def read_parquet_feed(
     def footer(paths: list[str]) -> T.StructType | None:
         for p in paths:
             try:
-                return spark.read.parquet(p).schema
+                return spark.read.option("ignoreCorruptFiles", True).parquet(p).schema
             except PySparkException:
                 continue
         return None

@@ -30,12 +30,17 @@ def write_version(df: DataFrame, path: str, version: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False, sep: str = ",") -> None:
-    """CSV with a header, on request with a byte order mark for spreadsheets."""
+    """CSV with a header, on request with a byte order mark for spreadsheets.
+
+    Values keep their surrounding white space, which Spark's writer drops by default.
+    """
     if bom:
         df = df.withColumnRenamed(df.columns[0], _BOM + df.columns[0])
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option(
-        "escape", '"'
-    ).csv(path)
+    options = {
+        "header": True, "sep": sep, "escape": '"',
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def backup_table(spark: SparkSession, path: str, backup: str) -> None:
