@@ -70,6 +70,11 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
 
 
+def _fits(table: DataFrame, limit: int) -> bool:
+    """Whether a written table is small in memory; a large file need not be read for that."""
+    return estimated_bytes(table) <= limit and measured_bytes(table) <= limit
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more rows than one task should hold, and how many tasks they need.
 
@@ -131,7 +136,7 @@ def left_lookup(
     if estimated_bytes(small) <= threshold:
         return big.join(F.broadcast(right_side(small)), on, "left").drop(*renamed)
     small = written(small)
-    if threshold >= 0 and measured_bytes(small) <= broadcast_bytes:
+    if threshold >= 0 and _fits(small, broadcast_bytes):
         return big.join(F.broadcast(right_side(small)), on, "left").drop(*renamed)
 
     if count_col is None:
