@@ -46,10 +46,11 @@ def scd2_from_snapshots(
     """Validity intervals of each key from full snapshots.
 
     A version ends when the next snapshot shows other attributes or lacks the
-    key; a key that returns opens a new version. Duplicate keys inside one
-    snapshot are merged first (lowest attributes win), map-side, so a key has at
-    most one row per snapshot when it reaches its window task. The snapshot
-    times are one row per load, small enough for one task and for a broadcast.
+    key; a key that returns opens a new version. Of several rows of a key in one
+    snapshot the one with the lowest attributes counts; they are merged map-side,
+    so a key has one row per snapshot when it reaches its window task. All windows
+    share one shuffle and one sort. The snapshot times are one row per load, small
+    enough for one task and for a broadcast.
     """
     by_time = Window.orderBy("__ts")
     times = (
@@ -61,32 +62,27 @@ def scd2_from_snapshots(
             F.lead("__ts").over(by_time).alias("__next"),
         )
     )
-    names = [f"__k{i}" for i in range(len(keys))]
-    merged = df.groupBy(q(ts).alias("__ts"), *[q(k).alias(n) for k, n in zip(keys, names)]).agg(
-        F.min(F.struct(*[q(a) for a in attrs])).alias("__attrs")
+    key, attr = [f"__k{i}" for i in range(len(keys))], [f"__a{i}" for i in range(len(attrs))]
+    merged = df.groupBy(q(ts).alias("__ts"), *[q(k).alias(n) for k, n in zip(keys, key)]).agg(
+        F.min(F.struct(*[q(a).alias(n) for a, n in zip(attrs, attr)])).alias("__attrs")
     )
-    placed = merged.join(F.broadcast(times), "__ts")
-    w = Window.partitionBy(*names).orderBy("__idx")
-    starts = (
-        F.lag("__idx").over(w).isNull()
-        | (F.col("__idx") - F.lag("__idx").over(w) != 1)
-        | ~F.col("__attrs").eqNullSafe(F.lag("__attrs").over(w))
+    rows = merged.select("__ts", *key, "__attrs.*").join(F.broadcast(times), "__ts")
+    in_time = Window.partitionBy(*key).orderBy("__idx")
+    whole = in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = {f"{c}_before": F.lag(c).over(in_time) for c in ("__idx", "__next", *attr)}
+    compared = rows.withColumns({**before, "__key_end": F.last("__next").over(whole)})
+    changed = reduce(or_, [_differs(F.col(a), F.col(f"{a}_before")) for a in attr])
+    gap = F.coalesce(F.col("__idx") - F.col("__idx_before") != 1, F.lit(True))
+    # a version lasts until the snapshot after the last one that shows it
+    next_start = F.lead("__idx").over(in_time)
+    end = F.when(next_start.isNull(), F.col("__key_end")).otherwise(
+        F.lead("__next_before").over(in_time)
     )
-    versions = (
-        placed.withColumn("__starts", starts.cast("int"))
-        .withColumn("__version", F.sum("__starts").over(w))
-        .groupBy(*names, "__version")
-        .agg(
-            F.first("__attrs").alias("__attrs"),
-            F.min("__ts").alias(start_col),
-            F.max_by(F.struct("__next"), "__idx").alias("__last"),
-        )
-    )
-    return versions.select(
-        *[F.col(n).alias(k) for k, n in zip(keys, names)],
-        *[F.col("__attrs")[a].alias(a) for a in attrs],
-        F.col(start_col),
-        F.coalesce(F.col("__last")["__next"].cast("timestamp_ntz"), open_end()).alias(end_col),
+    return compared.where(gap | changed).select(
+        *[F.col(n).alias(k) for n, k in zip(key, keys)],
+        *[F.col(n).alias(a) for n, a in zip(attr, attrs)],
+        F.col("__ts").alias(start_col),
+        F.coalesce(end.cast("timestamp_ntz"), open_end()).alias(end_col),
     )
 
 
