@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martkit.catalog.registry import query, table
 from martkit.catalog.scalar import money
 from martkit.operators.project import select_all
+from martkit.operators.star import attach_dims
 from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
 from martkit.plans import contracts as c
 
@@ -127,7 +128,7 @@ def mart_crm(spark, sf):
          "timestamp", "date", "flg_ultimo_movimento", "flag_deal_ativo", "utm_campaign", "utm_source",
          "utm_medium", "comment"],
     )
-    return fact.join(persons, "person_id", "left").join(stages, "new_stage_id", "left")
+    return attach_dims(fact, {"person_id": persons, "new_stage_id": stages})
 
 
 @query(
@@ -260,7 +261,7 @@ ADS_B_METRICS = """
 def mart_ads_b_campaign(spark, sf):
     campaigns = ads_b.silver(ads_b.bronze(ads_b_sheet(spark, sf)))
     fact = ads_b.build_fact(campaigns, c.FATO_CAMPANHA)
-    return fact.join(ads_b.build_dim(campaigns, c.DIM_CAMPANHA), "id_campanha")
+    return attach_dims(fact, {"id_campanha": ads_b.build_dim(campaigns, c.DIM_CAMPANHA)})
 
 
 def ads_b_mart(spark, sf):
@@ -301,12 +302,10 @@ def ads_b_mart(spark, sf):
 def mart_ads_b(spark, sf):
     mart = ads_b_mart(spark, sf)
     ad = mart["dim_anuncio"].select("id_anuncio", "nome_anuncio")
-    return (
-        mart["fato_anuncio"]
-        .join(ad, "id_anuncio")
-        .join(mart["dim_rede"], "id_rede")
-        .join(mart["dim_dispositivo"], "id_dispositivo")
-        .join(mart["dim_grupoAnuncio"], "id_grupo")
+    return attach_dims(
+        mart["fato_anuncio"],
+        {"id_anuncio": ad, "id_rede": mart["dim_rede"], "id_dispositivo": mart["dim_dispositivo"],
+         "id_grupo": mart["dim_grupoAnuncio"]},
     )
 
 
@@ -326,7 +325,7 @@ def mart_ads_b(spark, sf):
 )
 def mart_ads_b_audience(spark, sf):
     mart = ads_b_mart(spark, sf)
-    return mart["fato_publico_alvo"].join(mart["dim_publico_alvo"], "id_publico")
+    return attach_dims(mart["fato_publico_alvo"], {"id_publico": mart["dim_publico_alvo"]})
 
 
 @query(
@@ -446,7 +445,7 @@ def mart_ads_a(spark, sf):
     ads = ads_a.ad_insights(raw, creatives, media)
     dim = ads_a.build_dim(ads, c.ADS_A_DIM_AD).withColumnRenamed("ad_name", "dim_name")
     wanted = [*INSIGHT_COLS, "ad_id", *ads_a.VIDEO_COLUMNS]
-    return select_all(ads, wanted).join(dim, "ad_id")
+    return attach_dims(select_all(ads, wanted), {"ad_id": dim})
 
 
 @query(
@@ -476,7 +475,7 @@ def mart_ads_a_adsets(spark, sf):
     sets = ads_a.adset_insights(raw, targeting)
     dim = ads_a.build_dim(sets, c.ADS_A_DIM_ADSET).withColumnRenamed("adset_name", "dim_name")
     wanted = [*INSIGHT_COLS, "adset_id", "publicos_personalizados_incluidos"]
-    return select_all(sets, wanted).join(dim, "adset_id")
+    return attach_dims(select_all(sets, wanted), {"adset_id": dim})
 
 
 @query(
@@ -566,7 +565,7 @@ def mart_sales_a(spark, sf):
         "payment_installments_number", "hotmart_fee_total", "approved_datetime_utc",
         "approved_datetime_brt", "approved_datetime_br",
     )
-    return sales.join(mart["users"].drop("buyer_name"), "buyer_ucode", "left")
+    return attach_dims(sales, {"buyer_ucode": mart["users"].drop("buyer_name")})
 
 
 # --- sales B -------------------------------------------------------------------
@@ -616,13 +615,9 @@ def mart_sales_b(spark, sf):
     )
     clients = select_all(mart["dim_cliente"], ["ID_Cliente", "Nome do comprador", "Endereço físico"])
     products = select_all(mart["dim_produto"], ["ID Produto", "Nome do produto"])
-    return (
-        fact.join(clients, "ID_Cliente")
-        .join(mart["dim_afiliado"], "ID_Afiliado")
-        .join(mart["dim_oferta"], "ID Oferta")
-        .join(products, "ID Produto")
-        .drop("ID Produto")
-    )
+    dims = {"ID_Cliente": clients, "ID_Afiliado": mart["dim_afiliado"], "ID Oferta": mart["dim_oferta"],
+            "ID Produto": products}
+    return attach_dims(fact, dims).drop("ID Produto")
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Dense surrogate ids 1..n without a global window."""
+"""Dense surrogate ids 1..n; no global window over more labels than one task should sort."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql.window import Window
 
 from martkit.functions.text import strip
 from martkit.operators.project import q
-from martkit.operators.spread import ROWS_PER_TASK, left_lookup
+from martkit.operators.spread import ROWS_PER_TASK, estimated_bytes, left_lookup
 from martkit.workspace import written
 
 _PART = "__part"
+# Labels up to this size are sorted by one task.
+ONE_TASK_BYTES = 16 << 20
 
 
 def label_counts(df: DataFrame, col: str, include_null: bool = False) -> DataFrame:
@@ -19,18 +21,22 @@ def label_counts(df: DataFrame, col: str, include_null: bool = False) -> DataFra
     return counts if include_null else counts.where(q(col).isNotNull() & (q(col) != ""))
 
 
-def number_labels(counts: DataFrame, col: str, id_col: str, start: int = 1) -> DataFrame:
-    """Consecutive ids over distinct labels in sort order, null last.
+def _in_one_task(counts: DataFrame, col: str, id_col: str, start: int) -> DataFrame:
+    order = Window.orderBy(q(col).asc_nulls_last())
+    return counts.withColumn(id_col, F.row_number().over(order) + F.lit(start - 1))
+
 
-    The labels are range-partitioned and written with their partition number to
-    the shared folder, so that number stays the same however often it is read.
-    Each partition then numbers its own labels and adds the number of labels in
-    the partitions before it; only the per-partition sizes meet in one task.
+def _by_ranges(counts: DataFrame, col: str, id_col: str, start: int) -> DataFrame:
+    """Range partitions number their own labels and add the labels before them.
+
+    The partition number is written along with the labels, so it stays the same
+    however often it is read; only the partition sizes meet in one task.
     """
-    ranged = counts.repartitionByRange(q(col).asc_nulls_last()).withColumn(
-        _PART, F.spark_partition_id()
+    fixed = written(
+        counts.repartitionByRange(q(col).asc_nulls_last()).withColumn(
+            _PART, F.spark_partition_id()
+        )
     )
-    fixed = written(ranged)
     sizes = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -44,6 +50,19 @@ def number_labels(counts: DataFrame, col: str, id_col: str, start: int = 1) -> D
     )
 
 
+def number_labels(counts: DataFrame, col: str, id_col: str, start: int = 1) -> DataFrame:
+    """Consecutive ids over distinct labels in sort order, null last.
+
+    Spark's estimate of the labels is that of the rows they come from. If that
+    is too large for one task, the labels are written and their real size
+    decides between one task and range partitions.
+    """
+    if estimated_bytes(counts) > ONE_TASK_BYTES:
+        counts = written(counts)
+    small = estimated_bytes(counts) <= ONE_TASK_BYTES
+    return (_in_one_task if small else _by_ranges)(counts, col, id_col, start)
+
+
 def dense_ids(df: DataFrame, col: str, id_col: str, start: int = 1, include_null: bool = False) -> DataFrame:
     """``(label, id)``, one row per distinct label."""
     return number_labels(label_counts(df, col, include_null), col, id_col, start).drop("__n")

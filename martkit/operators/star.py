@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,3 +45,11 @@ def build_fact(
     )
     kept = left_lookup(df, newest, natural_key, nulls_match=True, count_col="__n")
     return select_all(kept.where(q(load_col).eqNullSafe(F.col("__newest"))), cols)
+
+
+def attach_dims(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns of several dimensions on the fact, each by its key (one row per key)."""
+    source = fact
+    for key, dim in dims.items():
+        fact = left_lookup(fact, dim, [key], counts_from=source)
+    return fact

@@ -114,15 +114,22 @@ def test_broadcast_threshold_units(spark):
 # --- dense ids --------------------------------------------------------------------
 
 
+@pytest.fixture(params=["one task", "ranges"])
+def id_way(request, monkeypatch):
+    if request.param == "ranges":
+        monkeypatch.setattr(ids, "ONE_TASK_BYTES", -1)
+    return request.param
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7])
-def test_dense_ids_do_not_depend_on_partitioning(spark, parts):
+def test_dense_ids_do_not_depend_on_partitioning(spark, parts, id_way):
     labels = [f"l{i:03d}" for i in range(200)]
     df = frame(spark, "x string", *[(l,) for l in labels * 2], ("",), (None,)).repartition(parts)
     got = sorted((r["id"], r["x"]) for r in ids.dense_ids(df, "x", "id").collect())
     assert got == [(i, l) for i, l in enumerate(labels, 1)]
 
 
-def test_dense_ids_over_many_partitions(spark):
+def test_dense_ids_over_many_partitions(spark, id_way):
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -133,7 +140,7 @@ def test_dense_ids_over_many_partitions(spark):
     assert got == [(i + 5, f"{i:05d}") for i in range(1000)]
 
 
-def test_add_dim_ids_missing_and_null_label(spark):
+def test_add_dim_ids_missing_and_null_label(spark, id_way):
     df = frame(spark, "x string", ("b",), ("a",), (None,), ("",))
     assert rows(ids.add_dim_ids(df, "x", "i")) == sorted([("b", 2), ("a", 1), (None, 0), ("", 0)], key=repr)
     text = ids.add_dim_ids(df, "x", "i", missing=None, include_null=True, as_text=True)

@@ -43,6 +43,14 @@ def test_shuffled_lookups(no_broadcast, sf, con, name):
     assert differences(QUERIES[name](no_broadcast, sf), con, ORACLE[name]) is None
 
 
+@pytest.mark.parametrize("name", ["dense_ids_sorted", "dense_ids_many", "dense_ids_text", "mart_ads_b"])
+def test_ids_by_ranges(spark, sf, con, name, monkeypatch):
+    from martkit.operators import ids
+
+    monkeypatch.setattr(ids, "ONE_TASK_BYTES", -1)
+    assert differences(QUERIES[name](spark, sf), con, ORACLE[name]) is None
+
+
 @pytest.mark.parametrize("name", SHUFFLED)
 def test_spread_hot_keys(no_broadcast, sf, con, name, monkeypatch):
     """Every key counts as hot, so all rows go through the spread join."""
