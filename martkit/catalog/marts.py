@@ -149,7 +149,7 @@ def mart_crm(spark, sf):
     """,
 )
 def mart_crm_stage_history(spark, sf):
-    return crm.build_crm(crm_inputs(spark, sf))["scd2_dim_stage"]
+    return crm.stage_dims(crm_inputs(spark, sf)["stages"])["scd2_dim_stage"]
 
 
 @query(
@@ -163,7 +163,7 @@ def mart_crm_stage_history(spark, sf):
     """,
 )
 def mart_crm_dims(spark, sf):
-    mart = crm.build_crm(crm_inputs(spark, sf))
+    mart = crm.stage_dims(crm_inputs(spark, sf)["stages"])
     none = F.lit(None).cast("int").alias("nr")
     pipes = mart["dim_pipeline"].select(
         F.lit("pipeline").alias("dim"), F.col("pipeline_id").alias("id"), F.col("pipeline_name").alias("name"), none

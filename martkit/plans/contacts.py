@@ -64,7 +64,8 @@ def wide_contacts(
 def leads(*versions: DataFrame) -> DataFrame:
     """Lead columns of every version, day of creation, one row per e-mail address.
 
-    The oldest version comes first and its row wins.
+    The oldest version comes first and its row wins; within a version the lowest
+    ``pos`` wins if the frames carry one, else the lowest values.
     """
     frames = [
         rename_aliases(v, c.CONTACT_LEAD_ALIASES).withColumn("__version", F.lit(i))
@@ -74,8 +75,9 @@ def leads(*versions: DataFrame) -> DataFrame:
         "cdate_Active", clip(strip(F.col("cdate_Active")), 10)
     )
     kept = require_text(df, "email_lead_Active")
-    others = [q(x).asc_nulls_last() for x in c.CONTACT_LEAD.values()]
-    return dedup_by_key(kept, ["email_lead_Active"], [F.col("__version"), *others]).drop("__version")
+    names = [*(["pos"] if "pos" in kept.columns else []), *c.CONTACT_LEAD.values()]
+    order = [F.col("__version"), *[q(x).asc_nulls_last() for x in names]]
+    return dedup_by_key(kept, ["email_lead_Active"], order).drop("__version", "pos")
 
 
 def lead_columns(wide: DataFrame) -> DataFrame:

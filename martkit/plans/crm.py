@@ -55,13 +55,13 @@ def ft_move(silver: DataFrame, deals: DataFrame | None = None) -> DataFrame:
     df = fill_text(drop_present(silver, c.MOVE_DROPPED))
     df = lenient_cast(df, ints=c.MOVE_INTS, floats=c.MOVE_FLOATS, timestamps=c.MOVE_TIMES)
     df = rename_aliases(df, {"deal_ativo": "flag_deal_ativo"})
-    df = df.withColumn("date", F.to_date("timestamp"))
-    if deals is not None:
-        alive = deals.where(~F.col("status").eqNullSafe(DELETED)).select(
-            F.col("id").alias("deal_id")
-        )
-        df = member_flag(df, alive, "deal_id", "flag_deal_ativo")
-    return flag_latest(df, "deal_id", "timestamp", "flg_ultimo_movimento")
+    df = flag_latest(
+        df.withColumn("date", F.to_date("timestamp")), "deal_id", "timestamp", "flg_ultimo_movimento"
+    )
+    if deals is None:
+        return df
+    alive = deals.where(~F.col("status").eqNullSafe(DELETED)).select(F.col("id").alias("deal_id"))
+    return member_flag(df, alive, "deal_id", "flag_deal_ativo", counts_from=silver)
 
 
 def dim_person(persons: DataFrame) -> DataFrame:
@@ -98,23 +98,32 @@ def remap_stages(fact: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def stage_dims(stages: DataFrame) -> dict[str, DataFrame]:
+    """Pipelines, stages, stage history and rejected rows from all stage snapshots.
+
+    The pipeline and stage dimensions take the newest row of each id.
+    """
+    valid, rejected = stage_snapshot(stages)
+    newest = [F.col("snapshot_time").desc(), F.col("stage_id"), F.col("pipeline_id")]
+    return {
+        "dim_pipeline": build_dim_by_key(valid, c.DIM_PIPELINE, ["pipeline_id"], newest),
+        "dim_stage": build_dim_by_key(valid, c.DIM_STAGE, ["stage_id"], newest),
+        "scd2_dim_stage": scd2_dim_stage(valid),
+        "rejected_stages": rejected,
+    }
+
+
 def build_crm(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """``moves, persons, person_fields, deals, stages`` to the tables of the mart.
 
-    ``stages`` holds all snapshots with their ``snapshot_time``; the pipeline and
-    stage dimensions take the newest row of each id.
+    ``stages`` holds all snapshots with their ``snapshot_time``.
     """
     silver = silver_moves(
         inputs["moves"], inputs["persons"], inputs["person_fields"], inputs["deals"]
     )
-    stages, rejected = stage_snapshot(inputs["stages"])
-    newest = [F.col("snapshot_time").desc(), F.col("stage_id"), F.col("pipeline_id")]
     return {
         "silver_moves": silver,
         "ft_move": ft_move(silver, inputs["deals"]),
         "dim_person": select_all(dim_person(inputs["persons"]), c.DIM_PERSON),
-        "dim_pipeline": build_dim_by_key(stages, c.DIM_PIPELINE, ["pipeline_id"], newest),
-        "dim_stage": build_dim_by_key(stages, c.DIM_STAGE, ["stage_id"], newest),
-        "scd2_dim_stage": scd2_dim_stage(stages),
-        "rejected_stages": rejected,
+        **stage_dims(inputs["stages"]),
     }
