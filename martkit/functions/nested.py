@@ -21,7 +21,8 @@ def first_of(array: Column, field: str | None = None) -> Column:
 
 def action_value(actions: Column, action_type: str, as_double: bool = False) -> Column:
     """Value of the first action of a type; 0 when absent or unreadable."""
-    text = first_of(F.filter(actions, lambda a: a["action_type"] == action_type), "value")
+    at = F.array_position(actions["action_type"], F.lit(action_type)).cast("int")
+    text = F.get(actions["value"], at - 1)
     if as_double:
         return to_double(strip(text.cast("string")), 0.0)
     return F.coalesce(truncated(text), F.lit(0).cast("bigint"))

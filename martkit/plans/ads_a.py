@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martkit.functions.nested import action_value, audience_text, first_of, post_ref, video_ref
 from martkit.functions.text import is_text
 from martkit.functions.urls import WATCH, click_url, normalize_video_url
+from martkit.operators.dedup import dedup_by_key
 from martkit.operators.filters import any_positive
 from martkit.operators.incremental import DATE_IN_NAME
 from martkit.operators.joins import lookup_default
@@ -45,9 +46,13 @@ def adset_insights(raw: DataFrame, targeting: DataFrame) -> DataFrame:
     audiences = targeting.select(
         F.col("id").alias("adset_id"),
         audience_text(F.col("targeting")).alias("publicos_personalizados_incluidos"),
-    ).dropDuplicates(["adset_id"])
+    )
     return lookup_default(
-        insights(raw), audiences, ["adset_id"], {"publicos_personalizados_incluidos": ""}
+        insights(raw),
+        dedup_by_key(audiences, ["adset_id"]),
+        ["adset_id"],
+        {"publicos_personalizados_incluidos": ""},
+        counts_from=raw,
     )
 
 
@@ -64,7 +69,7 @@ def video_links(creatives: DataFrame, media: DataFrame) -> DataFrame:
         first_of(F.col("thumbnails")["data"], "uri").alias("thumb"),
         "full_picture",
     )
-    found = lookup_default(refs, meta, ["ref"], {})
+    found = lookup_default(refs, dedup_by_key(meta, ["ref"]), ["ref"], {})
     is_video = F.col("video").isNotNull()
     video_url = normalize_video_url(F.coalesce("link", F.concat(F.lit(WATCH), F.col("video"))))
     post_url = F.coalesce(F.col("link"), normalize_video_url(F.col("post")))
@@ -80,8 +85,10 @@ def video_links(creatives: DataFrame, media: DataFrame) -> DataFrame:
 
 def ad_insights(raw: DataFrame, creatives: DataFrame, media: DataFrame) -> DataFrame:
     """Insights with the links of each ad's video or post."""
-    links = video_links(creatives, media)
-    return lookup_default(insights(raw), links, ["ad_id"], dict.fromkeys(VIDEO_COLUMNS, ""))
+    links = dedup_by_key(video_links(creatives, media), ["ad_id"])
+    return lookup_default(
+        insights(raw), links, ["ad_id"], dict.fromkeys(VIDEO_COLUMNS, ""), counts_from=raw
+    )
 
 
 def dim_camp(rows: DataFrame, order: list | None = None) -> DataFrame:

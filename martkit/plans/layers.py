@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.text import NULL_TOKENS
+from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
 from martkit.plans import contracts as c
 from martkit.sources.readers import (
     read_csv_text,
@@ -73,8 +74,8 @@ def read_crm(spark: SparkSession, root: str) -> Inputs:
 
 def read_sales_a(spark: SparkSession, root: str) -> Inputs:
     return {
-        "sales": read_json_envelope(spark, f"{root}/sales", c.SALES_A_RECORD),
-        "users": read_json_envelope(spark, f"{root}/users", c.USERS_A_RECORD),
+        name: read_json_envelope(spark, f"{root}/{name}", record, with_file=True)
+        for name, record in (("sales", c.SALES_A_RECORD), ("users", c.USERS_A_RECORD))
     }
 
 
@@ -128,3 +129,39 @@ def read_web(spark: SparkSession, root: str) -> Inputs:
     return {
         name: read_json_envelope(spark, f"{root}/{name}", record, "rows") for name in c.WEB_REPORTS
     }
+
+
+def run_crm(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
+    """The CRM mart; the fact is built from the written silver events, not from the raw ones."""
+    inputs = read_crm(spark, bronze)
+    moves = crm.silver_moves(
+        inputs["moves"], inputs["persons"], inputs["person_fields"], inputs["deals"]
+    )
+    save({"deal_move": moves}, silver)
+    written = spark.read.schema(c.text_schema(c.MOVE_COLUMNS)).parquet(f"{silver}/deal_move")
+    tables = {
+        "ft_move": crm.ft_move(written, inputs["deals"]),
+        "dim_person": crm.dim_person(inputs["persons"]),
+        **crm.stage_dims(inputs["stages"]),
+    }
+    save(tables, gold)
+
+
+def run_mart(spark: SparkSession, name: str, bronze: str, gold: str) -> None:
+    """Read the landed files of a mart and write its tables."""
+    build = {
+        "ads_a": lambda: ads_a.build_ads_a(read_ads_a(spark, bronze)),
+        "ads_b": lambda: ads_b.build_ads_b(read_ads_b(spark, bronze)),
+        "sales_a": lambda: sales_a.build_sales_a(read_sales_a(spark, bronze)),
+        "sales_b": lambda: sales_b.build_sales_b(read_sales_b(spark, bronze)),
+        "contacts": lambda: contacts.build_contacts(read_contacts(spark, bronze)),
+        "social": lambda: small.build_social(read_social(spark, bronze)),
+        "calls": lambda: {"calls": small.build_calls(read_calls(spark, bronze))},
+        "fx": lambda: {
+            "fx": small.build_fx(
+                read_fx(spark, bronze), F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
+            )
+        },
+        "web": lambda: small.build_web(read_web(spark, bronze)),
+    }
+    save(build[name](), gold)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import br_text, epoch_ms_to_ts, fixed_offset
@@ -13,16 +13,25 @@ from martkit.operators.explode import explode_children, flatten_paths
 from martkit.plans import contracts as c
 
 
+def _place(df: DataFrame) -> list[str]:
+    """What orders the records: the pull's file, where the reader kept it, then the position."""
+    return [x for x in ("source_file", "pos") if x in df.columns]
+
+
+def _newest_first(df: DataFrame) -> list[Column]:
+    return [F.col(x).desc() for x in _place(df)]
+
+
 def unique_sales(records: DataFrame) -> DataFrame:
-    """The newest copy of each transaction over overlapping pulls (newest = highest ``pos``)."""
+    """The newest copy of each transaction over overlapping pulls."""
     keyed = records.withColumn("__tx", F.col("purchase.transaction"))
-    return last_wins(keyed, "__tx", [F.col("pos").desc()]).drop("__tx")
+    return last_wins(keyed, "__tx", _newest_first(records)).drop("__tx")
 
 
 def unique_users(users: DataFrame) -> DataFrame:
     """The newest copy of each user: by id, else by e-mail, within the role."""
     key = fallback_key(F.col("role"), id=F.col("id"), email=F.lower("email"))
-    return last_wins(users.withColumn("__key", key), "__key", [F.col("pos").desc()]).drop("__key")
+    return last_wins(users.withColumn("__key", key), "__key", _newest_first(users)).drop("__key")
 
 
 def sales(records: DataFrame) -> DataFrame:
@@ -39,8 +48,9 @@ def buyers(records: DataFrame) -> DataFrame:
 
     The order is that of the records and of the entries inside each.
     """
+    placed = records.withColumn("record", F.struct(*_place(records))).drop("pos")
     rows = explode_children(
-        records,
+        placed,
         "users",
         keep=lambda u: u["role"] == c.BUYER_ROLE,
         child=lambda u: u["user"]["documents"],
@@ -49,9 +59,9 @@ def buyers(records: DataFrame) -> DataFrame:
             "buyer_name": lambda u: u["user"]["name"],
         },
         child_cols={"document_value": lambda d: d["value"]},
-        carry=["record_pos"],
+        carry=["record"],
     )
-    order = F.struct("record_pos", "pos", F.coalesce("child_pos", F.lit(-1)))
+    order = F.struct("record", "pos", F.coalesce("child_pos", F.lit(-1)))
     return first_per_group(
         rows, ["buyer_ucode"], order, {"buyer_name": False, "document_value": True}
     )
@@ -59,5 +69,4 @@ def buyers(records: DataFrame) -> DataFrame:
 
 def build_sales_a(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """``sales`` and ``users`` records (with ``pos``) to the tables of the mart."""
-    users = inputs["users"].withColumnRenamed("pos", "record_pos")
-    return {"sales": sales(unique_sales(inputs["sales"])), "users": buyers(users)}
+    return {"sales": sales(unique_sales(inputs["sales"])), "users": buyers(inputs["users"])}

@@ -73,7 +73,11 @@ def read_json_rejects(
 
 
 def read_json_envelope(
-    spark: SparkSession, path: str | Sequence[str], record: T.StructType | str, field: str = "dados"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    record: T.StructType | str,
+    field: str = "dados",
+    with_file: bool = False,
 ) -> DataFrame:
     """The records of ``{"dados": [...]}``, with their position in the file.
 
@@ -87,7 +91,11 @@ def read_json_envelope(
         F.concat(F.lit(f"{field} is not a list of records: "), F.substring(CORRUPT, 1, 200))
     ).cast(T.ArrayType(record))
     items = F.when(F.col(CORRUPT).isNull(), q(field)).otherwise(bad)
-    return raw.select(F.posexplode(items).alias("pos", "__item")).select("pos", "__item.*")
+    origin = []
+    if with_file:
+        raw, origin = with_source_file(raw), ["source_file"]
+    rows = raw.select(*origin, F.posexplode(items).alias("pos", "__item"))
+    return rows.select(*origin, "pos", "__item.*")
 
 
 def _occurrences(mark: str) -> Column:

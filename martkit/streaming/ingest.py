@@ -23,6 +23,7 @@ def ingest_new_files(
 
     The checkpoint remembers the files, the Parquet sink commits each batch
     once, so a run that failed or is repeated neither loses nor doubles rows.
+    The option ``maxFilesPerTrigger`` divides a large backlog into batches.
     With ``archive`` a file is moved there in the run after the one that read
     it; no file is removed before its rows are committed.
     """

@@ -175,6 +175,9 @@ def test_crm(spark, tmp_path):
     assert rows(history.select("stage_id", "dt_inicio_vigencia", "dt_fim_vigencia", "pk_allstages")) == [
         (1, one, two, "1|1"), (4, two, END, "4|1")
     ]
+    layers.run_crm(spark, str(tmp_path), str(tmp_path / "silver"), str(tmp_path / "gold2"))
+    again = spark.read.parquet(str(tmp_path / "gold2" / "ft_move"))
+    assert again.columns == fact.columns and rows(again) == rows(fact)
     remapped = crm.remap_stages(
         frame(spark, "old_stage_id long, new_stage_id long, pipeline_id long", (1, 4, 3), (9, 1, 3), (None, 2, 3)),
         history,
@@ -199,8 +202,7 @@ def test_sales_a(spark, tmp_path):
         {"users": [{"role": "BUYER", "user": {"ucode": "u2", "name": "M", "documents": []}}]},
         {"users": None},
     ]})
-    mart = sales_a.build_sales_a(layers.read_sales_a(spark, str(tmp_path)))
-    layers.save(mart, str(tmp_path / "gold"))
+    layers.run_mart(spark, "sales_a", str(tmp_path), str(tmp_path / "gold"))
     sales = gold(spark, tmp_path, "sales")
     assert sales.columns == [*contracts.SALES_PATHS, "approved_datetime_utc", "approved_datetime_brt", "approved_datetime_br"]
     got = rows(sales.select("product_name", "price_value", "hotmart_fee_total", "approved_datetime_br"))
@@ -329,6 +331,6 @@ def test_social_calls_fx_web(spark, tmp_path):
 def test_outputs_survive_a_second_run(spark, tmp_path):
     land(tmp_path, "calls", "c.csv", "DATA,AGENDAMENTOS,CALLS REALIZADAS\n05/01/2025,3,1\n")
     for _ in range(2):
-        layers.save({"calls": small.build_calls(layers.read_calls(spark, str(tmp_path)))}, str(tmp_path / "gold"))
+        layers.run_mart(spark, "calls", str(tmp_path), str(tmp_path / "gold"))
     assert gold(spark, tmp_path, "calls").count() == 1
     assert os.path.isdir(tmp_path / "gold" / "calls")
