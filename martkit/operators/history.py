@@ -17,7 +17,12 @@ from martkit.operators.spread import ROWS_PER_TASK, left_lookup
 
 
 def flag_latest(
-    df: DataFrame, key: str, ts: str, alias: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    key: str,
+    ts: str,
+    alias: str,
+    spread_by: Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """1 where the row has the newest time of its key, else 0.
 
@@ -30,7 +35,7 @@ def flag_latest(
     )
     out = left_lookup(
         df.drop(alias), per_key, [key], nulls_match=True, count_col="__n",
-        rows_per_task=rows_per_task,
+        spread_by=spread_by, rows_per_task=rows_per_task,
     )
     return out.withColumn(alias, (q(ts) == F.col("__newest")).cast("bigint")).drop("__newest")
 

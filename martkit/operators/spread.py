@@ -114,6 +114,7 @@ def left_lookup(
     nulls_match: bool = False,
     count_col: str | None = None,
     counts_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -123,7 +124,9 @@ def left_lookup(
     new. ``count_col`` names a column of ``small`` that already tells how many
     rows of ``big`` each key has; it is not appended. Without it the keys are
     counted when both sides have to be shuffled, in ``counts_from`` if given: an
-    earlier stage of ``big`` with the same keys that is cheaper to read.
+    earlier stage of ``big`` with the same keys that is cheaper to read. Hot keys
+    are spread by a hash of all columns, or of ``spread_by`` where only few
+    columns of a wide frame are used later.
     """
     extra = [c for c in small.columns if c not in keys and c != count_col]
     renamed = [f"__k_{i}" for i in range(len(keys))]
@@ -153,7 +156,9 @@ def left_lookup(
         return df.join(hot, cond, "left").drop(*marks)
 
     copies = F.coalesce(F.col(_COPIES), F.lit(1))
-    row_hash = F.xxhash64(*[q(f.name) for f in big.schema.fields if not _holds_map(f.dataType)])
+    if spread_by is None:
+        spread_by = [f.name for f in big.schema.fields if not _holds_map(f.dataType)]
+    row_hash = F.xxhash64(*[q(c) for c in spread_by])
     left = with_copies(big, keys).withColumn(
         _SALT, F.pmod(row_hash, copies.cast("bigint")).cast("int")
     ).drop(_COPIES)

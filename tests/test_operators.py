@@ -78,6 +78,46 @@ def test_spread_join_divides_the_hot_key(no_broadcast):
     assert sum(sizes) == 10000 and max(sizes) < 6000
 
 
+def test_identical_rows_are_split_by_adaptive_execution(no_broadcast):
+    """Copies share a hash, so the spread cannot divide them; the skew rule does."""
+    spark = no_broadcast
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        copies = spark.range(0, 600000, 1, 8).select(F.lit("hot").alias("k"), F.lit("same").alias("v"))
+        others = spark.range(0, 2000, 1, 8).select(
+            F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")).alias("k"), F.lit("x").alias("v")
+        )
+        big = copies.unionByName(others)
+        small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        out = spread.left_lookup(big, small, ["k"], rows_per_task=300000)
+        assert out.where("k = 'hot' and n = 600000").count() == 600000
+        counted = out.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_spread_by_reads_only_named_columns(no_broadcast, sf):
+    spark = no_broadcast
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    small = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    out = spread.left_lookup(
+        orders, small, ["o_custkey"], spread_by=["o_orderkey"], rows_per_task=1
+    ).select("o_custkey", "n")
+    text = plan(out)
+    assert "__salt" in text and "o_totalprice" not in text
+    assert out.where("n is null").count() == 0 and out.count() == 1500
+
+
 def test_lookup_without_hot_keys_is_plain(no_broadcast):
     spark = no_broadcast
     big = spark.range(100).select("id", (F.col("id") % 10).alias("k"))
