@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,13 +28,19 @@ def lookup_default(
     )
 
 
+def _comparable(left: DataFrame, key: str, right: DataFrame, other: str) -> Callable[[Column], Column]:
+    """Ids of one type are compared as they are, others as text."""
+    same = left.schema[key].dataType == right.schema[other].dataType
+    return (lambda c: c) if same else (lambda c: c.cast("string"))
+
+
 def lookup_label(
     df: DataFrame, dim: DataFrame, key: str, dim_key: str, dim_label: str, alias: str
 ) -> DataFrame:
-    """Name for an id; the ids are compared as text."""
-    right = dim.select(q(dim_key).cast("string").alias("__id"), q(dim_label).alias(alias))
-    out = left_lookup(df.withColumn("__id", q(key).cast("string")), right, ["__id"])
-    return out.drop("__id")
+    """Name for an id; ids of different types are compared as text."""
+    plain = _comparable(df, key, dim, dim_key)
+    right = dim.select(plain(q(dim_key)).alias("__id"), q(dim_label).alias(alias))
+    return left_lookup(df.withColumn("__id", plain(q(key))), right, ["__id"]).drop("__id")
 
 
 def left_on(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -55,10 +61,6 @@ def keep_members(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(q(key)), key, "left_semi")
 
 
-def _as_text(df: DataFrame | None, key: str) -> DataFrame | None:
-    return None if df is None else df.select(q(key).cast("string").alias("__id"))
-
-
 def member_flag(
     df: DataFrame,
     other: DataFrame,
@@ -67,13 +69,14 @@ def member_flag(
     as_text: bool = False,
     counts_from: DataFrame | None = None,
 ) -> DataFrame:
-    """1 where the key, compared as text, is in the other frame, else 0."""
-    members = other.select(q(key).cast("string").alias("__id")).where(
-        F.col("__id").isNotNull()
-    ).distinct().withColumn("__is_member", F.lit(1))
+    """1 where the key is in the other frame, else 0; keys of different types compare as text."""
+    plain = _comparable(df, key, other, key)
+    known = other.select(plain(q(key)).alias("__id"))
+    members = known.where(F.col("__id").isNotNull()).distinct().withColumn("__is_member", F.lit(1))
+    counts = df if counts_from is None else counts_from
     out = left_lookup(
-        df.drop(alias).withColumn("__id", q(key).cast("string")), members, ["__id"],
-        counts_from=_as_text(counts_from, key),
+        df.drop(alias).withColumn("__id", plain(q(key))), members, ["__id"],
+        counts_from=counts.select(plain(q(key)).alias("__id")),
     )
     flag = F.coalesce(F.col("__is_member"), F.lit(0)).cast("string" if as_text else "bigint")
     return out.withColumn(alias, flag).drop("__id", "__is_member")
@@ -151,10 +154,12 @@ def enrich_attributes(
 ) -> DataFrame:
     """Attach the aliased attributes of each row's owner, empty text if none."""
     wide = map_to_columns(owners, owner_key, map_col, labels, aliases)
-    wide = wide.withColumn("__id", q(owner_key).cast("string")).drop(owner_key)
+    plain = _comparable(df, key, owners, owner_key)
+    wide = wide.withColumn("__id", plain(q(owner_key))).drop(owner_key)
+    counts = df if counts_from is None else counts_from
     out = left_lookup(
-        df.withColumn("__id", q(key).cast("string")), wide, ["__id"],
-        counts_from=_as_text(counts_from, key),
+        df.withColumn("__id", plain(q(key))), wide, ["__id"],
+        counts_from=counts.select(plain(q(key)).alias("__id")),
     )
     cols = list(dict.fromkeys(aliases.values()))
     return out.withColumns({c: F.coalesce(q(c), F.lit("")) for c in cols}).drop("__id")

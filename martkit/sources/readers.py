@@ -106,7 +106,8 @@ def _csv_classes(spark: SparkSession, path: str, seps: Sequence[str]) -> list:
     """One row per way of reading the files: header, separator, encoding, line breaks.
 
     A single distributed pass over the text decides; what reaches the driver is
-    file names and one header line per class.
+    file names and one header line per class. Collecting the set of encodings
+    makes Spark aggregate by hash, so the lines need not be sorted by file.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
@@ -118,7 +119,7 @@ def _csv_classes(spark: SparkSession, path: str, seps: Sequence[str]) -> list:
     body = lines.where(strip(F.col("value")) != "")
     files = body.groupBy("path").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        (~F.array_contains(F.collect_set(F.is_valid_utf8("value")), False)).alias("utf8"),
         F.sum(_occurrences(seps[0])).alias("n_first"),
         F.sum(_occurrences(seps[1])).alias("n_second"),
         F.bool_or(_occurrences('"') % 2 == 1).alias("breaks"),
