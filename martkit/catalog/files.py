@@ -162,7 +162,7 @@ def stack_snapshots(spark, sf):
     path = new_folder(spark, "versions")
     stamp = F.date_format("ts", "yyyyMMdd_000000")
     df = table(spark, sf, "events").select("event_id", "user_id", stamp.alias("load_ts"))
-    df.write.partitionBy("load_ts").parquet(path)
+    writers.overwrite_versions(df, path)
     return readers.stack_snapshots(spark, path)
 
 
@@ -196,7 +196,7 @@ def rewrite_by_source(spark, sf):
     path = new_folder(spark, "fact")
     stamp = F.date_format("ts", "yyyyMMdd_000000")
     moves = table(spark, sf, "events").select("event_id", "user_id", "ts", stamp.alias("load_ts"))
-    moves.write.partitionBy("load_ts").parquet(path)
+    writers.overwrite_versions(moves, path)
     writers.backup_table(spark, path, new_folder(spark, "backup"))
     writers.rewrite_versions(
         spark, path, lambda df: history.flag_latest(df, "user_id", "ts", "flg_ultimo_movimento")

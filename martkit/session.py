@@ -14,6 +14,24 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_TASK_BYTES = 256 << 20
+
+
+def cluster_settings(largest_shuffle_bytes: int) -> dict[str, str]:
+    """Sizes for a cluster: scan and shuffle tasks of about 256 MB, which fit an executor core.
+
+    Adaptive execution merges the shuffle partitions that turn out small, so the
+    number is sized for the largest shuffle of the job. ``spark.checkpoint.dir``
+    has to name a folder that all executors share.
+    """
+    partitions = min(max(largest_shuffle_bytes // _TASK_BYTES, 200), 200_000)
+    return SETTINGS | {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(_TASK_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * _TASK_BYTES),
+    }
+
 
 def local_session(cpus: int = 8, app: str = "martkit") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own master and sizes."""

@@ -61,8 +61,17 @@ def rewrite_versions(
     """
     staged = new_folder(spark, "rewrite")
     change(spark.read.parquet(path)).write.parquet(staged)
+    overwrite_versions(spark.read.parquet(staged), path, by)
+
+
+def overwrite_versions(df: DataFrame, path: str, by: str = LOAD_COL) -> None:
+    """Replace the versions that occur in the frame, leave the others alone.
+
+    Rows are gathered by version in tasks of even size: a version gets few files,
+    a very large one several tasks.
+    """
     (
-        spark.read.parquet(staged)
+        df.hint("rebalance", by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)

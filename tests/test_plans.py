@@ -33,3 +33,8 @@ def test_dedup_limits_before_the_shuffle(spark, sf):
 def test_snapshot_diff_joins_nothing(spark, sf):
     text = plan(QUERIES["snapshot_diff"](spark, sf))
     assert "Join" not in text
+
+
+def test_versions_are_gathered_before_they_are_written(spark, sf):
+    df = table(spark, sf, "orders").hint("rebalance", "o_orderstatus")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
