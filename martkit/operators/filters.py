@@ -20,8 +20,13 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(reduce(and_, [q(c).isNotNull() for c in cols]))
 
 
-def exclude_ids(df: DataFrame, col: str, ids: Sequence) -> DataFrame:
-    """Rows whose id is listed go, and so do rows without an id."""
+def exclude_ids(df: DataFrame, col: str, ids: Sequence | DataFrame) -> DataFrame:
+    """Rows whose id is listed go, and so do rows without an id.
+
+    A long list is given as a frame with a column of the same name.
+    """
+    if isinstance(ids, DataFrame):
+        return df.where(q(col).isNotNull()).join(ids.select(q(col)), col, "left_anti")
     return df.where(~q(col).isin(*ids))
 
 

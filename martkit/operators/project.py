@@ -118,15 +118,23 @@ def lenient_cast(
     """Type column groups; what does not parse is null, or zero on request.
 
     ``comma`` reads the floats with a decimal comma. Names that the frame does
-    not have are ignored, columns already typed as timestamp pass through.
+    not have are ignored. Columns that are typed already are not parsed again:
+    numbers are converted (decimals are cut), dates and timestamps pass through.
     """
-    as_float = numbers.decimal_comma if comma else numbers.to_double
-    typed = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    number = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    moment = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DatetimeType)}
+
+    def typed(c: str, kind: str, parse: Callable[[Column], Column], zero: Column) -> Callable[[Column], Column]:
+        read = (lambda x: x.try_cast(kind)) if c in number else parse
+        return (lambda x: F.coalesce(read(x), zero)) if zero_nulls else read
+
+    as_float = (lambda x: numbers.decimal_comma(x, None)) if comma else numbers.to_double
+    zero_long, zero_double = F.lit(0).cast("bigint"), F.lit(0.0)
     how: dict[str, Callable[[Column], Column]] = {}
-    how.update({c: lambda x: numbers.to_long(x, 0 if zero_nulls else None) for c in ints})
-    how.update({c: lambda x: as_float(x, 0.0 if zero_nulls else None) for c in floats})
-    how.update({c: dates.parse_date for c in dates_iso})
-    how.update({c: dates.parse_iso_ts for c in timestamps if c not in typed})
+    how.update({c: typed(c, "bigint", numbers.to_long, zero_long) for c in ints})
+    how.update({c: typed(c, "double", as_float, zero_double) for c in floats})
+    how.update({c: dates.parse_date for c in dates_iso if c not in moment})
+    how.update({c: dates.parse_iso_ts for c in timestamps if c not in moment})
     return _map(df, how)
 
 

@@ -255,6 +255,16 @@ def test_stack_contract_skips_incomplete_inputs(spark):
 def test_exclude_ids_drops_null_ids(spark):
     df = frame(spark, "i long", (1,), (2,), (None,))
     assert rows(filters.exclude_ids(df, "i", [2])) == [(1,)]
+    assert rows(filters.exclude_ids(df, "i", frame(spark, "i long", (2,), (2,), (None,)))) == [(1,)]
+
+
+def test_lenient_cast_converts_typed_columns(spark):
+    df = frame(spark, "a double, b int, c string, t timestamp_ntz", (1.5, 2, "x", day(1)), (None, None, "3", None))
+    got = project.lenient_cast(df, ints=["a", "c"], floats=["b"], timestamps=["t"])
+    assert [t for _, t in got.dtypes] == ["bigint", "double", "bigint", "timestamp_ntz"]
+    assert rows(got) == sorted([(1, 2.0, None, day(1)), (None, None, 3, None)], key=repr)
+    zero = project.lenient_cast(df, ints=["a", "c"], floats=["b"], zero_nulls=True).drop("t")
+    assert rows(zero) == sorted([(1, 2.0, 0), (0, 0.0, 3)], key=repr)
 
 
 def test_any_positive(spark):
