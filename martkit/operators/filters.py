@@ -7,7 +7,6 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from martkit.functions.dates import open_end
 from martkit.functions.numbers import to_double

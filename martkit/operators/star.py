@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkit.operators.dedup import dedup_by_key
+from martkit.operators.dedup import dedup_by_key, distinct_rows
 from martkit.operators.project import q, select_all
 from martkit.operators.spread import left_lookup
 
 
 def build_dim(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows of the dimension's columns."""
-    return select_all(df, cols).distinct()
+    return distinct_rows(select_all(df, cols))
 
 
 def build_dim_by_key(

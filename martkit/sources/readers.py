@@ -31,12 +31,14 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
+def _json(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, lines: bool = False
+) -> DataFrame:
     schema = as_schema(schema)
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(with_bad)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path if isinstance(path, str) else list(path))
@@ -44,14 +46,20 @@ def _json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType |
 
 
 def read_json_records(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, with_file: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | str,
+    with_file: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
     """Files that hold one object or an array of objects.
 
     An empty array gives no rows. Files that cannot be decoded are left out
-    here and listed by :func:`read_json_rejects`.
+    here and listed by :func:`read_json_rejects`. A file is decoded by one task;
+    feeds too large for that are landed with one record per line and read with
+    ``lines``, which splits them.
     """
-    df = _json(spark, path, schema)
+    df = _json(spark, path, schema, lines)
     if with_file:
         df = with_source_file(df)
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

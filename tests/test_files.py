@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.errors import PySparkException
 
+from martkit.session import cluster_settings
 from martkit.sources import readers, writers
 from martkit.streaming.ingest import ingest_new_files
 from martkit.workspace import new_folder, shared_dir
@@ -33,6 +34,12 @@ def test_json_records(spark, tmp_path):
     assert [os.path.basename(r["source_file"]) for r in bad] == ["d.json"]
 
 
+def test_json_lines(spark, tmp_path):
+    d = str(tmp_path / "l")
+    put(d, "a.json", '{"id": 1}\n{"id": 2, "name": "b"}\n{"id": 3, "na\n')
+    assert rows(readers.read_json_records(spark, d, REC, lines=True)) == [(1, None), (2, "b")]
+
+
 def test_json_text_field_takes_text_and_object(spark, tmp_path):
     d = str(tmp_path / "j")
     put(d, "a.json", '{"id": 1, "name": "plain"}')
@@ -158,6 +165,13 @@ def test_ingest_each_file_once(spark, tmp_path):
     assert {"1.json", "2.json", "3.json"} <= set(archived)
 
 
+def test_cluster_settings_size_tasks():
+    small, large = cluster_settings(1 << 30), cluster_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert large["spark.sql.shuffle.partitions"] == "200000"
+    assert cluster_settings(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
+
+
 def test_shared_folder_is_the_configured_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
