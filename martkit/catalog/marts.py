@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from martkit.catalog.registry import query, table
 from martkit.catalog.scalar import money
+from martkit.functions.dates import ts_to_epoch_ms
 from martkit.operators.project import select_all
 from martkit.operators.star import attach_dims
 from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
@@ -501,14 +502,14 @@ def mart_ads_a_dim_camp(spark, sf):
 
 def sales_a_records(spark, sf):
     orders = table(spark, sf, "orders")
-    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
+    ms = ts_to_epoch_ms(F.col("o_orderdate"))
 
     def empty(kind):
         return F.lit(None).cast(kind)
 
     purchase = F.struct(
         F.when(F.col("o_orderkey") % 10 != 0, text("o_orderkey")).alias("transaction"),
-        (ms.cast("bigint") + F.lit(3600000)).alias("approved_date"),
+        (ms + F.lit(3600000)).alias("approved_date"),
         F.struct(F.col("o_totalprice").alias("value"), F.lit("BRL").alias("currency_code")).alias("price"),
         F.struct(F.col("o_orderpriority").alias("method"), F.col("o_orderstatus").alias("type"),
                  F.lit(3).alias("installments_number")).alias("payment"),

@@ -244,8 +244,7 @@ def pt_month(spark, sf):
     """,
 )
 def epoch_and_offset(spark, sf):
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    ms = F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).cast("bigint")
+    ms = dates.ts_to_epoch_ms(F.col("ts"))
     utc = dates.epoch_ms_to_ts(F.col("ms"))
     local = dates.fixed_offset(utc)
     return (

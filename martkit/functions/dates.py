@@ -47,6 +47,14 @@ def epoch_ms_to_ts(c: Column) -> Column:
     )
 
 
+def ts_to_epoch_ms(c: Column) -> Column:
+    """UTC wall-clock time -> whole milliseconds since 1970."""
+    t = c.cast("timestamp_ntz")
+    days = F.date_diff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1000 + (F.extract(F.lit("SECOND"), t) * 1000).cast("bigint")
+
+
 def fixed_offset(c: Column, hours: int = -3) -> Column:
     """Shift by a fixed number of hours (no daylight saving rule)."""
     return c.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))

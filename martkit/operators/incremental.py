@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martkit.functions.dates import ts_to_epoch_ms
 from martkit.functions.text import strip
 from martkit.operators.project import q
 
@@ -32,11 +33,6 @@ def load_windows(bounds: DataFrame, start: str, end: str, days: int = 30) -> Dat
     rows = bounds.where(begin < stop).select(
         stop.alias("__stop"), F.posexplode(F.sequence(begin, stop, step)).alias("__n", "window_start")
     )
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-
-    def millis(c: str) -> Column:
-        return F.timestamp_diff("MILLISECOND", epoch, F.col(c)).cast("bigint")
-
     return (
         rows.where(F.col("window_start") < F.col("__stop"))
         .select(
@@ -44,7 +40,12 @@ def load_windows(bounds: DataFrame, start: str, end: str, days: int = 30) -> Dat
             "window_start",
             F.least(F.col("window_start") + step, F.col("__stop")).alias("window_end"),
         )
-        .withColumns({"start_ms": millis("window_start"), "end_ms": millis("window_end")})
+        .withColumns(
+            {
+                "start_ms": ts_to_epoch_ms(F.col("window_start")),
+                "end_ms": ts_to_epoch_ms(F.col("window_end")),
+            }
+        )
     )
 
 

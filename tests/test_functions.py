@@ -98,6 +98,11 @@ def test_timestamps_ignore_zone(spark):
                 dt.datetime(1970, 1, 1), dt.datetime(2025, 1, 5, 10, 11, 12, 123000),
                 dt.datetime(1969, 12, 31, 23, 59, 59, 999000), None,
             ]
+            clock = [dt.datetime(1999, 10, 3, 0, 30), dt.datetime(1970, 1, 1, 0, 0, 0, 5000),
+                     dt.datetime(1969, 12, 31, 23, 59, 59, 999000), None]
+            back = values(spark, dates.ts_to_epoch_ms, clock, "timestamp_ntz")
+            assert back == [938910600000, 5, -1, None]
+            assert values(spark, dates.epoch_ms_to_ts, back, "bigint") == clock
             local = values(
                 spark, lambda c: dates.br_text(dates.fixed_offset(dates.epoch_ms_to_ts(c))),
                 [1736046000000, None], "bigint",

@@ -366,6 +366,19 @@ def test_load_windows(spark):
     assert incremental.load_windows(empty, "a", "z").count() == 0
 
 
+def test_load_windows_ignore_the_time_zone(spark):
+    """Thirty days are thirty days, also across a change of daylight saving time."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        b = frame(spark, "a timestamp_ntz, z timestamp_ntz", (dt.datetime(1999, 9, 20), dt.datetime(1999, 12, 1)))
+        got = [tuple(r) for r in incremental.load_windows(b, "a", "z").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r[1] for r in got] == [dt.datetime(1999, 9, 20), dt.datetime(1999, 10, 20), dt.datetime(1999, 11, 19)]
+    assert got[0][4] - got[0][3] == 30 * 86_400_000 and got[-1][2] == dt.datetime(1999, 12, 1)
+
+
 def test_upsert_control(spark):
     control = frame(spark, "feed string, max_date date", (" Ads ", dt.date(2024, 1, 1)), ("old", dt.date(2020, 1, 1)))
     updates = frame(spark, "feed string, max_date date", ("ads", dt.date(2025, 1, 1)), ("ads", dt.date(2025, 2, 1)),
