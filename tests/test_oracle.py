@@ -43,7 +43,7 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 # The joins that choose their way by size, forced to shuffle on both sides.
