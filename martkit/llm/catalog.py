@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, quality, sharding
+from martkit.llm import byte_bpe, decontaminate, near_dedup, quality, sharding
 from martkit.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.document_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     return byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
@@ -29,6 +33,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
