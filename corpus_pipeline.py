@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, quality
+from martkit.llm import byte_bpe, decontaminate, near_dedup, quality, suffix_dedup
 from martkit.llm.catalog import VOCABULARY
 from martkit.llm.tables import table
 from martkit.workspace import written
@@ -16,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere; one that is all such passages stays, empty."""
+    return suffix_dedup.drop_repeats(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words come from the benchmark."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -28,6 +38,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup_stage),
+    ("suffix_dedup", suffix_dedup_stage),
     ("decontamination", decontamination),
     ("encoding", encoding),
 ]

@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, near_dedup, quality, sharding
+from martkit.llm import byte_bpe, decontaminate, near_dedup, quality, sharding, suffix_dedup
 from martkit.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.document_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_near_duplicates": op3_near_duplicates,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martkit.llm.graph import components
-from martkit.llm.tables import SPACES, byte_list, record, utf8
+from martkit.llm.tables import SPACES, bounds_of, byte_list, groups, record, utf8
 from martkit.workspace import written
 
 SHINGLE = 5
@@ -149,34 +149,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Batches of whole groups from batches sorted by the key: a group that goes on is kept for the next batch."""
-    kept: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        cut = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
-        if kept and kept[-1].column(key)[-1].as_py() != keys[0]:
-            yield _joined(kept)
-            kept = []
-        if cut:
-            yield _joined([*kept, batch.slice(0, cut)])
-            kept = []
-        kept.append(batch.slice(cut))
-    if kept:
-        yield _joined(kept)
-
-
-def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
-
-
-def _bounds(keys: np.ndarray) -> np.ndarray:
-    """Where each group starts in sorted keys, and the end."""
-    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
-
-
 def _lists(column: pa.ListArray, width: int, dtype) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(-1, width)
 
@@ -200,10 +172,10 @@ def _likely(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     schema = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("cls", pa.int64()), ("mate", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _groups(batches, "node"):
+        for batch in groups(batches, "node"):
             tokens = _lists(batch.column("tokens"), TOKENS, np.int32)
             cls = batch.column("cls").to_numpy()
-            bounds = _bounds(batch.column("node").to_numpy())
+            bounds = bounds_of(batch.column("node").to_numpy())
             mates = np.full(len(cls), -1, np.int64)
             sizes = np.diff(bounds)
             two = bounds[:-1][sizes == 2]
@@ -310,11 +282,11 @@ def _links_between(rows: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _groups(batches, "node"):
+        for batch in groups(batches, "node"):
             tokens = _lists(batch.column("tokens"), TOKENS, np.int32)
             roots, masks = batch.column("root").to_numpy(), batch.column("mask").to_numpy()
             trees = batch.column("tree").to_numpy()
-            bounds = _bounds(batch.column("node").to_numpy())
+            bounds = bounds_of(batch.column("node").to_numpy())
             found = []
             for start, end in zip(bounds[:-1], bounds[1:]):
                 sets_here = [np.frombuffer(s.as_py(), np.uint64) for s in batch.column("shingles").slice(start, end - start)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,31 @@ def record(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 def byte_list(column: pa.Array) -> list[bytes]:
     """The values of a binary column, null as empty."""
     return [b"" if v is None else v for v in column.to_pylist()]
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of whole groups from batches sorted by the key: a group that goes on is kept for the next batch."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
+        if kept and kept[-1].column(key)[-1].as_py() != keys[0]:
+            yield _joined(kept)
+            kept = []
+        if cut:
+            yield _joined([*kept, batch.slice(0, cut)])
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield _joined(kept)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def bounds_of(keys: np.ndarray) -> np.ndarray:
+    """Where each group starts in sorted keys, and the end."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
