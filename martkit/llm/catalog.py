@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, near_dedup, quality, sharding, suffix_dedup
+from martkit.llm import byte_bpe, decontaminate, lang_id, lm_score, near_dedup, quality, sharding, suffix_dedup
 from martkit.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.document_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.document_languages(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.document_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     return byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
@@ -39,6 +47,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language_id": op4_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
