@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, lang_id, lm_score, near_dedup, quality, sharding, suffix_dedup
+from martkit.llm import byte_bpe, decontaminate, lang_id, licenses, lm_score, near_dedup, quality, sharding, suffix_dedup, url_lists
 from martkit.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.page_verdicts(table(spark, sf_dir, "pages"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.document_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,8 +48,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_url_filters": op2_url_filters,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_lm_scoring": op5_lm_scoring,
@@ -53,6 +62,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_url_filters": url_lists.PAGE_VERDICTS_SQL}
