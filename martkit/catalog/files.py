@@ -253,3 +253,148 @@ def web_report_json(spark, sf):
     )
     rows = readers.read_json_envelope(spark, path, record, field="rows")
     return flatten_report(rows, ["Data", "Evento"], ["Total"])
+
+
+@query(
+    "json_bad_record",
+    """
+    SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS reason FROM events WHERE event_id % 10 <> 3
+    UNION ALL SELECT NULL, NULL, 'wrong type: user_id' FROM events WHERE event_id % 10 = 3
+    """,
+)
+def json_bad_record(spark, sf):
+    """One record in ten has a text for an id; the nine beside it in its file stay."""
+    path = new_folder(spark, "json")
+    bad = F.when(F.col("event_id") % 10 == 3, F.lit("none")).otherwise(F.col("user_id").cast("string"))
+    land_json(event_records(spark, sf).withColumn("user_id", bad), path, lambda r: r)
+    good = readers.read_json_records(spark, path, EVENT).select("event_id", "user_id")
+    rejects = readers.read_json_rejects(spark, path, EVENT)
+    return combine.stack_diagonal(good.withColumn("reason", F.lit(None).cast("string")), rejects.select("reason"))
+
+
+@query(
+    "json_envelope_bad_record",
+    """
+    SELECT event_id, value, CAST(NULL AS VARCHAR) AS reason FROM events WHERE event_id % 10 <> 3
+    UNION ALL SELECT NULL, NULL, 'wrong type: value' FROM events WHERE event_id % 10 = 3
+    """,
+)
+def json_envelope_bad_record(spark, sf):
+    """Numbers as text are numbers; a record with no number at all is left out alone."""
+    path = new_folder(spark, "envelope")
+    text = F.when(F.col("event_id") % 10 == 3, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    land_json(event_records(spark, sf).withColumn("value", text), path, lambda r: F.struct(r.alias("dados")))
+    good = readers.read_json_envelope(spark, path, EVENT).select("event_id", "value")
+    rejects = readers.read_envelope_rejects(spark, path, EVENT)
+    return combine.stack_diagonal(good.withColumn("reason", F.lit(None).cast("string")), rejects.select("reason"))
+
+
+@query(
+    "csv_ragged_rows",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(NULL AS VARCHAR) AS reason
+    FROM customer WHERE c_custkey % 7 <> 0
+    UNION ALL SELECT NULL, NULL, 'more or fewer values than the header' FROM customer WHERE c_custkey % 7 = 0
+    """,
+)
+def csv_ragged_rows(spark, sf):
+    path = new_folder(spark, "csv")
+    key = F.col("c_custkey").cast("string")
+    row = F.when(F.col("c_custkey") % 14 == 7, key).when(
+        F.col("c_custkey") % 14 == 0, F.concat_ws(",", key, "c_name", F.lit("more"))
+    ).otherwise(F.concat_ws(",", key, "c_name"))
+    lines = table(spark, sf, "customer").select(row.alias("value")).coalesce(1)
+    spark.createDataFrame([("id,name",)], "value string").unionByName(lines).coalesce(1).write.text(path)
+    good = readers.read_csv_text(spark, f"{path}/*.txt")
+    rejects = readers.read_csv_rejects(spark, f"{path}/*.txt")
+    return combine.stack_diagonal(good.withColumn("reason", F.lit(None).cast("string")), rejects.select("reason"))
+
+
+@query(
+    "parquet_feed_rejects",
+    """
+    SELECT n_nationkey AS id, n_name AS name, CAST(NULL AS VARCHAR) AS reason FROM nation
+    UNION ALL SELECT NULL, NULL, 'no readable Parquet footer' FROM region WHERE r_regionkey = 0
+    UNION ALL SELECT NULL, NULL, 'smaller than 100 bytes' FROM region WHERE r_regionkey = 0
+    UNION ALL SELECT NULL, NULL, 'lacks name' FROM region WHERE r_regionkey = 0
+    """,
+)
+def parquet_feed_rejects(spark, sf):
+    """A damaged, a tiny and an incomplete file beside good ones."""
+    base = new_folder(spark, "feed")
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    nation.write.parquet(f"{base}/a")
+    nation.select("id").coalesce(1).write.parquet(f"{base}/b")
+    for name, text in (("c", "x" * 5000), ("d", "x")):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(f"{base}/{name}")
+    feed = _gathered(spark, base, ("a", "b", "c", "d"))
+    good = readers.read_parquet_feed(spark, feed, ["id", "name"])
+    rejects = readers.read_parquet_rejects(spark, feed, ["id", "name"])
+    return combine.stack_diagonal(good.withColumn("reason", F.lit(None).cast("string")), rejects.select("reason"))
+
+
+def _gathered(spark, base, folders):
+    """The part files of several folders in one, all named as Parquet files."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{base}/feed")
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(target)
+    for folder in folders:
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{folder}/part-*")):
+            name = status.getPath().getName()
+            fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/feed/{name.split('.')[0]}.parquet"))
+    return f"{base}/feed"
+
+
+@query(
+    "stack_versions_columns",
+    """
+    SELECT n_nationkey AS id, CAST(NULL AS VARCHAR) AS name, TIMESTAMP '2025-01-01' AS snapshot_time,
+           CAST(NULL AS VARCHAR) AS reason FROM nation
+    UNION ALL SELECT n_nationkey, n_name, TIMESTAMP '2025-01-02', NULL FROM nation
+    UNION ALL SELECT NULL, NULL, NULL, 'no version time in the path' FROM region WHERE r_regionkey = 0
+    """,
+)
+def stack_versions_columns(spark, sf):
+    """The second version has a column more, a third folder no time."""
+    path = new_folder(spark, "versions")
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    nation.select("id").write.parquet(f"{path}/load=20250101_000000")
+    nation.write.parquet(f"{path}/load=20250102_000000")
+    nation.coalesce(1).write.parquet(f"{path}/unknown")
+    stacked = readers.stack_snapshots(spark, path).select("id", "name", "snapshot_time")
+    rejects = readers.unstamped_files(spark, path).select("reason")
+    return combine.stack_diagonal(stacked.withColumn("reason", F.lit(None).cast("string")), rejects)
+
+
+@query(
+    "single_file_verdicts",
+    "SELECT 'one' AS files, 'accepted' AS verdict UNION ALL SELECT 'two', 'refused' UNION ALL SELECT 'none', 'refused'",
+)
+def single_file_verdicts(spark, sf):
+    path = new_folder(spark, "guard")
+    nation = table(spark, sf, "nation").select("n_nationkey").coalesce(1)
+    nation.write.parquet(f"{path}/one")
+    nation.write.parquet(f"{path}/two")
+    nation.write.mode("append").parquet(f"{path}/two")
+
+    def verdict(name):
+        try:
+            readers.require_single_file(spark, f"{path}/{name}/*.parquet")
+        except ValueError:
+            return "refused"
+        return "accepted"
+
+    table(spark, sf, "region").select("r_name").write.text(f"{path}/none")
+    return spark.createDataFrame([(n, verdict(n)) for n in ("one", "two", "none")], "files string, verdict string")
+
+
+@query("backup_table", "SELECT n_nationkey, n_name FROM nation")
+def backup_table(spark, sf):
+    """What a backup holds after the table has been replaced."""
+    path, copy = new_folder(spark, "table"), new_folder(spark, "backup")
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    writers.write_table(nation, path)
+    writers.backup_table(spark, path, copy)
+    writers.write_table(nation.where("n_nationkey < 3"), path)
+    return spark.read.parquet(copy)
