@@ -219,6 +219,7 @@ def _csv_frames(spark: SparkSession, path: str, seps: Sequence[str]) -> list[Dat
                 .option("multiLine", c["breaks"])
                 .option("escape", '"')
                 .option("columnNameOfCorruptRecord", CORRUPT)
+                .option("columnPruning", False)  # else a row is judged by the columns that a query takes
                 .csv(c["paths"])
             )
         )
