@@ -846,3 +846,48 @@ def mart_web(spark, sf):
         F.col("Visualizações").alias("total"),
     )
     return a.unionByName(b)
+
+
+@query(
+    "mart_sales_a_overlapping_pulls",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS buyer_ucode,
+           CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE 'new' END AS buyer_name,
+           CASE WHEN c_custkey % 3 = 0 THEN 'd1' ELSE 'd2' END AS document_value
+    FROM customer
+    """,
+)
+def mart_sales_a_overlapping_pulls(spark, sf):
+    """Two pulls show the same users; the newer one, which lacks a third of them, counts."""
+    customer = table(spark, sf, "customer")
+
+    def pull(name, document, rows):
+        documents = F.array(F.struct(F.lit(document).alias("value")))
+        user = F.struct(text("c_custkey").alias("ucode"), F.lit(name).alias("name"), documents.alias("documents"))
+        return rows.select(
+            F.array(F.struct(F.lit("BUYER").alias("role"), user.alias("user"))).alias("users"),
+            F.col("c_custkey").alias("pos"), F.lit(f"users_2025-0{1 + (name == 'new')}.json").alias("source_file"),
+        )
+
+    pulls = pull("old", "d1", customer).unionByName(pull("new", "d2", customer.where("c_custkey % 3 <> 0")))
+    return sales_a.buyers(pulls)
+
+
+@query(
+    "mart_contacts_lead_versions",
+    """
+    SELECT 'N' || c_custkey AS nome_lead_Active, 'm' || c_custkey AS email_lead_Active,
+           CASE WHEN c_custkey % 4 = 0 THEN '2024-01-01' ELSE '2025-03-04' END AS cdate_Active
+    FROM customer
+    """,
+)
+def mart_contacts_lead_versions(spark, sf):
+    """Two versions; the older one, which holds a quarter of the contacts, counts where it has one."""
+    def version(rows, day):
+        given = {"nome_lead_Active": F.concat(F.lit("N"), text("c_custkey")),
+                 "email_lead_Active": F.concat(F.lit("m"), text("c_custkey")), "cdate_Active": F.lit(day)}
+        return rows.select([given.get(n, F.lit(None).cast("string")).alias(n) for n in c.CONTACT_LEAD.values()])
+
+    customer = table(spark, sf, "customer")
+    both = contacts.leads(version(customer.where("c_custkey % 4 = 0"), "2024-01-01 x"), version(customer, "2025-03-04T10"))
+    return both.select("nome_lead_Active", "email_lead_Active", "cdate_Active")

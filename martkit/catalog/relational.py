@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from martkit.catalog.registry import query, table
 from martkit.functions.dates import open_end
 from martkit.functions.keys import fallback_key
 from martkit.functions.text import format_label
 from martkit.operators import aggregate, combine, dedup, filters, history, ids, incremental, joins
-from martkit.operators import project, star
+from martkit.operators import project, spread, star
+from martkit.workspace import written
 
 
 def active_customers(spark, sf):
@@ -727,3 +729,90 @@ def current_rows(spark, sf):
         ),
     )
     return filters.current_rows(versions).select("p_brand", "p_type", F.col("p_partkey").alias("id"))
+
+
+# --- queries that an operator that does nothing would fail ---------------------
+
+
+@query(
+    "keep_members",
+    "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)",
+)
+def keep_members(spark, sf):
+    rich = table(spark, sf, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("c_nationkey"))
+    return joins.keep_members(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), rich, "c_nationkey")
+
+
+@query(
+    "observed_counts",
+    """
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (user_id % 5 = 0) AS BIGINT) AS user_id_nulls,
+           CAST(0 AS BIGINT) AS event_type_nulls FROM events
+    """,
+)
+def observed_counts(spark, sf):
+    """What a write counted on its way."""
+    events = table(spark, sf, "events").select(
+        F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("user_id"), "event_type"
+    )
+    df, seen = aggregate.observed(events, "events", ["user_id", "event_type"])
+    written(df)
+    return spark.createDataFrame(
+        [tuple(seen.get[n] for n in ("n_rows", "user_id_nulls", "event_type_nulls"))],
+        "n_rows long, user_id_nulls long, event_type_nulls long",
+    )
+
+
+@query(
+    "order_mixed_positions",
+    """
+    SELECT user_id, ts, event_id,
+           row_number() OVER (ORDER BY user_id, ts DESC, event_id) - 1 AS position FROM events
+    """,
+)
+def order_mixed_positions(spark, sf):
+    """The whole order: each row's place, from the sizes of the range partitions before its own."""
+    df = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    order = [("user_id", "asc"), ("ts", "desc"), ("event_id", "asc")]
+    place = F.monotonically_increasing_id()
+    fixed = written(project.order_rows(df, order, whole=True).withColumn("place", place))
+    part = F.shiftright("place", 33)
+    sizes = fixed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    row = F.col("place").bitwiseAND((1 << 33) - 1)
+    return fixed.withColumn("part", part).join(starts, "part").select(
+        "user_id", "ts", "event_id", (F.col("start") + row).alias("position")
+    )
+
+
+@query(
+    "dense_ids_ranges",
+    """
+    SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey || '/' || o_orderpriority) AS BIGINT) AS id
+    FROM orders
+    """,
+)
+def dense_ids_ranges(spark, sf):
+    """Ids by range partitions, whatever the number of labels."""
+    label = F.concat_ws("/", F.col("o_custkey").cast("string"), "o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", label.alias("label"))
+    return ids.add_dim_ids(df, "label", "id", one_task_labels=0).drop("label")
+
+
+@query(
+    "left_lookup_hot_keys",
+    """
+    SELECT l_orderkey, l_linenumber, l_returnflag, n FROM lineitem
+    LEFT JOIN (SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n FROM lineitem WHERE l_returnflag <> 'A'
+               GROUP BY l_returnflag) USING (l_returnflag)
+    """,
+)
+def left_lookup_hot_keys(spark, sf):
+    """The branch for lookups too large to broadcast, with keys that hold a third of all rows."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    counts = lines.where("l_returnflag <> 'A'").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    small = written(counts)
+    return spread.left_lookup(
+        lines, small, ["l_returnflag"], rows_per_task=1000, broadcast_bytes=0, broadcast_estimate=0
+    )

@@ -23,14 +23,16 @@ def flag_latest(
     alias: str,
     spread_by: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    times_from: DataFrame | None = None,
 ) -> DataFrame:
     """1 where the row has the newest time of its key, else 0.
 
     Ties are all flagged; a row without a time gets null. Rows without a key
     form one group. A window would pull all rows of a key into one task, so the
-    newest time is aggregated map-side and looked up again.
+    newest time is aggregated map-side and looked up again. ``times_from`` is an
+    earlier stage of the frame with the same keys and times that is cheaper to read.
     """
-    per_key = df.groupBy(q(key)).agg(
+    per_key = (df if times_from is None else times_from).groupBy(q(key)).agg(
         F.max(q(ts)).alias("__newest"), F.count(F.lit(1)).alias("__n")
     )
     out = left_lookup(
@@ -58,6 +60,7 @@ def scd2_from_snapshots(
     enough for one task and for a broadcast.
     """
     by_time = Window.orderBy("__ts")
+    df = df.withColumn(ts, F.coalesce(q(ts), F.raise_error(F.lit(f"a snapshot row has no {ts}"))))
     times = (
         df.select(q(ts).alias("__ts"))
         .distinct()

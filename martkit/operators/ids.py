@@ -12,7 +12,8 @@ from martkit.operators.spread import ROWS_PER_TASK, estimated_bytes, left_lookup
 from martkit.workspace import written
 
 _PART = "__part"
-# Labels up to this size are sorted by one task.
+# So many labels at most are sorted by one task; the estimate saves counting where it is small already.
+ONE_TASK_LABELS = 200_000
 ONE_TASK_BYTES = 16 << 20
 
 
@@ -50,16 +51,20 @@ def _by_ranges(counts: DataFrame, col: str, id_col: str, start: int) -> DataFram
     )
 
 
-def number_labels(counts: DataFrame, col: str, id_col: str, start: int = 1) -> DataFrame:
+def number_labels(
+    counts: DataFrame, col: str, id_col: str, start: int = 1, one_task_labels: int | None = None
+) -> DataFrame:
     """Consecutive ids over distinct labels in sort order, null last.
 
     Spark's estimate of the labels is that of the rows they come from. If that
-    is too large for one task, the labels are written and their real size
-    decides between one task and range partitions.
+    is too large for one task, the labels are written and their number decides
+    between one task and range partitions.
     """
-    if estimated_bytes(counts) > ONE_TASK_BYTES:
+    most = ONE_TASK_LABELS if one_task_labels is None else one_task_labels
+    small = most > 0 and estimated_bytes(counts) <= ONE_TASK_BYTES
+    if not small and most > 0 and ONE_TASK_BYTES >= 0:
         counts = written(counts)
-    small = estimated_bytes(counts) <= ONE_TASK_BYTES
+        small = counts.count() <= most
     return (_in_one_task if small else _by_ranges)(counts, col, id_col, start)
 
 
@@ -77,6 +82,7 @@ def add_dim_ids(
     as_text: bool = False,
     counts_from: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    one_task_labels: int | None = None,
 ) -> DataFrame:
     """Attach the dense id of each row's label; no label gives ``missing``.
 
@@ -84,7 +90,7 @@ def add_dim_ids(
     They may be taken from an earlier stage of the frame with the same labels.
     """
     base = df if counts_from is None else counts_from
-    numbered = number_labels(label_counts(base, col, include_null), col, id_col)
+    numbered = number_labels(label_counts(base, col, include_null), col, id_col, 1, one_task_labels)
     out = left_lookup(
         df.drop(id_col), numbered, [col], nulls_match=include_null, count_col="__n",
         rows_per_task=rows_per_task,

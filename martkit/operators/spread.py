@@ -117,6 +117,7 @@ def left_lookup(
     spread_by: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_estimate: int | None = None,
 ) -> DataFrame:
     """Left join of ``big`` to ``small``, which has at most one row per key.
 
@@ -126,7 +127,8 @@ def left_lookup(
     counted when both sides have to be shuffled, in ``counts_from`` if given: an
     earlier stage of ``big`` with the same keys that is cheaper to read. Hot keys
     are spread by a hash of all columns, or of ``spread_by`` where only few
-    columns of a wide frame are used later.
+    columns of a wide frame are used later. ``broadcast_estimate`` stands in for
+    Spark's threshold on the estimated size.
     """
     extra = [c for c in small.columns if c not in keys and c != count_col]
     renamed = [f"__k_{i}" for i in range(len(keys))]
@@ -135,7 +137,7 @@ def left_lookup(
         return df.select(*[q(k).alias(r) for k, r in zip(keys, renamed)], *[q(c) for c in extra])
 
     on = _same([q(k) for k in keys], [F.col(r) for r in renamed], nulls_match)
-    threshold = broadcast_threshold(small)
+    threshold = broadcast_threshold(small) if broadcast_estimate is None else broadcast_estimate
     if estimated_bytes(small) <= threshold:
         return big.join(F.broadcast(right_side(small)), on, "left").drop(*renamed)
     small = written(small)

@@ -71,13 +71,16 @@ def leads(*versions: DataFrame) -> DataFrame:
         rename_aliases(v, c.CONTACT_LEAD_ALIASES).withColumn("__version", F.lit(i))
         for i, v in enumerate(versions)
     ]
-    df = stack_strict(*frames).withColumn(
-        "cdate_Active", clip(strip(F.col("cdate_Active")), 10)
-    )
+    return leads_over(stack_strict(*frames), "__version")
+
+
+def leads_over(versions: DataFrame, by: str) -> DataFrame:
+    """As :func:`leads`, from one frame that holds all versions, told apart and ordered by a column."""
+    df = versions.withColumn("cdate_Active", clip(strip(F.col("cdate_Active")), 10))
     kept = require_text(df, "email_lead_Active")
     names = [*(["pos"] if "pos" in kept.columns else []), *c.CONTACT_LEAD.values()]
-    order = [F.col("__version"), *[q(x).asc_nulls_last() for x in names]]
-    return dedup_by_key(kept, ["email_lead_Active"], order).drop("__version", "pos")
+    order = [q(by), *[q(x).asc_nulls_last() for x in names]]
+    return dedup_by_key(kept, ["email_lead_Active"], order).drop(by, "pos")
 
 
 def lead_columns(wide: DataFrame) -> DataFrame:
@@ -86,12 +89,13 @@ def lead_columns(wide: DataFrame) -> DataFrame:
     return select_renamed(wide.withColumns(absent), c.CONTACT_LEAD)
 
 
-def build_contacts(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The seven contact feeds to the wide table and the lead table."""
+def build_contacts(inputs: dict[str, DataFrame], *older: DataFrame) -> dict[str, DataFrame]:
+    """The seven contact feeds to the wide table and the lead table.
+
+    ``older`` are the lead columns of earlier versions, the oldest first.
+    """
     wide = wide_contacts(
         inputs["contacts"], inputs["fields"], inputs["field_values"], inputs["tags"],
         inputs["contact_tags"], inputs["lists"], inputs["contact_lists"],
     )
-    return {"contacts": wide, "leads": leads(lead_columns(wide))}
-
-
+    return {"contacts": wide, "leads": leads(*older, lead_columns(wide))}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkit.functions.keys import pipe_key
 from martkit.functions.nested import first_of
@@ -27,15 +28,19 @@ from martkit.plans import contracts as c
 DELETED = "deleted"
 
 
-def silver_moves(
-    events: DataFrame, persons: DataFrame, person_fields: DataFrame, deals: DataFrame
-) -> DataFrame:
-    """Movement events as text, with the person's campaign tags and the active flag."""
+def _event_texts(events: DataFrame) -> DataFrame:
     if {"old_value", "old_stage_id"} <= set(events.columns):
         events = events.withColumns(
             {new: F.coalesce(new, old) for old, new in c.MOVE_RENAMES.items()}
         ).drop(*c.MOVE_RENAMES)
-    source = all_to_string(rename_aliases(events, c.MOVE_RENAMES))
+    return all_to_string(rename_aliases(events, c.MOVE_RENAMES))
+
+
+def silver_moves(
+    events: DataFrame, persons: DataFrame, person_fields: DataFrame, deals: DataFrame
+) -> DataFrame:
+    """Movement events as text, with the person's campaign tags and the active flag."""
+    source = _event_texts(events)
     df = enrich_attributes(
         source, persons, "person_id", "id", "fields", person_fields, c.UTM_ALIASES
     )
@@ -46,17 +51,29 @@ def silver_moves(
     return align_to_contract(df, schema, dict.fromkeys(c.MOVE_COLUMNS, ""))
 
 
-def ft_move(silver: DataFrame, deals: DataFrame | None = None) -> DataFrame:
+def _typed_moves(silver: DataFrame) -> DataFrame:
+    df = fill_text(drop_present(silver, c.MOVE_DROPPED))
+    return lenient_cast(df, ints=c.MOVE_INTS, floats=c.MOVE_FLOATS, timestamps=c.MOVE_TIMES)
+
+
+def ft_move(
+    silver: DataFrame, deals: DataFrame | None = None, events: DataFrame | None = None
+) -> DataFrame:
     """Typed fact with the movement date and the latest-movement flag.
 
     With a deals snapshot the active flag is taken from it again: deals that are
-    not deleted count as active.
+    not deleted count as active. The newest time of each deal is looked for in
+    the raw ``events``, where given, so that the enrichment need not run twice.
     """
-    df = fill_text(drop_present(silver, c.MOVE_DROPPED))
-    df = lenient_cast(df, ints=c.MOVE_INTS, floats=c.MOVE_FLOATS, timestamps=c.MOVE_TIMES)
-    df = rename_aliases(df, {"deal_ativo": "flag_deal_ativo"})
+    df = rename_aliases(_typed_moves(silver), {"deal_ativo": "flag_deal_ativo"})
+    times = None
+    if events is not None:
+        key = {n: T.StringType() for n in ("deal_id", "timestamp")}
+        schema = T.StructType([T.StructField(n, t) for n, t in key.items()])
+        times = _typed_moves(align_to_contract(_event_texts(events), schema, dict.fromkeys(key, "")))
     df = flag_latest(
-        df.withColumn("date", F.to_date("timestamp")), "deal_id", "timestamp", "flg_ultimo_movimento"
+        df.withColumn("date", F.to_date("timestamp")), "deal_id", "timestamp", "flg_ultimo_movimento",
+        times_from=times,
     )
     if deals is None:
         return df
@@ -123,7 +140,7 @@ def build_crm(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     )
     return {
         "silver_moves": silver,
-        "ft_move": ft_move(silver, inputs["deals"]),
+        "ft_move": ft_move(silver, inputs["deals"], inputs["moves"]),
         "dim_person": select_all(dim_person(inputs["persons"]), c.DIM_PERSON),
         **stage_dims(inputs["stages"]),
     }

@@ -8,23 +8,43 @@ When to run what is left to the caller's own scheduler.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.text import NULL_TOKENS
+from martkit.operators.combine import stack_strict
 from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
 from martkit.plans import contracts as c
 from martkit.sources.readers import (
+    read_csv_rejects,
     read_csv_text,
+    read_envelope_rejects,
     read_json_envelope,
     read_json_records,
+    read_json_rejects,
     version_time,
 )
-from martkit.sources.writers import write_table
+from martkit.sources.writers import LOAD_COL, write_table, write_version
 
 Inputs = dict[str, DataFrame]
 
+ADS_A_FEEDS = {
+    "campaigns": c.ADS_A_CAMPAIGN, "adsets": c.ADS_A_ADSET, "ads": c.ADS_A_AD,
+    "targeting": c.ADS_A_TARGETING, "creatives": c.ADS_A_CREATIVE, "media": c.ADS_A_MEDIA,
+}
+FIELD_VALUE = "contact string, field string, value string"
+CONTACT_FEEDS = {
+    "contacts": "id string, firstName string, lastName string, email string, cdate string",
+    "fields": "id string, title string",
+    "tags": "id string, tag string",
+    "contact_tags": "contact string, tag string",
+    "lists": "id string, name string",
+    "contact_lists": "contact string, list string, status string",
+}
+WEB_RECORD = "dimension_values array<struct<value:string>>, metric_values array<struct<value:string>>"
+
 
 def save(tables: Mapping[str, DataFrame], root: str, only: Sequence[str] | None = None) -> None:
     """Write tables of a mart, each to a folder of its name."""
@@ -43,10 +63,8 @@ def _json_folders(
 
 
 def read_ads_a(spark: SparkSession, root: str) -> Inputs:
-    insights = {"campaigns": c.ADS_A_CAMPAIGN, "adsets": c.ADS_A_ADSET, "ads": c.ADS_A_AD}
-    lookups = {
-        "targeting": c.ADS_A_TARGETING, "creatives": c.ADS_A_CREATIVE, "media": c.ADS_A_MEDIA,
-    }
+    insights = {n: ADS_A_FEEDS[n] for n in ("campaigns", "adsets", "ads")}
+    lookups = {n: s for n, s in ADS_A_FEEDS.items() if n not in insights}
     return _json_folders(spark, root, insights, True) | _json_folders(spark, root, lookups)
 
 
@@ -88,20 +106,8 @@ def read_sales_b(spark: SparkSession, root: str) -> Inputs:
 
 def read_contacts(spark: SparkSession, root: str) -> Inputs:
     """Seven feeds; field values carry their position in the file as ``pos``."""
-    values = read_json_envelope(
-        spark, f"{root}/field_values", "contact string, field string, value string", "fieldValues"
-    )
-    plain = _json_folders(
-        spark, root,
-        {
-            "contacts": "id string, firstName string, lastName string, email string, cdate string",
-            "fields": "id string, title string",
-            "tags": "id string, tag string",
-            "contact_tags": "contact string, tag string",
-            "lists": "id string, name string",
-            "contact_lists": "contact string, list string, status string",
-        },
-    )
+    values = read_json_envelope(spark, f"{root}/field_values", FIELD_VALUE, "fieldValues")
+    plain = _json_folders(spark, root, CONTACT_FEEDS)
     return plain | {"field_values": values}
 
 
@@ -123,11 +129,8 @@ def read_fx(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_web(spark: SparkSession, root: str) -> Inputs:
-    record = (
-        "dimension_values array<struct<value:string>>, metric_values array<struct<value:string>>"
-    )
     return {
-        name: read_json_envelope(spark, f"{root}/{name}", record, "rows") for name in c.WEB_REPORTS
+        name: read_json_envelope(spark, f"{root}/{name}", WEB_RECORD, "rows") for name in c.WEB_REPORTS
     }
 
 
@@ -147,14 +150,72 @@ def run_crm(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
     save(tables, gold)
 
 
-def run_mart(spark: SparkSession, name: str, bronze: str, gold: str) -> None:
-    """Read the landed files of a mart and write its tables."""
+def _json_rejects(spark: SparkSession, root: str, schemas: Mapping[str, str]) -> list[DataFrame]:
+    return [read_json_rejects(spark, f"{root}/{name}", schema) for name, schema in schemas.items()]
+
+
+def _envelope_rejects(spark: SparkSession, root: str, feeds: Mapping[str, tuple[str, str]]) -> list[DataFrame]:
+    return [read_envelope_rejects(spark, f"{root}/{n}", record, field) for n, (record, field) in feeds.items()]
+
+
+def _csv_rejects(spark: SparkSession, root: str, names: Sequence[str]) -> list[DataFrame]:
+    return [read_csv_rejects(spark, f"{root}/{name}/*.csv") for name in names]
+
+
+def rejects(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """File, text and reason of every record that the readers of a mart leave out."""
+    person = c.PERSON + ", fields map<string,string>"
+    parts = {
+        "ads_a": lambda: _json_rejects(spark, root, ADS_A_FEEDS),
+        "ads_b": lambda: _csv_rejects(spark, root, ("campaigns", "groups", "ads", "keywords", "audiences")),
+        "crm": lambda: _json_rejects(
+            spark, root,
+            {"moves": c.MOVE_EVENT, "persons": person, "person_fields": "key string, name string",
+             "deals": "id bigint, status string", "stages": c.STAGE},
+        ),
+        "sales_a": lambda: _envelope_rejects(
+            spark, root, {"sales": (c.SALES_A_RECORD, "dados"), "users": (c.USERS_A_RECORD, "dados")}
+        ),
+        "sales_b": lambda: _csv_rejects(spark, root, ("sales", "projection")),
+        "contacts": lambda: [
+            *_json_rejects(spark, root, CONTACT_FEEDS),
+            *_envelope_rejects(spark, root, {"field_values": (FIELD_VALUE, "fieldValues")}),
+        ],
+        "social": lambda: _json_rejects(
+            spark, root,
+            {"pages": c.SOCIAL_PAGE, "accounts": c.SOCIAL_ACCOUNT, "channels": c.SOCIAL_CHANNEL},
+        ),
+        "calls": lambda: _csv_rejects(spark, root, ("calls",)),
+        "fx": lambda: _json_rejects(spark, root, {"fx": c.FX}),
+        "web": lambda: _envelope_rejects(spark, root, {n: (WEB_RECORD, "rows") for n in c.WEB_REPORTS}),
+    }
+    return stack_strict(*parts[name]())
+
+
+def run_contacts(spark: SparkSession, bronze: str, gold: str, version: str | None = None) -> None:
+    """The contacts mart; leads are those of all versions that ever ran, each kept beside the others."""
+    tables = contacts.build_contacts(read_contacts(spark, bronze))
+    write_table(tables["contacts"], f"{gold}/contacts")
+    stamp = version or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    wide = spark.read.parquet(f"{gold}/contacts")
+    write_version(contacts.lead_columns(wide), f"{gold}/lead_versions", stamp)
+    versions = spark.read.parquet(f"{gold}/lead_versions")
+    write_table(contacts.leads_over(versions, LOAD_COL), f"{gold}/leads")
+
+
+def run_mart(
+    spark: SparkSession, name: str, bronze: str, gold: str, silver: str | None = None, version: str | None = None
+) -> None:
+    """Read the landed files of a mart and write its tables, and the records left out to ``rejects``.
+
+    ``silver`` is where the CRM mart keeps its events (beside the gold root by
+    default); ``version`` names this run's leads in the contacts mart.
+    """
     build = {
         "ads_a": lambda: ads_a.build_ads_a(read_ads_a(spark, bronze)),
         "ads_b": lambda: ads_b.build_ads_b(read_ads_b(spark, bronze)),
         "sales_a": lambda: sales_a.build_sales_a(read_sales_a(spark, bronze)),
         "sales_b": lambda: sales_b.build_sales_b(read_sales_b(spark, bronze)),
-        "contacts": lambda: contacts.build_contacts(read_contacts(spark, bronze)),
         "social": lambda: small.build_social(read_social(spark, bronze)),
         "calls": lambda: {"calls": small.build_calls(read_calls(spark, bronze))},
         "fx": lambda: {
@@ -164,4 +225,10 @@ def run_mart(spark: SparkSession, name: str, bronze: str, gold: str) -> None:
         },
         "web": lambda: small.build_web(read_web(spark, bronze)),
     }
-    save(build[name](), gold)
+    if name == "crm":
+        run_crm(spark, bronze, silver or f"{gold.rstrip('/')}_silver", gold)
+    elif name == "contacts":
+        run_contacts(spark, bronze, gold, version)
+    else:
+        save(build[name](), gold)
+    write_table(rejects(spark, name, bronze), f"{gold}/rejects")

@@ -10,6 +10,7 @@ from martkit.functions.keys import fallback_key
 from martkit.operators.aggregate import first_per_group
 from martkit.operators.dedup import last_wins
 from martkit.operators.explode import explode_children, flatten_paths
+from martkit.operators.spread import left_lookup
 from martkit.plans import contracts as c
 
 
@@ -44,9 +45,10 @@ def sales(records: DataFrame) -> DataFrame:
 
 
 def buyers(records: DataFrame) -> DataFrame:
-    """One row per buyer: first name, first document that has a value.
+    """One row per buyer: first name, first document that has a value, of the newest pull that shows the buyer.
 
-    The order is that of the records and of the entries inside each.
+    The order is that of the records and of the entries inside each. Pulls are
+    told apart by their file, where the reader kept it.
     """
     placed = records.withColumn("record", F.struct(*_place(records))).drop("pos")
     rows = explode_children(
@@ -61,6 +63,11 @@ def buyers(records: DataFrame) -> DataFrame:
         child_cols={"document_value": lambda d: d["value"]},
         carry=["record"],
     )
+    if "source_file" in records.columns:
+        rows = rows.withColumn("__pull", F.col("record.source_file"))
+        newest = rows.groupBy("buyer_ucode").agg(F.max("__pull").alias("__newest"), F.count(F.lit(1)).alias("__n"))
+        dated = left_lookup(rows, newest, ["buyer_ucode"], nulls_match=True, count_col="__n")
+        rows = dated.where(F.col("__pull").eqNullSafe(F.col("__newest"))).drop("__pull", "__newest")
     order = F.struct("record", "pos", F.coalesce("child_pos", F.lit(-1)))
     return first_per_group(
         rows, ["buyer_ucode"], order, {"buyer_name": False, "document_value": True}

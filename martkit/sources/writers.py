@@ -57,7 +57,8 @@ def rewrite_versions(
     """A10: apply a computation over all versions and write each version back in place.
 
     The result is first written to the shared folder, so the table is never
-    read and overwritten by the same job, and a failed run leaves it as it was.
+    read and overwritten by the same job, and a run that fails before that is
+    done leaves it as it was. The versions are then replaced one after the other.
     """
     staged = new_folder(spark, "rewrite")
     change(spark.read.parquet(path)).write.parquet(staged)
