@@ -338,19 +338,19 @@ def test_outputs_survive_a_second_run(spark, tmp_path):
 
 def test_run_mart_takes_every_mart_and_writes_rejects(spark, tmp_path):
     land(tmp_path, "moves", "m.json", [
-        {"id": 1, "deal_id": 7, "timestamp": "2025-01-01 00:00:00"}, {"id": 2, "deal_id": "none"},
-        {"id": 3, "deal_id": 7, "timestamp": "2025-01-02 00:00:00"},
+        {"deal_id": "7", "timestamp": "2025-01-01 00:00:00"}, {"deal_id": "7", "timestamp": "2025-01-02 00:00:00"},
     ])
-    land(tmp_path, "persons", "p.json", [{"id": 5, "name": "P"}])
+    land(tmp_path, "persons", "p.json", [{"id": 5, "name": "P"}, {"id": "x", "name": "Q"}, {"id": 6, "name": "R"}])
     land(tmp_path, "person_fields", "f.json", [{"key": "k", "name": "n"}])
     land(tmp_path, "deals", "d.json", [{"id": 7, "status": "open"}])
     land(tmp_path, "stages", "s_20250101_000000.json", [
-        {"id": 1, "name": "Won", "pipeline_id": 1, "pipeline_name": "Funnel", "order_nr": 1},
+        {"stage_id": 1, "stage_name": "Won", "pipeline_id": 1, "pipeline_name": "Funnel", "stage_order_nr": 1},
     ])
     layers.run_mart(spark, "crm", str(tmp_path), str(tmp_path / "gold"))
-    assert gold(spark, tmp_path, "ft_move").count() == 2
+    assert rows(gold(spark, tmp_path, "ft_move").select("flg_ultimo_movimento")) == [(0,), (1,)]
+    assert rows(gold(spark, tmp_path, "dim_person").select("id")) == [(5,), (6,)]
     left_out = gold(spark, tmp_path, "rejects").collect()
-    assert [(os.path.basename(r["source_file"]), r["reason"]) for r in left_out] == [("m.json", "wrong type: deal_id")]
+    assert [(os.path.basename(r["source_file"]), r["reason"]) for r in left_out] == [("p.json", "wrong type: id")]
 
 
 def test_snapshot_without_time_stops_the_history(spark):
