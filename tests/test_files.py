@@ -177,3 +177,39 @@ def test_shared_folder_is_the_configured_one(spark):
     if named:
         assert shared_dir(spark) == named.rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_records_are_judged_one_by_one(spark, tmp_path):
+    d = str(tmp_path / "j")
+    put(d, "a.json", '[{"id": 1, "name": "x"}, {"id": "x"}, {"id": 3.5}, {"id": ""}, {"id": "7"}]')
+    assert rows(readers.read_json_records(spark, d, REC)) == sorted([(1, "x"), (None, None), (7, None)], key=repr)
+    bad = readers.read_json_rejects(spark, d, REC).collect()
+    assert [r["reason"] for r in bad] == ["wrong type: id"] * 2
+    nested = "id long, parts array<struct<n:long>>"
+    put(str(tmp_path / "n"), "a.json", '[{"id": 1, "parts": [{"n": 1}]}, {"id": 2, "parts": [{"n": "x"}]}, {"id": 3}]')
+    got = readers.read_json_records(spark, str(tmp_path / "n"), nested).select("id")
+    assert rows(got) == [(1,), (3,)]
+
+
+def test_damage_behind_a_good_footer_stops_the_job(spark, tmp_path):
+    path = tmp_path / "feed"
+    spark.range(200_000).coalesce(1).write.parquet(str(path))
+    [part] = path.glob("*.parquet")
+    data = bytearray(part.read_bytes())
+    data[1000:60_000] = bytes(59_000)
+    part.write_bytes(data)
+    for crc in path.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        readers.read_parquet_feed(spark, str(path)).selectExpr("sum(id)").collect()
+
+
+def test_intermediates_are_dropped(spark, tmp_path):
+    import os
+
+    from martkit import workspace
+
+    with workspace.intermediates(spark):
+        assert workspace.written(spark.range(3)).count() == 3
+        assert os.path.isdir(workspace.run_dir(spark).removeprefix("file:"))
+    assert not os.path.isdir(workspace.run_dir(spark).removeprefix("file:"))

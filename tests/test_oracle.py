@@ -23,6 +23,8 @@ ONE_TASK = {
     "json_rejects", "mart_crm_stage_history", "mart_ads_b", "mart_ads_b_audience", "dense_ids_sorted",
     "dense_ids_many", "dense_ids_text", "profile", "max_value", "high_watermark", "missing_days",
     "load_windows", "scd2_from_snapshots", "snapshot_diff",
+    # sizes of range partitions, one row each
+    "order_mixed_positions", "dense_ids_ranges",
 }
 
 
