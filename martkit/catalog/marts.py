@@ -265,7 +265,7 @@ def mart_ads_b_campaign(spark, sf):
     return attach_dims(fact, {"id_campanha": ads_b.build_dim(campaigns, c.DIM_CAMPANHA)})
 
 
-def ads_b_mart(spark, sf):
+def ads_b_mart(spark, sf, *only):
     sheet = ads_b_sheet(spark, sf)
     keywords = sheet.select(
         "data", F.col("nome_anuncio").alias("palavra_chave"), F.lit("EXACT").alias("tipo_correspondencia"),
@@ -283,7 +283,8 @@ def ads_b_mart(spark, sf):
     )
     ads = sheet.select([x for x in c.ADS_B_AD_COLUMNS if x in sheet.columns])
     return ads_b.build_ads_b(
-        {"campaigns": sheet, "groups": sheet, "ads": ads, "keywords": keywords, "audiences": audiences}
+        {"campaigns": sheet, "groups": sheet, "ads": ads, "keywords": keywords, "audiences": audiences},
+        only,
     )
 
 
@@ -301,7 +302,7 @@ def ads_b_mart(spark, sf):
     """,
 )
 def mart_ads_b(spark, sf):
-    mart = ads_b_mart(spark, sf)
+    mart = ads_b_mart(spark, sf, "fato_anuncio", "dim_anuncio", "dim_rede", "dim_dispositivo", "dim_grupoAnuncio")
     ad = mart["dim_anuncio"].select("id_anuncio", "nome_anuncio")
     return attach_dims(
         mart["fato_anuncio"],
@@ -325,7 +326,7 @@ def mart_ads_b(spark, sf):
     """,
 )
 def mart_ads_b_audience(spark, sf):
-    mart = ads_b_mart(spark, sf)
+    mart = ads_b_mart(spark, sf, "fato_publico_alvo", "dim_publico_alvo")
     return attach_dims(mart["fato_publico_alvo"], {"id_publico": mart["dim_publico_alvo"]})
 
 
@@ -340,7 +341,7 @@ def mart_ads_b_audience(spark, sf):
     """,
 )
 def mart_ads_b_groups_keywords(spark, sf):
-    mart = ads_b_mart(spark, sf)
+    mart = ads_b_mart(spark, sf, "fato_grupoAnuncio", "fato_keywords")
     groups = mart["fato_grupoAnuncio"].select(
         F.lit("group").alias("kind"), "data", F.col("id_grupo").alias("id"),
         F.col("status_grupo").alias("status"), "custo",

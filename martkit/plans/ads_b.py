@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,19 @@ from pyspark.sql import types as T
 from martkit.functions.dates import parse_date
 from martkit.functions.numbers import comma_to_dot, scrub_float, scrub_int
 from martkit.operators.combine import stack_relaxed
-from martkit.operators.ids import add_dim_ids, strip_label
-from martkit.operators.project import align_to_contract, blank_to_zero, lenient_cast, q, select_present
+from martkit.operators.ids import add_dim_ids, label_counts, number_labels, strip_label
+from martkit.operators.project import (
+    align_to_contract,
+    blank_to_zero,
+    lenient_cast,
+    q,
+    select_all,
+    select_present,
+)
+from martkit.operators.spread import left_lookup
 from martkit.operators.star import build_dim, build_fact
 from martkit.plans import contracts as c
+from martkit.workspace import written
 
 AUDIENCE = "publicos_do_grupo"
 
@@ -48,45 +58,77 @@ def silver_audience(feed: DataFrame) -> DataFrame:
     return add_dim_ids(strip_label(df, AUDIENCE), AUDIENCE, "id_publico")
 
 
-def combine_ads(frames: Sequence[DataFrame]) -> DataFrame:
-    """All ad rows in contract order with text ids for device and network.
+AD_LABELS = ("dispositivo", "rede")
 
-    Files from before a column existed get it as null. The ids follow the sort
-    order of the labels, null last.
-    """
+
+def ad_rows(frames: Sequence[DataFrame]) -> DataFrame:
+    """All ad rows in contract order; files from before a column existed get it as null."""
     text = set(c.ADS_B_AD_COLUMNS) - {"data", *c.ADS_B_INTS, *c.ADS_B_FLOATS}
     types = {x: "string" for x in text} | {"data": "date"}
     types |= {x: "bigint" for x in c.ADS_B_INTS} | {x: "double" for x in c.ADS_B_FLOATS}
     schema = T.StructType.fromDDL(", ".join(f"{x} {types[x]}" for x in c.ADS_B_AD_COLUMNS))
-    rows = df = stack_relaxed(*[align_to_contract(f, schema) for f in frames])
-    for label in ("dispositivo", "rede"):
-        df = add_dim_ids(
-            df, label, f"id_{label}", missing=None, include_null=True, as_text=True,
-            counts_from=rows,
-        )
+    return stack_relaxed(*[align_to_contract(f, schema) for f in frames])
+
+
+def label_ids(rows: DataFrame, label: str) -> DataFrame:
+    """A label's text ids in sort order, null last, with the number of its rows: the dimension of the label."""
+    numbered = number_labels(label_counts(rows, label, include_null=True), label, f"id_{label}")
+    return numbered.withColumn(f"id_{label}", q(f"id_{label}").cast("string"))
+
+
+def with_label_ids(rows: DataFrame, ids: Mapping[str, DataFrame]) -> DataFrame:
+    """The ad rows with the text ids of device and network."""
+    df = rows
+    for label, numbered in ids.items():
+        df = left_lookup(df.drop(f"id_{label}"), numbered, [label], nulls_match=True, count_col="__n")
     return select_present(df, c.ADS_B_AD_COLUMNS)
 
 
-def build_ads_b(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``campaigns, groups, ads, keywords, audiences`` (text) to the tables of the mart."""
-    campaigns = silver(inputs["campaigns"])
-    groups = silver(inputs["groups"])
-    keywords = silver(inputs["keywords"])
-    ads = combine_ads([silver(inputs["ads"])])
-    audiences = silver_audience(inputs["audiences"])
-    return {
-        "dim_anuncio": build_dim(ads, c.DIM_ANUNCIO),
-        "dim_campanha": build_dim(campaigns, c.DIM_CAMPANHA),
-        "dim_dispositivo": build_dim(ads, c.DIM_DISPOSITIVO),
-        "dim_grupoAnuncio": build_dim(groups, c.DIM_GRUPO),
-        "dim_rede": build_dim(ads, c.DIM_REDE),
-        "dim_publico_alvo": build_dim(audiences, c.DIM_PUBLICO),
-        "fato_campanha": build_fact(campaigns, c.FATO_CAMPANHA),
-        "fato_grupoAnuncio": build_fact(groups, c.FATO_GRUPO),
-        "fato_keywords": build_fact(keywords, c.FATO_KEYWORDS),
-        "fato_anuncio": build_fact(ads, c.FATO_ANUNCIO),
-        "fato_publico_alvo": build_fact(audiences, c.FATO_PUBLICO),
+def combine_ads(frames: Sequence[DataFrame]) -> DataFrame:
+    """All ad rows in contract order with text ids for device and network."""
+    rows = ad_rows(frames)
+    return with_label_ids(rows, {x: label_ids(rows, x) for x in AD_LABELS})
+
+
+def build_ads_b(inputs: dict[str, DataFrame], only: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """``campaigns, groups, ads, keywords, audiences`` (text) to the tables of the mart, or to those of ``only``.
+
+    A feed is typed and written once, when its first table is asked for; facts
+    and dimensions read what is written.
+    """
+
+    @cache
+    def typed(name: str) -> DataFrame:
+        return written(silver(inputs[name]))
+
+    @cache
+    def ads() -> DataFrame:
+        return written(ad_rows([silver(inputs["ads"])]))
+
+    @cache
+    def ids(label: str) -> DataFrame:
+        return written(label_ids(ads().select(label), label))
+
+    @cache
+    def audiences() -> DataFrame:
+        return written(silver_audience(inputs["audiences"]))
+
+    tables = {
+        "dim_anuncio": lambda: build_dim(ads(), c.DIM_ANUNCIO),
+        "dim_campanha": lambda: build_dim(typed("campaigns"), c.DIM_CAMPANHA),
+        "dim_dispositivo": lambda: select_all(ids("dispositivo"), c.DIM_DISPOSITIVO),
+        "dim_grupoAnuncio": lambda: build_dim(typed("groups"), c.DIM_GRUPO),
+        "dim_rede": lambda: select_all(ids("rede"), c.DIM_REDE),
+        "dim_publico_alvo": lambda: build_dim(audiences(), c.DIM_PUBLICO),
+        "fato_campanha": lambda: build_fact(typed("campaigns"), c.FATO_CAMPANHA),
+        "fato_grupoAnuncio": lambda: build_fact(typed("groups"), c.FATO_GRUPO),
+        "fato_keywords": lambda: build_fact(typed("keywords"), c.FATO_KEYWORDS),
+        "fato_anuncio": lambda: build_fact(
+            with_label_ids(ads(), {x: ids(x) for x in AD_LABELS}), c.FATO_ANUNCIO
+        ),
+        "fato_publico_alvo": lambda: build_fact(audiences(), c.FATO_PUBLICO),
     }
+    return {name: make() for name, make in tables.items() if only is None or name in only}
 
 
 def max_date(df: DataFrame) -> DataFrame:
