@@ -28,11 +28,11 @@ from martkit.workspace import written
 
 LENGTH = 400
 ANCHOR = 32
-RUN_BYTES = 4 << 20  # text that is sorted at once
+RUN_BYTES = 1 << 20  # text that is sorted at once
 HOT_CONTEXTS = 4096  # contexts of an anchor beyond which its passages are dealt out one by one
 FILTER_BITS = 1 << 26  # bits of the broadcast filter of anchors, at any size of the data
 FILTER_BUCKETS = 1 << 20
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 
 _table = np.random.default_rng(20240502).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
