@@ -65,4 +65,8 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {"op2_url_filters": url_lists.PAGE_VERDICTS_SQL}
+ORACLE: dict[str, str] = {
+    "op2_url_filters": url_lists.PAGE_VERDICTS_SQL,
+    "op7_quality_rules": quality.DOCUMENT_QUALITY_SQL,
+    "op9_decontamination": decontaminate.CONTAMINATED_SQL,
+}

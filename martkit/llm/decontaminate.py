@@ -236,3 +236,31 @@ def _without(text: bytes, runs: list[int]) -> str:
             at = int(ends[b - 1])
         text = b"".join([*parts, text[at:]])
     return text.decode("utf-8", "replace")
+
+
+_WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+CONTAMINATED_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS_SQL} AS w FROM benchmark),
+bi AS (
+  SELECT item, w, least({WINDOW}, len(w)) AS n, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS i
+  FROM b WHERE len(w) > 0),
+g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM bi),
+di AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+  FROM d JOIN (SELECT DISTINCT n FROM g) ON len(w) >= n),
+hit AS (
+  SELECT doc_id, i, n, gram FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM di)
+  WHERE gram IN (SELECT gram FROM g)),
+pos AS (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM pos GROUP BY doc_id),
+found AS (SELECT DISTINCT h.doc_id, g.item FROM hit h JOIN g USING (gram)),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

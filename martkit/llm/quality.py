@@ -212,3 +212,31 @@ def document_quality(docs: DataFrame) -> DataFrame:
     rules = {r.name: r for r in document_rules(text, {n: F.col(n) for n in measures})}
     reason = F.when(failed, F.lit("base")).otherwise(cascade([rules[n] for n in order]))
     return counted.select("doc_id", *measures, failed.alias("base_failed"), reason.isNull().alias("kept"))
+
+
+# The words' separators and the symbols as above; the SQL checks every column but needs no order of the rules.
+DOCUMENT_QUALITY_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    [x for x in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x != ''] AS w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines
+  FROM documents),
+place AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 7], ' ')) AS h FROM place),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, h) > 1),
+step AS (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS n FROM twice),
+rep AS (SELECT doc_id, sum(n)::BIGINT AS n_repeat_words FROM step GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+    length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    length(regexp_replace(t, '\\P{L}+', '', 'g')) AS letters, len(string_split(t, chr(10))) AS n_lines
+  FROM d LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols * 10 > n_words * 3 OR word_chars > 15 * n_words OR word_chars < 2 * n_words
+    OR (n_dup_lines >= 5 AND n_dup_lines * 10 > n_lines * 3) OR letters * 2 < word_chars) AS kept
+FROM f
+"""
