@@ -11,6 +11,8 @@ from martkit.operators.project import select_all
 from martkit.operators.star import attach_dims
 from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
 from martkit.plans import contracts as c
+from martkit.plans.daily import run_moves
+from martkit.workspace import new_folder
 
 
 def text(col):
@@ -132,6 +134,35 @@ def mart_crm(spark, sf):
     return attach_dims(fact, {"person_id": persons, "new_stage_id": stages})
 
 
+@query(
+    "mart_crm_daily",
+    f"""
+    WITH {CRM_FACT}
+    SELECT CAST(event_id AS VARCHAR) AS title, deal_id, value, timestamp,
+           CAST(timestamp = max(timestamp) OVER (PARTITION BY deal_id) AS BIGINT) AS flg_ultimo_movimento,
+           coalesce(p.c_mktsegment, '') AS utm_campaign,
+           CASE WHEN event_id % 100 < 60 THEN '20250101_000000' ELSE '20250102_000000' END AS load_ts
+    FROM f LEFT JOIN customer p ON person_id = p.c_custkey
+    """,
+)
+def mart_crm_daily(spark, sf):
+    """Two deliveries, each taken in by a run of its own, and a third run without a new file."""
+    base, inputs = new_folder(spark, "daily"), crm_inputs(spark, sf)
+    second = F.col("title").cast("bigint") % 100 >= 60
+    parts = [inputs["moves"].where(~second), inputs["moves"].where(second), None]
+    for day, part in enumerate(parts, 1):
+        if part is not None:
+            part.write.mode("append").json(f"{base}/moves")
+        run_moves(
+            spark, f"{base}/moves", f"{base}/silver", f"{base}/gold", f"2025010{day}_000000",
+            inputs["persons"], inputs["person_fields"], inputs["deals"],
+        )
+    fact = spark.read.parquet(f"{base}/gold/ft_move")
+    return select_all(
+        fact, ["title", "deal_id", "value", "timestamp", "flg_ultimo_movimento", "utm_campaign", "load_ts"]
+    )
+
+
 @query(
     "mart_crm_stage_history",
     """

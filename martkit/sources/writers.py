@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,16 +52,21 @@ def backup_table(spark: SparkSession, path: str, backup: str) -> None:
 
 
 def rewrite_versions(
-    spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame], by: str = LOAD_COL
+    spark: SparkSession,
+    path: str,
+    change: Callable[[DataFrame], DataFrame],
+    by: str = LOAD_COL,
+    only: Sequence[str] | None = None,
 ) -> None:
-    """A10: apply a computation over all versions and write each version back in place.
+    """A10: apply a computation over all versions, or ``only`` some, and write each version back in place.
 
     The result is first written to the shared folder, so the table is never
     read and overwritten by the same job, and a run that fails before that is
     done leaves it as it was. The versions are then replaced one after the other.
     """
     staged = new_folder(spark, "rewrite")
-    change(spark.read.parquet(path)).write.parquet(staged)
+    df = spark.read.parquet(path)
+    change(df if only is None else df.where(F.col(by).isin(*only))).write.parquet(staged)
     overwrite_versions(spark.read.parquet(staged), path, by)
 
 
