@@ -13,7 +13,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from martkit.operators.incremental import high_watermark, missing_days
-from martkit.plans import ads_a, ads_b, contacts, contracts, crm, layers, sales_a, sales_b, small
+from martkit.plans import ads_a, ads_b, contacts, contracts, crm, daily, layers, sales_a, sales_b, small
 from martkit.sources.readers import list_files
 from tests.helpers import frame, rows
 from tests.test_files import put
@@ -358,3 +358,41 @@ def test_snapshot_without_time_stops_the_history(spark):
                (1, "a", 1, "p", 1, None))
     with pytest.raises(PySparkException, match="no snapshot_time"):
         crm.scd2_dim_stage(df).collect()
+
+
+def test_daily_moves_after_a_failed_run(spark, tmp_path, monkeypatch):
+    """A run that stops before its control entry is written again by the next one, with nothing lost or doubled."""
+    persons = frame(spark, "id bigint, fields map<string,string>", (1, {"utm_campaign": "c"}))
+    names, deals = frame(spark, "key string, name string"), frame(spark, "id bigint, status string", (7, "open"))
+
+    def deliver(name, *lines):
+        (tmp_path / "feed").mkdir(exist_ok=True)
+        (tmp_path / "feed" / name).write_text("\n".join(lines))
+
+    def move(title, hour, deal="7"):
+        return f'{{"deal_id": "{deal}", "title": "{title}", "person_id": "1", "timestamp": "2025-01-01T{hour:02}:00:00+00:00"}}'
+
+    def run(version):
+        return daily.run_moves(
+            spark, str(tmp_path / "feed"), str(tmp_path / "silver"), str(tmp_path / "gold"), version, persons, names, deals
+        )
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    deliver("a.json", move("a", 1), move("b", 2), "half a rec", move("other", 1, "8"))
+    with monkeypatch.context() as m:
+        m.setattr(daily, "rewrite_versions", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            run("20250101_000000")
+    deliver("b.json", move("c", 3))
+    assert run("20250102_000000") == ["20250101_000000", "20250102_000000"]
+    assert run("20250103_000000") == []
+    fact = spark.read.parquet(str(tmp_path / "gold" / "ft_move"))
+    got = fact.select("title", "flg_ultimo_movimento", "flag_deal_ativo", "utm_campaign", "load_ts").collect()
+    assert sorted(map(tuple, got)) == [
+        ("a", 0, 1, "c", "20250101_000000"), ("b", 0, 1, "c", "20250101_000000"),
+        ("c", 1, 1, "c", "20250102_000000"), ("other", 1, 0, "c", "20250101_000000"),
+    ]
+    rejects = spark.read.parquet(str(tmp_path / "gold" / "ft_move_rejects"))
+    assert [r[0] for r in rejects.collect()] == ["half a rec"]
