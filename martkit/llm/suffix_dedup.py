@@ -4,7 +4,9 @@ A passage is a string of LENGTH bytes that starts at two places or more. Its
 smallest hash of ANCHOR bytes, its anchor, is the same wherever the passage
 occurs: texts are cut into contexts, the stretches of passages with one anchor,
 and contexts are dealt to shards by their anchor. Only anchors that occur twice
-are sent, and equal contexts meet before the shuffle. Each shard sorts its
+are sent, and equal contexts meet before the shuffle. A passage reaches HALF
+bytes beyond its anchor on one side at least, so two contexts that share one
+have these bytes in common: contexts without such a twin are not sorted. Each shard sorts its
 suffixes by external induced sorting (``suffix_array``): neighbours with a
 common prefix of LENGTH bytes are repeated passages. A shard is sorted in runs
 of whole anchors, whatever its size; an anchor with very many contexts is
@@ -28,6 +30,7 @@ from martkit.workspace import written
 
 LENGTH = 400
 ANCHOR = 32
+HALF = (LENGTH - ANCHOR) // 2
 RUN_BYTES = 1 << 20  # text that is sorted at once
 HOT_CONTEXTS = 4096  # contexts of an anchor beyond which its passages are dealt out one by one
 FILTER_BITS = 1 << 26  # bits of the broadcast filter of anchors, at any size of the data
@@ -67,9 +70,9 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(
     text: bytes, powers: tuple[np.ndarray, np.ndarray], length: int = LENGTH
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the passages' anchor changes, the anchors (each holds from its place to the next), and whether each
-    occurs more than once for its passages, as in a text that repeats itself at a short distance."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where the passages' anchor changes, the anchors (each holds from its place to the next), where each occurs
+    first, and whether it occurs more than once for its passages, as in a text that repeats itself at a short distance."""
     data = np.frombuffer(text, np.uint8)
     width = length - ANCHOR + 1
     starts, found, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -86,7 +89,8 @@ def anchors(
         found.append(low[places])
     start = np.concatenate(starts)
     ends = np.append(start[1:], passages)[: len(start)]
-    return start, np.concatenate(found), ends - 1 > np.concatenate(firsts)
+    first = np.concatenate(firsts)
+    return start, np.concatenate(found), first, ends - 1 > first
 
 
 def _texts(df: DataFrame, text_col: str) -> DataFrame:
@@ -111,7 +115,7 @@ def _repeated_anchors(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("anchor", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, _, starts, found, inside in _per_text(batches, LENGTH):
+        for key, _, starts, found, _, inside in _per_text(batches, LENGTH):
             starts, found = np.append(starts, starts[inside] + 1), np.append(found, found[inside])
             own = np.uint64(xxhash.xxh3_64_intdigest(key))
             place = (starts.astype(np.uint64) * np.uint64(_FACTOR) + own) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -134,24 +138,39 @@ def _filter(repeated: DataFrame) -> np.ndarray:
     return out
 
 
+def _halves(context: bytes, at: int) -> tuple[int | None, int | None]:
+    """Hashes of the anchor at a place with the HALF bytes before it, and with those after it."""
+    left, right = at - HALF, at + ANCHOR + HALF
+    return (
+        xxhash.xxh3_64_intdigest(context[left : at + ANCHOR]) - (1 << 63) if left >= 0 else None,
+        xxhash.xxh3_64_intdigest(context[at:right], 1) - (1 << 63) if right <= len(context) else None,
+    )
+
+
 def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Rows (context hash, anchor, text, start, starts, bytes) of the contexts whose anchor may repeat."""
+    """Rows (context hash, anchor, text, start, starts, bytes) of the contexts whose anchor may repeat.
+
+    ``left`` and ``right`` are hashes of the anchor with the HALF bytes before and after it, null where the
+    context doesn't hold as many.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(_filter(repeated))
-    ddl = "ctx binary, anchor long, print binary, start int, starts int, inside boolean, bytes binary"
+    ddl = "ctx binary, anchor long, print binary, start int, starts int, inside boolean, left long, right long, bytes binary"
     schema = to_arrow_schema(texts.sparkSession.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
         rows: list[tuple] = []
         size = 0
-        for key, raw, starts, found, inside in _per_text(batches, LENGTH):
+        for key, raw, starts, found, first, inside in _per_text(batches, LENGTH):
             bit = found % np.uint64(FILTER_BITS)
             hit = (bits[bit // np.uint64(32)] >> (bit % np.uint64(32)).astype(np.uint32)) & np.uint32(1)
             ends = np.append(starts[1:], len(raw) - LENGTH + 1)
             for i in np.flatnonzero(hit).tolist():
                 a, b = int(starts[i]), int(ends[i])
                 part = raw[a : b + LENGTH - 1]
-                rows.append((xxhash.xxh3_128_digest(part), int(found[i].view(np.int64)), key, a, b - a, bool(inside[i]), part))
+                halves = _halves(part, int(first[i]) - a)
+                rows.append((xxhash.xxh3_128_digest(part), int(found[i].view(np.int64)), key, a, b - a, bool(inside[i]),
+                             *halves, part))
                 size += len(part)
             if size > RUN_BYTES:
                 yield record(dict(zip(schema.names, zip(*rows))), schema)
@@ -187,6 +206,19 @@ def repeated_starts(contexts: list[bytes], starts: list[int], twice: np.ndarray,
     return out
 
 
+def _linked(distinct: DataFrame) -> DataFrame:
+    """Contexts (``ctx``, ``anchor``) that may share a passage with another one, or hold one twice.
+
+    Where an anchor occurs twice for the passages of one context, all its contexts stay.
+    """
+    halves = distinct.select("ctx", "anchor", F.explode(F.array("left", "right")).alias("half")).where("half is not null")
+    context = F.xxhash64("ctx")
+    shared = halves.groupBy("anchor", "half").agg(F.min(context).alias("a"), F.max(context).alias("b")).where("a != b")
+    twins = halves.join(written(shared.select("anchor", "half")), ["anchor", "half"], "left_semi").select("ctx", "anchor")
+    inside = written(distinct.where("inside").select("anchor").distinct())
+    return twins.unionByName(distinct.select("ctx", "anchor").join(inside, "anchor", "left_semi")).distinct()
+
+
 def _sorted_runs(distinct: DataFrame) -> DataFrame:
     """Rows (context, runs of repeated starts) by suffix arrays over shards of anchors."""
     ddl = "ctx binary, runs array<int>"
@@ -245,16 +277,22 @@ def repeated_runs(df: DataFrame, text_col: str = "text") -> DataFrame:
     place = F.xxhash64("print", "start")
     distinct = contexts.groupBy("ctx").agg(
         F.first("anchor").alias("anchor"), F.first("starts").alias("starts"), F.first("bytes").alias("bytes"),
-        F.first("inside").alias("inside"), (F.min(place) != F.max(place)).alias("twice"),
+        F.first("inside").alias("inside"), F.first("left").alias("left"), F.first("right").alias("right"),
+        (F.min(place) != F.max(place)).alias("twice"),
     )
     distinct = written(distinct)
-    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.max(F.col("twice") | F.col("inside")).alias("again"))
-    sizes = written(sizes.where("n > 1 or again"))
-    hot = written(sizes.where(F.col("n") > HOT_CONTEXTS).select("anchor"))
-    live = distinct.join(sizes.where(F.col("n") <= HOT_CONTEXTS).select("anchor"), "anchor", "left_semi")
-    runs = _sorted_runs(live)
-    if not hot.isEmpty():
-        runs = runs.unionByName(_dealt_runs(distinct.join(hot, "anchor", "left_semi")))
+    linked = written(_linked(distinct))
+    hot = written(linked.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor"))
+    live = distinct.join(linked.select("ctx"), "ctx", "left_semi")
+    # all passages of a context that stands for several places are repeated
+    alone = distinct.where("twice").join(linked.select("ctx"), "ctx", "left_anti")
+    runs = alone.select("ctx", F.array(F.lit(0), F.col("starts")).alias("runs"))
+    if hot.isEmpty():
+        runs = runs.unionByName(_sorted_runs(live))
+    else:
+        live = written(live)
+        runs = runs.unionByName(_sorted_runs(live.join(hot, "anchor", "left_anti")))
+        runs = runs.unionByName(_dealt_runs(live.join(hot, "anchor", "left_semi")))
     found = contexts.select("ctx", "print", "start").join(written(runs), "ctx")
     shifted = F.transform("runs", lambda x: x + F.col("start"))
     by_text = found.select("print", "start", shifted.alias("runs")).distinct().groupBy("print").agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -88,6 +89,30 @@ def test_repeats(spark, sf, texts, monkeypatch, hot):
     assert sum(r["n_removed"] for r in got) > 0
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT_CONTEXTS, 0])
+def test_planted_repeats(spark, monkeypatch, hot):
+    """Passages of about the length that counts, shared lines shorter than that, and texts that repeat themselves."""
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+    draw = random.Random(hot)
+
+    def noise(n):
+        return "".join(draw.choice("abcdefghij \n") for _ in range(n))
+
+    shared = [noise(n) for n in (399, 400, 401, 520, 250, 1200)]
+    period = noise(37)
+    texts = {}
+    for i in range(60):
+        parts = [noise(draw.randint(0, 300))]
+        for _ in range(draw.randint(0, 4)):
+            one = draw.choice([*shared, period * draw.randint(2, 30), period[: draw.randint(1, 37)] * 40])
+            cut = draw.choice([0, 0, draw.randint(0, len(one) // 3)])
+            parts += [one[cut:], noise(draw.randint(0, 60))]
+        texts[i] = "".join(parts).encode()
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.document_repeats(docs).collect()}
+    assert got == plain_repeats(texts)
+
+
 def test_cut_texts(spark, sf, texts):
     want = plain_repeats(texts)
     for r in suffix_dedup.drop_repeats(table(spark, sf, "documents")).collect():
