@@ -223,9 +223,9 @@ def score(
         return known, base, model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []  # one task's rows and the sums so far; blocks come one after the other
-        for batch, texts in _chunks(batches):
-            held.append([batch.column("row"), texts, np.zeros((3, len(texts)))])
+        # rows and the sums so far; a task holds all of its rows only where blocks come one after the other
+        chunks = ([batch.column("row"), texts, np.zeros((3, len(texts)))] for batch, texts in _chunks(batches))
+        held = chunks if len(blocks) == 1 else list(chunks)
         for n, block in enumerate(blocks):
             for chunk in held:
                 tokens, sizes = token_hashes(chunk[1])
