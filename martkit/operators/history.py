@@ -56,8 +56,8 @@ def scd2_from_snapshots(
     key; a key that returns opens a new version. Of several rows of a key in one
     snapshot the one with the lowest attributes counts; they are merged map-side,
     so a key has one row per snapshot when it reaches its window task. All windows
-    share one shuffle and one sort. The snapshot times are one row per load, small
-    enough for one task and for a broadcast.
+    share one shuffle and one sort. The snapshot times, one row per load, are
+    numbered in one task and looked up by their measured size.
     """
     by_time = Window.orderBy("__ts")
     df = df.withColumn(ts, F.coalesce(q(ts), F.raise_error(F.lit(f"a snapshot row has no {ts}"))))
@@ -74,7 +74,7 @@ def scd2_from_snapshots(
     merged = df.groupBy(q(ts).alias("__ts"), *[q(k).alias(n) for k, n in zip(keys, key)]).agg(
         F.min(F.struct(*[q(a).alias(n) for a, n in zip(attrs, attr)])).alias("__attrs")
     )
-    rows = merged.select("__ts", *key, "__attrs.*").join(F.broadcast(times), "__ts")
+    rows = left_lookup(merged.select("__ts", *key, "__attrs.*"), times, ["__ts"])
     in_time = Window.partitionBy(*key).orderBy("__idx")
     whole = in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = {f"{c}_before": F.lag(c).over(in_time) for c in ("__idx", "__next", *attr)}
