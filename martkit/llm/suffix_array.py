@@ -18,6 +18,7 @@ import tempfile
 import numpy as np
 
 QUEUE_BYTES = 32 << 20
+JUMP = 64
 
 
 class Queues:
@@ -115,11 +116,35 @@ def _star_ranks(text: np.ndarray, rising: np.ndarray, stars: np.ndarray, depth:
     return rank
 
 
-def _common(words: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefixes of the suffixes at a and b, at most depth; words[i] holds the eight bytes from i."""
+def _jumps(words: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the JUMP bytes from each place, made of the eight bytes from it and those that follow."""
+    out, width = words, 8
+    while width < JUMP:
+        later = np.append(out[width:], np.zeros(min(width, len(out)), np.uint64))
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + (later ^ (later >> np.uint64(31))) * np.uint64(
+            0xBF58476D1CE4E5B9
+        )
+        width *= 2
+    return out
+
+
+def _common(words: np.ndarray, jumps: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Common prefixes of the suffixes at a and b, at most depth; words[i] holds the eight bytes from i.
+
+    Stretches of JUMP bytes are compared by their hash, the rest by its bytes.
+    """
     out = np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
     n = len(words)
+    live = np.arange(len(a))
+    for _ in range(depth // JUMP):
+        x, y = a[live] + out[live], b[live] + out[live]
+        inside = (x <= n - JUMP) & (y <= n - JUMP)
+        live, x, y = live[inside], x[inside], y[inside]
+        live = live[jumps[x] == jumps[y]]
+        out[live] += JUMP
+        if not len(live):
+            break
+    live = np.flatnonzero(out < depth)
     while len(live):
         x, y = a[live] + out[live], b[live] + out[live]
         inside = (x < n) & (y < n)
@@ -234,16 +259,17 @@ def suffix_array(text: np.ndarray, depth: int, limit: int = QUEUE_BYTES) -> tupl
     stars, rank = stars[order], rank[order]
     padded = np.append(text, np.zeros(8, np.uint8))
     words = np.lib.stride_tricks.as_strided(padded.view(np.uint8), (n, 8), (1, 1)).copy().view("<u8").reshape(n)
+    jumps = _jumps(words)
     star_lcp = np.zeros(len(stars), np.int64)
     star_lcp[1:] = depth  # of equal rank: as long as the names that were compared
     told = np.flatnonzero(rank[1:] != rank[:-1])
     a, b = stars[told], stars[told + 1]
     # beyond the text the words hold zeros: cut at its end
-    star_lcp[told + 1] = np.minimum(_common(words, a, b, depth), n - np.maximum(a, b))
+    star_lcp[told + 1] = np.minimum(_common(words, jumps, a, b, depth), n - np.maximum(a, b))
     star_at = np.searchsorted(text[stars], np.arange(257))
 
     def border(a: int, b: int) -> int:
-        one = _common(words, np.array([a]), np.array([b]), depth)
+        one = _common(words, jumps, np.array([a]), np.array([b]), depth)
         return int(min(one[0], n - max(a, b)))
 
     down = _Scan(text, ~rising, depth, limit)

@@ -172,9 +172,9 @@ def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
                 rows.append((xxhash.xxh3_128_digest(part), int(found[i].view(np.int64)), key, a, b - a, bool(inside[i]),
                              *halves, part))
                 size += len(part)
-            if size > RUN_BYTES:
-                yield record(dict(zip(schema.names, zip(*rows))), schema)
-                rows, size = [], 0
+                if size > RUN_BYTES:
+                    yield record(dict(zip(schema.names, zip(*rows))), schema)
+                    rows, size = [], 0
         if rows:
             yield record(dict(zip(schema.names, zip(*rows))), schema)
 
