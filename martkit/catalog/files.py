@@ -154,6 +154,22 @@ def single_file_guard(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", "n_name")
 
 
+@query("single_file_refusals", "SELECT n_nationkey, 'several' AS found FROM nation UNION ALL SELECT n_nationkey, 'none' FROM nation")
+def single_file_refusals(spark, sf):
+    """The guard's refusals on a delivery of two files and on an empty one; a guard that passes them gives no rows."""
+    nation = table(spark, sf, "nation").select("n_nationkey")
+    path = new_folder(spark, "guard")
+    for part in (0, 1):
+        nation.where(F.col("n_nationkey") % 2 == part).coalesce(1).write.mode("append").parquet(path)
+    refused = [nation.select("n_nationkey", F.lit("").alias("found")).where("false")]
+    for pattern in (f"{path}/*.parquet", f"{path}/*.csv"):
+        try:
+            readers.require_single_file(spark, pattern)
+        except ValueError as error:
+            refused.append(nation.select("n_nationkey", F.lit(str(error).rpartition(" ")[2]).alias("found")))
+    return combine.stack_strict(*refused)
+
+
 @query(
     "stack_snapshots",
     "SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_time FROM events",
