@@ -2,11 +2,12 @@
 
 Training counts all words and pairs of words. A pair counted c times has the
 level 1 + log2(c), rounded down; the filter holds one entry for each of its
-levels, and probing level after level gives the quantised count back. Pairs and
-words are parted by the hash of the (last) word, each part with a filter of its
-own size. Workers get the parts in blocks of bounded size; a text's score is a
-sum over its words, so blocks are probed one after the other and their sums
-added. A word after another has the probability
+levels, and probing level after level gives the quantised count back. Pairs are
+in the order of the hash of the last word, then of the pair, and cut into cells
+of bounded size with a filter each, so a word that ends many pairs has many
+cells. Workers get the cells in blocks of bounded size with the words that end
+their pairs; a text's score is a sum over its words, so blocks are probed one
+after the other and their sums added. A word after another has the probability
 (pairs + STRENGTH * p) / (count of the one before + STRENGTH), p being the
 word's own probability with one added to each count.
 """
@@ -14,6 +15,7 @@ word's own probability with one added to each count.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,30 +25,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from martkit.llm.tables import bounds_of, byte_list, groups, held_out, record, utf8
+from martkit.llm.tables import bounds_of, byte_list, held_out, record, utf8
 from martkit.workspace import written
 
 HASHES = 4  # probes for each entry
 BITS = 6  # of the filter for each entry: about 6 % of strange pairs look counted once
 STRENGTH = 200.0
-DOCS_PER_PART = 1000
+PREFIX = 20  # bits of the last word's hash on top of a pair's key
+BUCKET_BYTES = 64 << 20  # of text for each bucket that pairs are dealt to
+MIN_BUCKETS = 256
+SAMPLE_BYTES, SAMPLE_ROWS, SAMPLE_CUT = 2 << 20, 200, 64 << 10  # least text that tells where buckets start
+LIST_KEYS = 2048  # in a row that is dealt
+MERGE_KEYS = 1 << 21  # that wait at least before they are added up
+CELL_KEYS = 1 << 18  # of the model's rows
 BLOCK_BYTES = 128 << 20
-TEXT_BYTES = 8 << 20  # of text whose words are looked at together
+FETCH_BYTES = 8 << 20  # of the model that the driver reads at a time
+TEXT_BYTES = 8 << 20  # of text whose words are counted together
+SCORE_BYTES = 1 << 20  # of text that is scored together
 
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line break
 _MIX = np.uint64(0x94D049BB133111EB)
+_LOW = np.uint64(64 - PREFIX)
 
 
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' words, an end after each text, and the number of tokens of each text."""
-    out: list[int] = []
+    out = array("Q")
     sizes = []
     for text in texts:
         words = text.lower().split()  # bytes: only A-Z change, and white space is 9 to 13 and 32
         out.extend(map(xxhash.xxh3_64_intdigest, words))
         out.append(END)
         sizes.append(len(words) + 1)
-    return np.array(out, np.uint64), np.array(sizes, np.int64)
+    return np.frombuffer(out, np.uint64), np.array(sizes, np.int64)
 
 
 def _before(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -57,12 +68,12 @@ def _before(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return before
 
 
-def _pair_keys(tokens: np.ndarray, before: np.ndarray, bits: int) -> np.ndarray:
-    """Hash of each token and the one before, with the token's part on top."""
+def _pair_keys(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Hash of each token and the one before, with the first bits of the token's own hash on top."""
     mixed = (before * np.uint64(0x9E3779B97F4A7C15)) ^ ((tokens << np.uint64(17)) | (tokens >> np.uint64(47)))
     mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX
     mixed ^= mixed >> np.uint64(32)
-    return (tokens >> np.uint64(64 - bits) << np.uint64(64 - bits)) | (mixed >> np.uint64(bits))
+    return (tokens >> _LOW << _LOW) | (mixed >> np.uint64(PREFIX))
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -88,98 +99,197 @@ def _filter(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
     return np.packbits(bits, bitorder="little").tobytes(), int(size)
 
 
-def _counted(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their counts, from several packed lists."""
-    key = np.concatenate([np.frombuffer(k, np.uint64) for k in keys])
-    count = np.concatenate([np.frombuffer(c, np.uint32) for c in counts])
+def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts, from several lists."""
+    key, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[: len(key)]
-    return key[starts], np.add.reduceat(count.astype(np.int64), starts) if len(key) else count.astype(np.int64)
+    return key[starts], np.add.reduceat(count, starts) if len(key) else count
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of batches with about TEXT_BYTES of text."""
+class _Sum:
+    """Counts of keys that come in many lists: held are the distinct keys and half as many, or MERGE_KEYS, to add."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        self.waiting = 0
+
+    def add(self, keys: bytes, counts: bytes) -> None:
+        self.keys.append(np.frombuffer(keys, np.uint64))
+        self.counts.append(np.frombuffer(counts, np.uint32))
+        self.waiting += len(self.keys[-1])
+        if self.waiting > max(MERGE_KEYS, len(self.keys[0]) // 2):
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.waiting:
+            key, count = _counted(self.keys, self.counts)
+            self.keys, self.counts, self.waiting = [key], [count], 0
+        return self.keys[0], self.counts[0]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], most: int = TEXT_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of batches with about so many bytes of text."""
     for batch in batches:
         texts = byte_list(batch.column("raw"))
-        ends = np.cumsum([len(t) for t in texts]) // TEXT_BYTES
+        ends = np.cumsum([len(t) for t in texts]) // most
         cuts = bounds_of(ends) if len(texts) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(a, b - a), texts[a:b]
 
 
-def train(docs: DataFrame, text_col: str, rows: int) -> tuple[DataFrame, int]:
-    """The model's parts: sorted word hashes with counts, and the filter of the pairs that end with such a word.
+def _ordered(keys: np.ndarray) -> np.ndarray:
+    """Keys as signed numbers in the same order."""
+    return (keys ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def bucket_starts(docs: DataFrame, text_col: str, total: int, rows: int) -> np.ndarray:
+    """First pair key of each bucket, so that buckets hold about equally many pairs and BUCKET_BYTES of text give one.
+
+    The places are quantiles of the pairs of a sample of the texts, picked by hash, so a word that ends many pairs
+    gets many buckets. The sample decides where lists are cut, never what is counted.
+    """
+    n = max(MIN_BUCKETS, math.ceil(total / BUCKET_BYTES))
+    share = min(1.0, max(max(SAMPLE_BYTES, n * 512) / max(total, 1), SAMPLE_ROWS / max(rows, 1)))
+    text = F.col(text_col)
+    picked = docs.where(text.isNotNull() & (F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _chunks(batches):
+            tokens, sizes = token_hashes(texts)
+            found = np.unique(_pair_keys(tokens, _before(tokens, sizes)))
+            yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["keys"])
+
+    sent = picked.select(utf8(F.substring(text, 1, SAMPLE_CUT)).alias("raw")).distinct().mapInArrow(keys, "keys binary")
+    found = np.unique(np.frombuffer(b"".join(r["keys"] for r in sent.toLocalIterator()), np.uint64))
+    if len(found) < n:  # too few to tell: even ranges
+        return np.array([(i << 64) // n for i in range(n)], np.uint64)
+    starts = found[np.arange(n) * len(found) // n]
+    starts[0] = 0
+    return starts
+
+
+def train(docs: DataFrame, text_col: str) -> DataFrame:
+    """The model in cells of at most CELL_KEYS sorted keys: words with their counts, or the filter of pairs.
 
-    Also the number of bits that make a hash's part. The parts grow with the number of documents.
+    ``first`` is a cell's smallest key. Lists are dealt by ranges of the pair's key, which spreads the pairs that end
+    in one word, and by ranges of the word; every bucket adds its lists up as they come.
     """
-    bits = max(8, math.ceil(math.log2(max(rows, 1) / DOCS_PER_PART)))
-    ddl = "part int, words binary, counts binary, pairs binary, pair_counts binary"
     spark = docs.sparkSession
+    sizes = docs.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("long")), F.lit(0)), F.count(F.lit(1))).first()
+    starts = bucket_starts(docs, text_col, *sizes)
+    n, n_words = len(starts), max(MIN_BUCKETS // 4, len(starts) // 4)
+    word_starts = np.array([(i << 64) // n_words for i in range(n_words)], np.uint64)
+    ddl = "bucket int, keys binary, counts binary"
     sent = to_arrow_schema(spark.createDataFrame([], ddl).schema)
-    part_ddl = "part int, n_words long, n_tokens long, words binary, counts binary, filter binary, filter_bits long"
-    parts_schema = to_arrow_schema(spark.createDataFrame([], part_ddl).schema)
+    cell_ddl = "first long, n_words long, n_tokens long, words binary, counts binary, filter binary, filter_bits long"
+    cells_schema = to_arrow_schema(spark.createDataFrame([], cell_ddl).schema)
 
-    def split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def dealt_lists(keys: np.ndarray, firsts: np.ndarray, offset: int) -> dict:
         distinct, counts = np.unique(keys, return_counts=True)
-        parts = (distinct >> np.uint64(64 - bits)).astype(np.int64)
-        return distinct, counts.astype(np.uint32), parts
+        counts = counts.astype(np.uint32)
+        bucket = np.searchsorted(firsts, distinct, "right") - 1
+        at = bounds_of(bucket)
+        cut = [slice(i, min(i + LIST_KEYS, b)) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) for i in range(a, b, LIST_KEYS)]
+        return {"bucket": [int(bucket[c.start]) + offset for c in cut], "keys": [distinct[c].tobytes() for c in cut],
+                "counts": [counts[c].tobytes() for c in cut]}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _chunks(batches):
             tokens, sizes = token_hashes(texts)
-            words, counts, part = split(tokens)
-            pairs, pair_counts, pair_part = split(_pair_keys(tokens, _before(tokens, sizes), bits))
-            here = part[bounds_of(part)[:-1]]  # each word has a pair that it ends
-            at, pair_at = bounds_of(part), bounds_of(pair_part)
-            cut = [slice(a, b) for a, b in zip(at[:-1], at[1:])]
-            pair_cut = [slice(a, b) for a, b in zip(pair_at[:-1], pair_at[1:])]
-            yield record({"part": here, "words": [words[c].tobytes() for c in cut],
-                          "counts": [counts[c].tobytes() for c in cut], "pairs": [pairs[c].tobytes() for c in pair_cut],
-                          "pair_counts": [pair_counts[c].tobytes() for c in pair_cut]}, sent)
+            yield record(dealt_lists(_pair_keys(tokens, _before(tokens, sizes)), starts, 0), sent)
+            yield record(dealt_lists(tokens, word_starts, n), sent)
+
+    def cells(bucket: int, found: _Sum) -> Iterator[pa.RecordBatch]:
+        keys, counts = found.total()
+        for i in range(0, len(keys), CELL_KEYS):
+            key, count = keys[i : i + CELL_KEYS], counts[i : i + CELL_KEYS]
+            if bucket < n:
+                bloom, size = _filter(key, count)
+                row = {"n_words": [0], "n_tokens": [0], "words": [None], "counts": [None], "filter": [bloom], "filter_bits": [size]}
+            else:
+                row = {"n_words": [len(key)], "n_tokens": [int(count.sum())], "words": [key.tobytes()],
+                       "counts": [count.astype(np.uint64).tobytes()], "filter": [None], "filter_bits": [None]}
+            yield record({"first": _ordered(key[:1]), **row}, cells_schema)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches, "part"):
-            part = batch.column("part").to_numpy()
-            at = bounds_of(part)
-            for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                lists = {n: batch.column(n).slice(a, b - a).to_pylist() for n in ("words", "counts", "pairs", "pair_counts")}
-                words, counts = _counted(lists["words"], lists["counts"])
-                bloom, size = _filter(*_counted(lists["pairs"], lists["pair_counts"]))
-                yield record({"part": [part[a]], "n_words": [len(words)], "n_tokens": [int(counts.sum())],
-                              "words": [words.tobytes()], "counts": [counts.astype(np.uint64).tobytes()],
-                              "filter": [bloom], "filter_bits": [size]}, parts_schema)
-
-    counted = docs.select(utf8(text_col).alias("raw")).mapInArrow(count, ddl)
-    dealt = counted.repartition("part").sortWithinPartitions("part")
-    return written(dealt.mapInArrow(gather, part_ddl)), bits
-
-
-def _blocks(parts: DataFrame, bits: int, block_bytes: int) -> Iterator[dict]:
-    """The model in blocks of consecutive parts, of about so many bytes each."""
-    size = F.octet_length("words") + F.octet_length("counts") + F.octet_length("filter")
-    total = parts.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
-    n = max(1, math.ceil(total / block_bytes))
-    for i in range(n):
-        first, end = (i << bits) // n, ((i + 1) << bits) // n
-        rows = sorted(parts.where(F.col("part").between(first, end - 1)).collect(), key=lambda r: r["part"])
-        own = np.array([r["part"] for r in rows], np.int64) - first
-        starts, sizes = np.zeros(end - first, np.uint64), np.ones(end - first, np.uint64)
-        lengths = np.array([len(r["filter"]) for r in rows], np.uint64)
-        starts[own] = (np.cumsum(lengths) - lengths) * np.uint64(8)
-        sizes[own] = [r["filter_bits"] for r in rows]
+        last, found = -1, _Sum()
+        for batch in batches:
+            columns = (batch.column(name) for name in ("bucket", "keys", "counts"))
+            for bucket, keys, counts in zip(*columns):
+                if bucket.as_py() != last:
+                    yield from cells(last, found)
+                    last, found = bucket.as_py(), _Sum()
+                found.add(keys.as_py(), counts.as_py())
+        yield from cells(last, found)
+
+    dealt = docs.select(utf8(text_col).alias("raw")).mapInArrow(count, ddl).repartition("bucket").sortWithinPartitions("bucket")
+    return written(dealt.mapInArrow(gather, cell_ddl))
+
+
+def _blocks(model: DataFrame, block_bytes: int) -> Iterator[dict]:
+    """The model in blocks of about so many bytes: consecutive cells of pairs with the words that may end such pairs.
+
+    A block has the pairs with keys from ``low`` up to ``high``. Words are repeated in the blocks that their pairs
+    are spread over.
+    """
+    unsigned = lambda values: np.array(list(values), np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    size = F.coalesce(F.octet_length("filter"), F.octet_length("words") + F.octet_length("counts"))
+    plan = model.select("first", size.alias("size"), F.col("filter").isNotNull().alias("pairs")).orderBy("first").collect()
+    firsts = unsigned(r["first"] for r in plan if r["pairs"])
+    lengths = [r["size"] for r in plan if r["pairs"]]
+    word_firsts = unsigned(r["first"] for r in plan if not r["pairs"])
+    word_ends = np.concatenate([[0], np.cumsum([r["size"] for r in plan if not r["pairs"]])]).astype(np.int64)
+
+    def word_cells(a: int, b: int) -> tuple[int, int]:
+        """Numbers of the word cells that the cells of pairs from a up to b need."""
+        low = firsts[a] >> _LOW << _LOW if a else np.uint64(0)
+        high = firsts[b] | np.uint64((1 << 64 - PREFIX) - 1) if b < len(firsts) else np.uint64((1 << 64) - 1)
+        return max(int(np.searchsorted(word_firsts, low, "right")) - 1, 0), int(np.searchsorted(word_firsts, high, "right"))
+
+    def rows(pairs: bool, keys: np.ndarray, sizes: np.ndarray) -> Iterator:
+        """The cells with these first keys in order, FETCH_BYTES at a time."""
+        cuts = bounds_of(np.cumsum(sizes) // FETCH_BYTES) if len(keys) else []
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            kind = F.col("filter").isNotNull() if pairs else F.col("filter").isNull()
+            here = model.where(kind & F.col("first").between(*_ordered(keys[[i, j - 1]]).tolist()))
+            yield from sorted(here.collect(), key=lambda r: r["first"])
+
+    cuts, own = [0], 0
+    for i, length in enumerate(lengths):
+        a, b = word_cells(cuts[-1], i + 1)
+        if i > cuts[-1] and own + length + word_ends[b] - word_ends[a] > block_bytes:
+            cuts.append(i)
+            own = 0
+        own += length
+    cuts.append(len(lengths))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        held, bits, joined = [], [], {"words": bytearray(), "counts": bytearray(), "filter": bytearray()}
+        for r in rows(True, firsts[a:b], np.array(lengths[a:b], np.int64)):
+            held.append(len(r["filter"]))
+            bits.append(r["filter_bits"])
+            joined["filter"] += r["filter"]
+        wa, wb = word_cells(a, b) if a < b else (0, 0)
+        for r in rows(False, word_firsts[wa:wb], np.diff(word_ends[wa : wb + 1])):
+            joined["words"] += r["words"]
+            joined["counts"] += r["counts"]
+        starts = np.cumsum([0, *held]).astype(np.uint64)[:-1] * np.uint64(8)
         yield {
-            "first": first, "end": end, "starts": starts, "sizes": sizes,
-            "words": np.frombuffer(b"".join(r["words"] for r in rows), np.uint64),
-            "counts": np.frombuffer(b"".join(r["counts"] for r in rows), np.uint64),
-            "filter": np.frombuffer(b"".join(r["filter"] for r in rows) + b"\0", np.uint8),
+            "low": 0 if not a else int(firsts[a]), "high": 1 << 64 if b >= len(firsts) else int(firsts[b]),
+            "firsts": firsts[a:b], "starts": starts, "sizes": np.array(bits, np.uint64),
+            "words": np.frombuffer(joined["words"], np.uint64), "counts": np.frombuffer(joined["counts"], np.uint64),
+            "filter": np.frombuffer(joined["filter"], np.uint8),
         }
 
 
-def _probed(block: dict, keys: np.ndarray, parts: np.ndarray) -> np.ndarray:
+def _probed(block: dict, keys: np.ndarray) -> np.ndarray:
     """Quantised count of each pair: the lowest count of its highest level found, 0 for none."""
     out = np.zeros(len(keys))
-    starts, sizes, bits = block["starts"][parts], block["sizes"][parts], block["filter"]
+    if not len(block["firsts"]):
+        return out
+    cells = np.maximum(np.searchsorted(block["firsts"], keys, "right") - 1, 0)
+    starts, sizes, bits = block["starts"][cells], block["sizes"][cells], block["filter"]
     live = np.arange(len(keys))
     level = 1
     while len(live):
@@ -194,12 +304,12 @@ def _probed(block: dict, keys: np.ndarray, parts: np.ndarray) -> np.ndarray:
 
 
 def score(
-    docs: DataFrame, parts: DataFrame, bits: int, id_col: str, text_col: str, keep: list, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, model: DataFrame, id_col: str, text_col: str, keep: list, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Each row's columns of ``keep``, its tokens, known tokens, and log10 probabilities: base and model."""
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(parts, bits, block_bytes)]
-    total, distinct = parts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(model, block_bytes)]
+    total, distinct = model.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     norm = total + distinct + 1
     frame = docs.select(F.struct(F.col(id_col), *keep).alias("row"), utf8(text_col).alias("raw"))
     sums = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -208,13 +318,12 @@ def score(
 
     def added(block: dict, tokens: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token its share of the known tokens, the base score and the score that this block gives."""
-        part = (tokens >> np.uint64(64 - bits)).astype(np.int64)
-        here = np.flatnonzero((part >= block["first"]) & (part < block["end"]))
+        here = np.flatnonzero((pairs >= np.uint64(block["low"])) & (pairs <= np.uint64(block["high"] - 1)))
         own, words = tokens[here], block["words"]
         at = np.minimum(np.searchsorted(words, own), max(len(words) - 1, 0))
         count = np.where(words[at] == own, block["counts"][at], 0).astype(np.float64) if len(words) else np.zeros(len(own))
         alone = (count + 1) / norm
-        again = _probed(block, pairs[here], part[here] - block["first"])
+        again = _probed(block, pairs[here])
         known, base, model = (np.zeros(len(tokens)) for _ in range(3))
         known[here] = count > 0
         base[here] = np.log10(alone)
@@ -224,12 +333,12 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows and the sums so far; a task holds all of its rows only where blocks come one after the other
-        chunks = ([batch.column("row"), texts, np.zeros((3, len(texts)))] for batch, texts in _chunks(batches))
+        chunks = ([batch.column("row"), texts, np.zeros((3, len(texts)))] for batch, texts in _chunks(batches, SCORE_BYTES))
         held = chunks if len(blocks) == 1 else list(chunks)
         for n, block in enumerate(blocks):
             for chunk in held:
                 tokens, sizes = token_hashes(chunk[1])
-                pairs = _pair_keys(tokens, _before(tokens, sizes), bits)
+                pairs = _pair_keys(tokens, _before(tokens, sizes))
                 starts = np.cumsum(sizes) - sizes
                 for i, values in enumerate(added(block.value, tokens, pairs)):
                     chunk[2][i] += np.add.reduceat(values, starts)
@@ -252,5 +361,4 @@ def document_scores(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame
     probability 1 / 1. Other columns are not read.
     """
     out = held_out("doc_id", folds, fold)
-    parts, bits = train(docs.where(~out), "text", docs.count())
-    return score(docs, parts, bits, "doc_id", "text", [out.alias("held_out")])
+    return score(docs, train(docs.where(~out), "text"), "doc_id", "text", [out.alias("held_out")])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = "\t\n\x0b\x0c\r "
+OFFSET_BYTES = (1 << 31) - 1  # that 32-bit offsets reach
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +76,16 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBat
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+    """One batch with all rows; columns over 2 GB together get offsets of 64 bits, as Arrow would split them."""
+    if len(batches) == 1:
+        return batches[0]
+    whole = pa.Table.from_batches(batches)
+    wide = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+    for i, field in enumerate(whole.schema):
+        if field.type in wide and whole.column(i).nbytes >= OFFSET_BYTES:
+            whole = whole.set_column(i, field.name, whole.column(i).cast(wide[field.type]))
+    (batch,) = whole.combine_chunks().to_batches()
+    return batch
 
 
 def bounds_of(keys: np.ndarray) -> np.ndarray:
