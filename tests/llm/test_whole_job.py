@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from martkit.llm import lm_score, tables
+from martkit.llm import licenses, lm_score, tables
+from tests.helpers import frame
 
 
 # --- joined batches, language-model scores ------------------------------------
@@ -42,3 +43,37 @@ def test_scores_do_not_change_with_blocks_and_words_that_no_training_text_has(do
     assert len(list(lm_score._blocks(model, 500))) > 1
     assert one.keys() == many.keys() and all(np.allclose(one[i], many[i]) for i in one)
     assert [one[i][0] for i in (0, 39, 40)] == [5, 5, 3]
+
+
+# --- licence scans --------------------------------------------------------------
+
+GPL_HEADER = """/* frob.c
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return 0; }"""
+
+
+def test_licences_by_full_text_wrapped_header_identifier_and_version(spark):
+    texts = licenses.full_texts()
+    prose = [(1000 + i, f"p/{i}.txt", f"the of and to in is a {i} free this with software you any use file") for i in range(300)]
+    want = {
+        "Copyright (c) 2020 A\n\n" + texts["MIT"]: "MIT", GPL_HEADER: "GPL-3.0-or-later",
+        "# Copyright 2021 A. All rights reserved.\n#\n" + "\n".join("# " + x for x in texts["BSD-3-Clause"].split("\n")): "BSD-3-Clause",
+        GPL_HEADER.replace("version 3", "version 2"): "GPL-2.0-or-later",
+        "// SPDX-License-Identifier: MIT": "MIT", "/* SPDX-License-Identifier: MIT OR Apache-2.0 */": "MIT OR Apache-2.0",
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0-only",
+        "GNU General Public License, version 2": "GPL-2.0-only", "Licensed under CC BY-NC 2.0": "CC-BY-NC-2.0",
+        "x = 1": None,
+    }
+    rows = [(i, f"s/f{i}.c", text) for i, text in enumerate(want)]
+    whole = [(100 + i, f"d{i}/LICENSE", text) for i, text in enumerate(texts.values())]
+    files = frame(spark, "id long, path string, text string", *rows, *whole, *prose)
+    got = {r["id"]: r["notice"] for r in licenses.notices(files, "id", "path", "text").collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+    assert [got[100 + i] for i in range(len(texts))] == list(texts)
+    assert not any(got[i] for i, _, _ in prose)
+    assert licenses.exact("CC-BY-NC-4.0", "CC BY-NC 2.0") == "CC-BY-NC-2.0"
