@@ -3,13 +3,15 @@
 A suffix automaton over labelled text of each language reads a text in phrases:
 the longest piece found in that language's text, then the next, and so on. The
 fewer phrases, each weighted by the logarithm of the language's text, the
-nearer the language. The automata learn from a bounded sample: EXCERPTS pieces
-of CHARS letters for each of the LANGUAGES labels with the most rows.
+nearer the language. The automata learn from EXCERPTS pieces of CHARS letters
+of different texts for each label. Every language has symbols of its own, so no
+script takes another's; languages are sent to the workers in blocks of BLOCK_BYTES.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,32 +21,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martkit.llm.tables import bounds_of, byte_list, held_out, record, utf8
+from martkit.workspace import written
 
-EXCERPTS, CHARS, LANGUAGES = 64, 400, 200
-SYMBOLS = 250  # letters told apart; rarer ones in the sample count as one
+EXCERPTS, CHARS = 64, 400
+SYMBOLS = 250  # letters told apart in a language; rarer ones in its sample count as one
+BLOCK_BYTES = 128 << 20  # of tables that a worker holds together
 PIECE = 512  # symbols that are parsed in a row; a text is parsed piece by piece
 TEXT_BYTES = 8 << 20
 UNDETERMINED = "und"
 
-_SPACE, _OTHER = 0, 1
+_SPACE, _RARE, _STRANGE = 0, 1, 2
 
 
-def symbol_table(texts: list[str]) -> np.ndarray:
-    """Symbol of each code point: 0 for what is no letter, 1 for strange letters, then the sample's letters."""
-    letters = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
-    values, counts = np.unique(letters, return_counts=True)
-    order = values[np.lexsort((values, -counts))]
-    known = [c for c in order.tolist() if chr(c).isalpha()][:SYMBOLS]
-    table = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
-    table[known] = np.arange(2, 2 + len(known))
-    return table
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' symbols, in lower case and with one space for each run of what is no letter, and their lengths."""
+def codes(texts: list[str], is_letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' letters in lower case with one 0 for each run of what is no letter, and their lengths."""
     lower = [t.lower() for t in texts]
     sizes = np.array([len(t) for t in lower], np.int64)
-    found = table[np.frombuffer("".join(lower).encode("utf-32-le", "replace"), np.uint32)]
+    found = np.frombuffer("".join(lower).encode("utf-32-le", "replace"), np.uint32)
+    found = np.where(is_letter[found], found, np.uint32(_SPACE))
     before = np.concatenate([[_SPACE], found[:-1]]) if len(found) else found
     starts = (np.cumsum(sizes) - sizes)[sizes > 0]
     before[starts] = _SPACE
@@ -54,6 +53,21 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return found[kept], total[ends] - total[ends - sizes]
 
 
+def alphabet(found: np.ndarray) -> tuple[list[int], list[int]]:
+    """Letters of a language: the SYMBOLS most frequent ones, and the rarer ones."""
+    values, counts = np.unique(found[found != _SPACE], return_counts=True)
+    order = values[np.lexsort((values, -counts))].tolist()
+    return order[:SYMBOLS], order[SYMBOLS:]
+
+
+def symbol_table(known: list[int], rare: list[int]) -> np.ndarray:
+    """A language's symbol of each code: one for all rare letters, one that no phrase has for those it lacks."""
+    table = np.full(0x110000, _STRANGE, np.uint8)
+    table[_SPACE], table[rare] = _SPACE, _RARE
+    table[known] = np.arange(_STRANGE + 1, _STRANGE + 1 + len(known))
+    return table
+
+
 def automaton(text: np.ndarray, width: int) -> np.ndarray:
     """The suffix automaton of a text as one table: for each state and symbol, the state that follows.
 
@@ -94,7 +108,7 @@ def automaton(text: np.ndarray, width: int) -> np.ndarray:
     return table
 
 
-def phrases(found: np.ndarray, sizes: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+def phrases(found: np.ndarray, sizes: np.ndarray, symbols: list[np.ndarray], tables: list[np.ndarray]) -> np.ndarray:
     """Phrases of each text in each language: all pieces of all texts are read in step, one symbol at a time."""
     pieces = -(-sizes // PIECE)
     owner = np.repeat(np.arange(len(sizes)), pieces)
@@ -107,9 +121,9 @@ def phrases(found: np.ndarray, sizes: np.ndarray, tables: list[np.ndarray]) -> n
     longest = int(lengths[0]) if len(lengths) else 0
     reading = np.searchsorted(-lengths, -np.arange(longest), "left")  # pieces longer than each step
     out = np.zeros((len(tables), len(sizes)), np.int64)
-    padded = np.append(found, np.zeros(PIECE, np.uint8))
-    steps = [padded[starts[:n] + t].astype(np.int32) for t, n in enumerate(reading.tolist())]
-    for k, table in enumerate(tables):
+    for k, (own, table) in enumerate(zip(symbols, tables)):
+        padded = np.append(own[found], np.zeros(PIECE, np.uint8)).astype(np.int32)
+        steps = (padded[starts[:n] + t] for t, n in enumerate(reading.tolist()))
         flat, width = table.ravel(), table.shape[1]
         state = np.zeros(len(owner), np.int32)
         count = np.zeros(len(owner), np.int32)
@@ -122,8 +136,8 @@ def phrases(found: np.ndarray, sizes: np.ndarray, tables: list[np.ndarray]) -> n
     return out
 
 
-def sample(labelled: DataFrame, text_col: str, lang_col: str) -> list:
-    """Language and text of the excerpts: EXCERPTS rows of each language by a hash, CHARS characters of each."""
+def sample(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """Language and text of the excerpts: EXCERPTS different texts of each language by a hash, CHARS characters of each."""
     text = F.col(text_col)
     pick = F.xxhash64(text, F.lit(7))
     room = F.greatest(F.length(text) - CHARS, F.lit(0)) + 1
@@ -131,27 +145,41 @@ def sample(labelled: DataFrame, text_col: str, lang_col: str) -> list:
         F.col(lang_col).cast("string").alias("lang"), pick.alias("pick"),
         F.substring(text, F.pmod(pick, room).cast("int") + 1, F.lit(CHARS)).alias("text"),
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    order = W.partitionBy("lang").orderBy("pick", "text")
-    chosen = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= EXCERPTS).drop("n")
-    return sorted(chosen.join(F.broadcast(counts), "lang", "left_semi").collect(), key=lambda r: (r["lang"], r["pick"], r["text"]))
-
-
-def fit(rows: list) -> dict:
-    """Symbols and, for each language in order of its name, automaton and weight of a phrase."""
-    table = symbol_table([r["text"].lower() for r in rows])
-    model = {"symbols": table, "langs": [], "tables": [], "weights": []}
-    for lang in sorted({r["lang"] for r in rows}):
-        found, _ = symbols([r["text"] + " " for r in rows if r["lang"] == lang], table)
-        model["langs"].append(lang)
-        model["tables"].append(automaton(found, SYMBOLS + 2))
-        model["weights"].append(float(np.log2(len(found) + 2)))
-    used = int(table.max()) + 1
-    model["tables"] = [np.ascontiguousarray(t[:, :used]) for t in model["tables"]]
-    return model
-
-
-def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: list = ()) -> DataFrame:
+    order = W.partitionBy("lang").orderBy("pick")
+    ranked = rows.select("lang", "pick").distinct().withColumn("n", F.row_number().over(order))
+    chosen = written(ranked.where(F.col("n") <= EXCERPTS).drop("n"))
+    texts = rows.join(chosen, ["lang", "pick"], "left_semi").groupBy("lang", "pick").agg(F.min("text").alias("text"))
+    return written(texts)
+
+
+def fit(excerpts: DataFrame) -> Iterator[dict]:
+    """Blocks of languages in order of their names: letters, automaton and weight of a phrase of each."""
+    is_letter = letters()
+
+    def empty() -> dict:
+        return {"langs": [], "letters": [], "tables": [], "weights": []}
+
+    block, held = empty(), 0
+    rows = excerpts.orderBy("lang", "pick").toLocalIterator()
+    for lang, texts in groupby(rows, key=lambda r: r["lang"]):
+        found, _ = codes([r["text"] + " " for r in texts], is_letter)
+        own = alphabet(found)
+        table = automaton(symbol_table(*own)[found], len(own[0]) + _STRANGE + 1)
+        if block["langs"] and held + table.nbytes > BLOCK_BYTES:
+            yield block
+            block, held = empty(), 0
+        block["langs"].append(lang)
+        block["letters"].append(own)
+        block["tables"].append(table)
+        block["weights"].append(float(np.log2(len(found) + 2)))
+        held += table.nbytes
+    if block["langs"]:
+        yield block
+
+
+def predict(
+    df: DataFrame, model: Iterable[dict], id_col: str = "doc_id", text_col: str = "text", keep: list = ()
+) -> DataFrame:
     """Each row's columns of ``keep``, ``lang_pred`` and ``score``.
 
     The language of fewest weighted phrases; of equals, the first by name. The
@@ -160,30 +188,54 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     letter and where nothing was learned. Bytes that aren't UTF-8 count as U+FFFD.
     """
     spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = [spark.sparkContext.broadcast(block) for block in model]
     frame = df.select(F.struct(F.col(id_col), *keep).alias("row"), utf8(text_col).alias("raw"))
     ddl = f"row {frame.schema['row'].dataType.simpleString()}, lang_pred string, score double"
     schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
 
-    def judged(texts: list[str], model: dict) -> tuple[list[str], np.ndarray]:
-        found, sizes = symbols(texts, model["symbols"])
-        counts = phrases(found, sizes, model["tables"]) * np.array(model["weights"])[:, None]
-        first = np.sort(counts, 0)
-        best = counts.argmin(0)
-        margin = (first[1] - first[0]) / np.maximum(first[1], 1e-9) if len(counts) > 1 else np.ones(len(texts))
-        letters = sizes > 0  # a space stands only after a letter
-        return [model["langs"][b] if k else UNDETERMINED for b, k in zip(best, letters)], np.where(letters, margin, 0.0)
+    packed = np.packbits(letters())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+    def chunks(batches: Iterator[pa.RecordBatch], is_letter: np.ndarray) -> Iterator[list]:
+        """Rows, their letters and lengths, the phrases of the best and the second language, and the best one's name."""
         for batch in batches:
             texts = byte_list(batch.column("raw"))
             cuts = bounds_of(np.cumsum([len(t) for t in texts]) // TEXT_BYTES) if texts else [0]
             for a, b in zip(cuts[:-1], cuts[1:]):
-                part = [t.decode("utf-8", "replace") for t in texts[a:b]]
-                langs, scores = judged(part, model) if model["langs"] else ([UNDETERMINED] * len(part), np.zeros(len(part)))
+                found, sizes = codes([t.decode("utf-8", "replace") for t in texts[a:b]], is_letter)
                 rows = batch.column("row").slice(a, b - a).cast(schema.field("row").type)
-                yield record({"row": rows, "lang_pred": langs, "score": scores}, schema)
+                yield [rows, found, sizes, np.full((2, b - a), np.inf), np.full(b - a, UNDETERMINED, object)]
+
+    def judge(chunk: list, block: dict, symbols: list[np.ndarray]) -> None:
+        _, found, sizes, best, name = chunk
+        counts = phrases(found, sizes, symbols, block["tables"]) * np.array(block["weights"])[:, None]
+        first = counts.argmin(0)
+        least = counts[first, np.arange(len(sizes))]
+        name[:] = np.where(least < best[0], np.array(block["langs"], object)[first], name)
+        best[:] = np.sort(np.concatenate([best, counts]), 0)[:2]
+
+    def verdict(chunk: list) -> pa.RecordBatch:
+        rows, _, sizes, (first, second), name = chunk
+        letters = sizes > 0 if sent else np.zeros(len(sizes), bool)  # a space stands only after a letter
+        alone = np.isinf(second)
+        margin = np.where(alone, 1.0, (np.where(alone, 0, second) - np.where(alone, 0, first)) / np.maximum(second, 1e-9))
+        return record({"row": rows, "lang_pred": np.where(letters, name, UNDETERMINED).tolist(),
+                       "score": np.where(letters, margin, 0.0)}, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = chunks(batches, np.unpackbits(packed).astype(bool))
+        if len(sent) > 1:  # a task holds all of its rows only where blocks come one after the other
+            held = list(held)
+        if not sent:
+            yield from map(verdict, held)
+        for n, part in enumerate(sent):
+            block = part.value
+            symbols = [symbol_table(*own) for own in block["letters"]]
+            for chunk in held:
+                judge(chunk, block, symbols)
+                if n == len(sent) - 1:
+                    yield verdict(chunk)
+            if len(sent) > 1:
+                del block, part._value  # a task holds one block at a time
 
     return frame.mapInArrow(run, ddl).select("row.*", "lang_pred", "score")
 

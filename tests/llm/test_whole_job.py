@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from martkit.llm import licenses, lm_score, tables
+from martkit.llm import lang_id, licenses, lm_score, tables
 from tests.helpers import frame
 
 
@@ -77,3 +77,27 @@ def test_licences_by_full_text_wrapped_header_identifier_and_version(spark):
     assert [got[100 + i] for i in range(len(texts))] == list(texts)
     assert not any(got[i] for i, _, _ in prose)
     assert licenses.exact("CC-BY-NC-4.0", "CC BY-NC 2.0") == "CC-BY-NC-2.0"
+
+
+# --- languages --------------------------------------------------------------------
+
+
+def labelled(spark, rows):
+    return frame(spark, "doc_id long, text string, lang string", *[(i, t, g) for i, (t, g) in enumerate(rows)])
+
+
+def test_every_label_is_learned_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "BLOCK_BYTES", 20_000)
+    start = {f"l{k:03}": chr(0x4E00 + 20 * k) for k in range(210)}
+    rows = [("".join(chr(ord(c) + (i * j) % 19) for j in range(1, 60)), g) for g, c in start.items() for i in (1, 2)]
+    table = labelled(spark, rows)
+    blocks = list(lang_id.fit(lang_id.sample(table, "text", "lang")))
+    assert len(blocks) > 1 and sum(len(b["langs"]) for b in blocks) == 210
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(table, blocks).collect()}
+    assert [got[i] for i in range(len(rows))] == [g for _, g in rows]
+
+
+def test_excerpts_are_of_different_texts(spark):
+    table = labelled(spark, [("copy of one text", "a")] * 500 + [(f"text number {i}", "a") for i in range(200)])
+    got = [r["text"] for r in lang_id.sample(table, "text", "lang").collect()]
+    assert len(got) == len(set(got)) == lang_id.EXCERPTS
