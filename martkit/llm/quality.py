@@ -22,6 +22,12 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 8
 SAMPLE_FILES, SAMPLE_ROWS = 4, 2_000
 
+# Scripts that write no spaces between words.
+UNSPACED = "[" + "".join(f"\\p{{Is{name}}}" for name in (
+    "Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese", "Balinese",
+    "Tai_Le", "New_Tai_Lue", "Tai_Tham",
+)) + "]+"
+
 _WORD_SEPARATOR = "[\\x20\\x09-\\x0D]+"
 
 
@@ -162,6 +168,12 @@ def text_measures(text: Column) -> dict[str, Column]:
     }
 
 
+def _too_long(text: Column, chars: Column, most: Column) -> Column:
+    """Whether there are more characters than that; each letter of a script without spaces excuses itself and one other."""
+    unspaced = F.length(text) - F.length(F.regexp_replace(text, UNSPACED, ""))
+    return (chars > most) & (chars - 2 * unspaced > most)
+
+
 BASE_RULES = ("short", "repeats")
 
 
@@ -169,15 +181,16 @@ def document_rules(text: Column, measures: dict[str, Column] | None = None) -> l
     """Rules for running text; ``measures`` are columns that hold what is counted already.
 
     ``short`` and ``repeats`` are the base. The others reject texts of symbols, of repeated lines, of words too
-    short or long to be words, and with few letters. All leave ordinary prose alone.
+    short or long to be words, and with few letters. All leave ordinary prose alone: vowel signs count as letters, and
+    words of scripts without spaces may be long.
     """
     m = measures or text_measures(text)
     return [
         Rule("short", m["n_words"] < 20),
         Rule("symbols", m["n_symbols"] * 10 > m["n_words"] * 3),
-        Rule("word_length", (m["word_chars"] > 15 * m["n_words"]) | (m["word_chars"] < 2 * m["n_words"])),
+        Rule("word_length", _too_long(text, m["word_chars"], 15 * m["n_words"]) | (m["word_chars"] < 2 * m["n_words"])),
         Rule("lines", (m["n_dup_lines"] >= 5) & (m["n_dup_lines"] * 10 > F.size(F.split(text, "\n")) * 3)),
-        Rule("letters", F.length(F.regexp_replace(text, "\\P{L}+", "")) * 2 < m["word_chars"]),
+        Rule("letters", F.length(F.regexp_replace(text, "[^\\p{L}\\p{M}]+", "")) * 2 < m["word_chars"]),
         Rule("repeats", m["n_repeat_words"] * 100 > m["n_words"] * 30),
     ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from martkit.llm import lang_id, licenses, lm_score, tables
+from martkit.llm import lang_id, licenses, lm_score, quality, tables
 from tests.helpers import frame
 
 
@@ -101,3 +101,22 @@ def test_excerpts_are_of_different_texts(spark):
     table = labelled(spark, [("copy of one text", "a")] * 500 + [(f"text number {i}", "a") for i in range(200)])
     got = [r["text"] for r in lang_id.sample(table, "text", "lang").collect()]
     assert len(got) == len(set(got)) == lang_id.EXCERPTS
+
+
+# --- quality rules -----------------------------------------------------------------
+
+CLEAN = {
+    "Han": "今天的天气非常好我们决定一起去公园散步看看花草树木还有小鸟", "Japanese": "わたしたちはきのうコーヒーをのみながらほんをよみましたとてもたのしかった",
+    "Thai": "วันนี้อากาศดีมากพวกเราจึงตัดสินใจไปเดินเล่นที่สวนสาธารณะด้วยกัน", "Lao": "ມື້ນີ້ອາກາດດີຫຼາຍພວກເຮົາຈຶ່ງໄປຍ່າງຫຼິ້ນຢູ່ສວນສາທາລະນະ",
+    "Khmer": "ថ្ងៃនេះអាកាសធាតុល្អណាស់យើងសម្រេចចិត្តទៅដើរលេងនៅសួនច្បារ", "Myanmar": "ယနေ့ရာသီဥတုကောင်းသဖြင့်ကျွန်ုပ်တို့ပန်းခြံသို့သွားကြသည်",
+    "Tibetan": "དེ་རིང་གནམ་གཤིས་ཡག་པོ་འདུག་ང་ཚོ་གླིང་ག་ལ་འགྲོ་བར་ཐག་བཅད་པ་ཡིན",
+}
+
+
+def test_clean_texts_of_every_script_pass(docs):
+    rows = [(i, " ".join(w[k % len(w) :] + w[: k % len(w)] for k in range(25))) for i, w in enumerate(CLEAN.values())]
+    rows.append((len(CLEAN), " ".join(f"{chr(0x915 + k)}ीं{chr(0x939 - k)}ीं" for k in range(25))))  # Devanagari
+    bad = [(100, " ".join(f"{k}" + "x" * 40 for k in range(25)) + " 天"), (101, " ".join(f"{k}12345天" for k in range(1000, 1025)))]
+    got = {r["doc_id"]: r["rejected_by"] for r in quality.reject_reasons(docs(*rows, *bad)).collect()}
+    assert {name: got[i] for i, name in enumerate(CLEAN)} == dict.fromkeys(CLEAN) and got[len(CLEAN)] is None
+    assert (got[100], got[101]) == ("word_length", "letters")
