@@ -5,10 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import byte_bpe, decontaminate, lang_id, licenses, lm_score, near_dedup, quality, sharding, suffix_dedup, url_lists
+from martkit.llm import (
+    byte_bpe,
+    decontaminate,
+    divergence,
+    lang_id,
+    licenses,
+    lm_score,
+    near_dedup,
+    prefix_trie,
+    quality,
+    sharding,
+    suffix_dedup,
+    token_files,
+    url_lists,
+)
 from martkit.llm.tables import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +67,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.document_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_url_filters": op2_url_filters,
@@ -63,10 +90,15 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_token_files": op11_token_files,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
     "op2_url_filters": url_lists.PAGE_VERDICTS_SQL,
     "op7_quality_rules": quality.DOCUMENT_QUALITY_SQL,
     "op9_decontamination": decontaminate.CONTAMINATED_SQL,
+    "op12_prefix_trie": prefix_trie.CONVERSATION_TRIE_SQL,
+    "op13_source_divergence": divergence.SOURCE_AUDIT_SQL,
 }

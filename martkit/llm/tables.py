@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +35,21 @@ def fingerprint(col: str | Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def released(run: Callable) -> Callable:
+    """An Arrow mapper whose task hands its memory back to the system at the end: workers live on between tasks."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable:
     """An Arrow mapper from a function that gives the columns of one batch's result."""
 
