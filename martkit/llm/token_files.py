@@ -46,7 +46,7 @@ def parts_of(text: str, size: int = CUT_CHARS) -> list[str]:
     where the pattern of byte-level BPE always begins a new match.
     """
     at, out = 0, []
-    while len(text) - at > size and (cut := _CUT.search(text, at + size - 1)):
+    while len(text) - at > size and (cut := _CUT.search(text, at + size)):
         out.append(text[at : cut.start()])
         at = cut.start()
     out.append(text[at:])
@@ -137,7 +137,7 @@ def write_tokens(
     with open(tokenizer, encoding="utf-8") as file:
         sent = spark.sparkContext.broadcast(file.read())
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
-    ddl = f"doc_id {kind}, file int, before long, n_tokens long, ids array<int>"
+    ddl = f"doc_id {kind}, file int, before long, after long, ids array<int>"  # places in the file's sequence of ids
     schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def write_tokens(
                 starts = before + np.cumsum(counts) - counts
                 before += int(counts.sum())
                 yield record({"doc_id": rows.slice(first, end - first), "file": np.full(end - first, file, np.int32),
-                              "before": starts, "n_tokens": counts, "ids": _lists(counts, ids)}, schema)
+                              "before": starts, "after": starts + counts, "ids": _lists(counts, ids)}, schema)
 
     raw = utf8(text_col)
     frame = df.select(F.col(id_col).alias("row"), raw.alias("raw"), F.xxhash64(raw).alias("print"),
@@ -170,7 +170,7 @@ def write_tokens(
     with _setting(spark, "spark.sql.orc.columnarWriterBatchSize", str(WRITER_ROWS)):
         writer.orc(_tokens_path(path))
     sizes = spark.read.orc(_tokens_path(path)).groupBy("file").agg(
-        F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_ids"),
+        F.count("*").alias("n_docs"), F.max("after").alias("n_ids"),
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
     )
     earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)  # one row for each file
@@ -186,7 +186,8 @@ def files_of(spark: SparkSession, path: str) -> DataFrame:
 def _placed(spark: SparkSession, path: str, tokens: DataFrame) -> DataFrame:
     starts = files_of(spark, path).select("file", F.col("start").alias("file_start"))
     joined = left_lookup(tokens, starts, ["file"])
-    return joined.select("doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return joined.select("doc_id", (F.col("file_start") + F.col("before")).alias("start"),
+                         (F.col("after") - F.col("before")).alias("n_tokens"), "ids")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -211,7 +212,7 @@ def read_span(spark: SparkSession, path: str, first: int, end: int) -> DataFrame
     tokens = tokens.where("false") if low is None else tokens.where(F.col("file").between(low, high))
     if low is not None and low == high:
         start = files.first()["start"]
-        tokens = tokens.where((F.col("before") < end - start) & (F.col("before") + F.col("n_tokens") > first - start))
+        tokens = tokens.where((F.col("before") < end - start) & (F.col("after") > first - start))
     rows = _placed(spark, path, tokens)
     skip = F.greatest(F.lit(first) - F.col("start"), F.lit(0))
     stop = F.least(F.lit(end) - F.col("start"), F.col("n_tokens"))
