@@ -385,24 +385,21 @@ def stack_versions_columns(spark, sf):
 
 @query(
     "single_file_verdicts",
-    "SELECT 'one' AS files, 'accepted' AS verdict UNION ALL SELECT 'two', 'refused' UNION ALL SELECT 'none', 'refused'",
+    """
+    WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, count(DISTINCT event_type) AS n_files FROM events GROUP BY 1)
+    SELECT CAST(day AS VARCHAR) AS delivery, n_files, n_rows,
+           CASE WHEN n_files = 1 THEN 'accepted' ELSE 'refused' END AS verdict FROM d
+    """,
 )
 def single_file_verdicts(spark, sf):
-    path = new_folder(spark, "guard")
-    nation = table(spark, sf, "nation").select("n_nationkey").coalesce(1)
-    nation.write.parquet(f"{path}/one")
-    nation.write.parquet(f"{path}/two")
-    nation.write.mode("append").parquet(f"{path}/two")
-
-    def verdict(name):
-        try:
-            readers.require_single_file(spark, f"{path}/{name}/*.parquet")
-        except ValueError:
-            return "refused"
-        return "accepted"
-
-    table(spark, sf, "region").select("r_name").write.text(f"{path}/none")
-    return spark.createDataFrame([(n, verdict(n)) for n in ("one", "two", "none")], "files string, verdict string")
+    """One delivery per day of events, one file per kind of event that the day has: days with one file pass."""
+    path = new_folder(spark, "deliveries")
+    events = table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").cast("string").alias("day"))
+    events.repartition("day", "event_type").write.partitionBy("day", "event_type").parquet(path)
+    verdicts = readers.single_file_verdicts(spark, path, r"/day=([^/]+)/")
+    landed = spark.read.schema("event_id bigint, day string, event_type string").parquet(path)
+    rows = landed.groupBy("day").agg(F.count("*").alias("n_rows"))
+    return verdicts.join(rows, F.col("delivery") == F.col("day")).select("delivery", "n_files", "n_rows", "verdict")
 
 
 @query("backup_table", "SELECT n_nationkey, n_name FROM nation")

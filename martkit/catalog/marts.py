@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from martkit.catalog.registry import query, table
+from martkit.catalog.registry import ORACLE, query, table
 from martkit.catalog.scalar import money
 from martkit.functions.dates import ts_to_epoch_ms
 from martkit.operators.project import select_all
 from martkit.operators.star import attach_dims
 from martkit.plans import ads_a, ads_b, contacts, crm, sales_a, sales_b, small
 from martkit.plans import contracts as c
-from martkit.plans.daily import run_moves
+from martkit.plans.daily import merge_stage_snapshot, read_history, read_moves, run_moves
+from martkit.plans.deliveries import read_ads_a, read_sales_a, run_ads_a, run_sales_a
 from martkit.workspace import new_folder
 
 
@@ -157,7 +160,7 @@ def mart_crm_daily(spark, sf):
             spark, f"{base}/moves", f"{base}/silver", f"{base}/gold", f"2025010{day}_000000",
             inputs["persons"], inputs["person_fields"], inputs["deals"],
         )
-    fact = spark.read.parquet(f"{base}/gold/ft_move")
+    fact = read_moves(spark, f"{base}/gold")
     return select_all(
         fact, ["title", "deal_id", "value", "timestamp", "flg_ultimo_movimento", "utm_campaign", "load_ts"]
     )
@@ -184,6 +187,16 @@ def mart_crm_stage_history(spark, sf):
     return crm.stage_dims(crm_inputs(spark, sf)["stages"])["scd2_dim_stage"]
 
 
+@query("mart_crm_stage_history_merged", ORACLE["mart_crm_stage_history"])
+def mart_crm_stage_history_merged(spark, sf):
+    """The same history, from snapshots merged one by one; the first is delivered twice."""
+    gold, stages = new_folder(spark, "history"), crm_inputs(spark, sf)["stages"]
+    for day in (1, 1, 2, 3):
+        at = datetime(2025, 1, day)
+        merge_stage_snapshot(spark, stages.where(F.col("snapshot_time") == F.lit(at).cast("timestamp_ntz")), at, gold)
+    return read_history(spark, gold)
+
+
 @query(
     "mart_crm_dims",
     """
@@ -529,6 +542,27 @@ def mart_ads_a_dim_camp(spark, sf):
     return ads_a.dim_camp(ads_a.insights(raw), newest)
 
 
+@query(
+    "mart_ads_a_daily",
+    f"""
+    SELECT {INSIGHT_SQL}, CAST(user_id AS VARCHAR) AS campaign_id FROM events WHERE {INSIGHT_KEPT}
+    """,
+)
+def mart_ads_a_daily(spark, sf):
+    """Files of dated folders: odd days, then even days and late files of odd ones, then nothing new."""
+    base = new_folder(spark, "ads-daily")
+    raw = insight_rows(spark, sf, text("user_id").alias("campaign_id"), text("event_id").alias("campaign_name"))
+    late = F.col("event_id") % 50 == 7
+    odd = F.dayofmonth("date_stop") % 2 == 1
+    for part in (odd & ~late, ~odd | late, None):
+        if part is not None:
+            kept = raw.where(part).drop("source_file", "event_id").withColumn("date", F.col("date_stop"))
+            kept.repartition("date").write.mode("append").partitionBy("date").json(f"{base}/bronze/campaigns")
+        run_ads_a(spark, f"{base}/bronze", f"{base}/gold", {}, lines=True)
+    fact = read_ads_a(spark, f"{base}/gold", ["campaigns"])["campaigns"]
+    return select_all(fact.withColumn("event_id", F.col("campaign_name").cast("bigint")), [*INSIGHT_COLS, "campaign_id"])
+
+
 # --- sales A -------------------------------------------------------------------
 
 
@@ -580,6 +614,20 @@ def sales_a_records(spark, sf):
     """,
 )
 def mart_sales_a(spark, sf):
+    mart = sales_a.build_sales_a({"sales": sales_a_records(spark, sf), "users": sales_a_users(spark, sf)})
+    return sales_with_documents(mart)
+
+
+def sales_with_documents(mart):
+    sales = mart["sales"].select(
+        "product_id", "product_name", "buyer_ucode", "price_value", "payment_method",
+        "payment_installments_number", "hotmart_fee_total", "approved_datetime_utc",
+        "approved_datetime_brt", "approved_datetime_br",
+    )
+    return attach_dims(sales, {"buyer_ucode": mart["users"].drop("buyer_name")})
+
+
+def sales_a_users(spark, sf):
     orders = table(spark, sf, "orders")
     documents = F.when(F.col("o_orderkey") % 3 != 0, F.array(F.struct(text("o_orderkey").alias("value"))))
 
@@ -588,17 +636,38 @@ def mart_sales_a(spark, sf):
         return F.struct(F.lit(role).alias("role"), user.alias("user"))
 
     other = F.array(F.struct(F.lit("0").alias("value")))
-    users = orders.select(
+    return orders.select(
         F.array(entry("PRODUCER", other), entry("BUYER", documents)).alias("users"),
         F.col("o_orderkey").alias("pos"),
     )
-    mart = sales_a.build_sales_a({"sales": sales_a_records(spark, sf), "users": users})
-    sales = mart["sales"].select(
-        "product_id", "product_name", "buyer_ucode", "price_value", "payment_method",
-        "payment_installments_number", "hotmart_fee_total", "approved_datetime_utc",
-        "approved_datetime_brt", "approved_datetime_br",
+
+
+def land_pulls(records, path, date):
+    """One file for each date, with its records in the order of ``pos`` as an envelope."""
+    item = F.struct(*[c for c in records.columns if c != "pos"])
+    pulls = records.groupBy(date.alias("date")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", item.alias("r")))), lambda x: x["r"]).alias("dados")
     )
-    return attach_dims(sales, {"buyer_ucode": mart["users"].drop("buyer_name")})
+    pulls.write.mode("append").partitionBy("date").json(path)
+
+
+@query("mart_sales_a_daily", ORACLE["mart_sales_a"])
+def mart_sales_a_daily(spark, sf):
+    """Pulls taken in by three runs: half of the first ones, the others with the second ones, then nothing new."""
+    base = new_folder(spark, "sales-daily")
+    records = sales_a_records(spark, sf)
+    again = F.col("pos") > 1_000_000_000
+    day = F.date_add(F.lit("2024-01-01"), F.pmod("pos", F.lit(12)).cast("int") + F.when(again, 100).otherwise(0))
+    early = ~again & (F.col("pos") % 2 == 0)
+    # all entries of a buyer come in one pull
+    buyer_day = F.date_add(F.lit("2024-01-01"), F.pmod(F.xxhash64(F.element_at("users", 2)["user"]["ucode"]), F.lit(12)).cast("int"))
+    for run, part in enumerate((early, ~early, None)):
+        if part is not None:
+            land_pulls(records.where(part), f"{base}/bronze/sales", day)
+        if run == 0:
+            land_pulls(sales_a_users(spark, sf), f"{base}/bronze/users", buyer_day)
+        run_sales_a(spark, f"{base}/bronze", f"{base}/gold")
+    return sales_with_documents(read_sales_a(spark, f"{base}/gold"))
 
 
 # --- sales B -------------------------------------------------------------------

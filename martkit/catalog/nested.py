@@ -183,7 +183,7 @@ def props_map(c):
 )
 def map_to_columns(spark, sf):
     df = table(spark, sf, "events").select("event_id", props_map(F.col("props")).alias("fields"))
-    return joins.map_to_columns(df, "event_id", "fields", labels(spark), ALIASES)
+    return joins.map_to_columns(df, "event_id", "fields", labels(spark), ALIASES, one_per_key=True)
 
 
 @query(

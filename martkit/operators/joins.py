@@ -98,48 +98,73 @@ def normalized_label(c: Column) -> Column:
     return F.lower(strip(F.translate(c, "_", " ")))
 
 
+LABELS = 200  # field names that may stand in an expression
+
+
 def map_to_columns(
     df: DataFrame,
     key: str,
     map_col: str,
     labels: DataFrame,
     aliases: Mapping[str, str],
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Open-keyed map to one column per alias, one row per key.
 
     ``labels`` (key, name) gives the readable name of an opaque map key; a map
     key without one names itself. Among several entries of one alias the last
-    in the map wins. Aliases that a row does not carry are empty text.
+    in the map wins. Aliases that a row does not carry are empty text; rows that
+    carry none are left out. The labels that matter, those of an alias's name or
+    key, are fetched at once; up to ``LABELS`` of them go into an expression on
+    the map, which is neither exploded nor, with ``one_per_key``, shuffled. More
+    of them are joined to the exploded entries.
     """
-    entries = df.select(
-        q(key), F.posexplode(q(map_col)).alias("__pos", "__field", "__value")
-    )
-    names = labels.select(q("key").alias("__field"), q("name").alias("__name"))
-    named = left_lookup(entries, names, ["__field"]).select(
-        q(key),
-        "__pos",
-        F.col("__value").cast("string").alias("__value"),
-        normalized_label(F.coalesce("__name", "__field")).alias("__name"),
-    )
     wanted = {alias.lower().replace("_", " ").strip(): col for alias, col in aliases.items()}
-    kept = named.where(F.col("__name").isin(*wanted))
-    # the newest entry of a (key, alias) pair, empty text standing for null
-    value = F.coalesce(F.col("__value"), F.lit(""))
-    return kept.groupBy(q(key)).agg(
-        *[
-            F.coalesce(
-                F.max_by(
-                    value,
-                    F.when(
-                        F.col("__name").isin(*[n for n, c in wanted.items() if c == col]),
-                        F.col("__pos"),
-                    ),
-                ),
-                F.lit(""),
-            ).alias(col)
-            for col in dict.fromkeys(wanted.values())
-        ]
-    )
+    columns = {col: [n for n, c in wanted.items() if c == col] for col in dict.fromkeys(wanted.values())}
+    named = labels.select(q("key").alias("key"), q("name").alias("name")).where("key IS NOT NULL AND name IS NOT NULL")
+    few = named.where(normalized_label(F.col("name")).isin(*wanted) | normalized_label(F.col("key")).isin(*wanted))
+    known = few.limit(LABELS + 1).collect()
+    if len(known) > LABELS:
+        hits = _joined_hits(df, key, map_col, named, columns)
+    else:
+        hits = _expression_hits(df, key, map_col, dict(known), columns)
+        if one_per_key:
+            return hits.select(q(key), *[F.coalesce(F.col(c)["value"], F.lit("")).alias(c) for c in columns])
+    return hits.groupBy(q(key)).agg(*[F.coalesce(F.max(c)["value"], F.lit("")).alias(c) for c in columns])
+
+
+def _expression_hits(
+    df: DataFrame, key: str, map_col: str, labels: Mapping[str, str], columns: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Each column's last entry in the row's map, as place and value; rows with one at least."""
+    every = [n for names in columns.values() for n in names]
+
+    def entry(e: Column, i: Column) -> Column:
+        name = e["key"]
+        for field, label in labels.items():
+            name = F.when(e["key"] == field, F.lit(label)).otherwise(name)
+        value = F.coalesce(e["value"].cast("string"), F.lit(""))
+        return F.struct(i.alias("pos"), value.alias("value"), normalized_label(name).alias("name"))
+
+    def last(names: Sequence[str]) -> Column:
+        hit = F.try_element_at(F.filter("__hits", lambda x: x["name"].isin(*names)), F.lit(-1))
+        return F.when(hit.isNotNull(), F.struct(hit["pos"].alias("pos"), hit["value"].alias("value")))
+
+    entries = F.transform(F.map_entries(q(map_col)), entry)
+    rows = df.select(q(key), F.filter(entries, lambda x: x["name"].isin(*every)).alias("__hits")).where(F.size("__hits") > 0)
+    return rows.select(q(key), *[last(names).alias(c) for c, names in columns.items()])
+
+
+def _joined_hits(
+    df: DataFrame, key: str, map_col: str, labels: DataFrame, columns: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """As :func:`_expression_hits`, a row for each entry, with the labels joined."""
+    entries = df.select(q(key), F.posexplode(q(map_col)).alias("pos", "__field", "__value"))
+    named = left_lookup(entries, labels.select(F.col("key").alias("__field"), F.col("name").alias("__name")), ["__field"])
+    name = normalized_label(F.coalesce("__name", "__field"))
+    value = F.struct("pos", F.coalesce(F.col("__value").cast("string"), F.lit("")).alias("value"))
+    kept = named.withColumn("__name", name).where(F.col("__name").isin(*[n for names in columns.values() for n in names]))
+    return kept.select(q(key), *[F.when(F.col("__name").isin(*names), value).alias(c) for c, names in columns.items()])
 
 
 def enrich_attributes(

@@ -8,10 +8,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _cols(text: str) -> list[str]:
-    return [c.strip() for c in text.replace("\n", " ").split(",")]
-
-
 def text_schema(cols: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in cols])
 
@@ -53,47 +49,45 @@ ADS_A_MEDIA = (
 ADS_B_INTS = ["impressoes", "cliques"]
 ADS_B_FLOATS = ["ctr", "cpc_medio", "custo", "conversoes"]
 ADS_B_AUDIENCE_FLOATS = ["conversoes"]
-ADS_B_AD_COLUMNS = _cols(
-    """data, id_campanha, id_grupo, id_anuncio, nome_anuncio, tipo_anuncio, rede, id_rede,
-    dispositivo, id_dispositivo, impressoes, cliques, ctr, cpc_medio, custo, conversoes,
-    final_urls, youtube_video_id, youtube_url, thumbnail_url"""
-)
-DIM_ANUNCIO = _cols(
-    """id_anuncio, nome_anuncio, tipo_anuncio, final_urls, youtube_video_id, youtube_url,
-    thumbnail_url"""
-)
-DIM_CAMPANHA = _cols("id_campanha, nome_campanha, tipo_campanha")
-DIM_DISPOSITIVO = _cols("dispositivo, id_dispositivo")
-DIM_GRUPO = _cols("id_grupo, nome_grupo")
-DIM_REDE = _cols("rede, id_rede")
-DIM_PUBLICO = _cols("id_publico, publicos_do_grupo")
-FATO_CAMPANHA = _cols(
-    """data, id_campanha, status_campanha, impressoes, cliques, ctr, cpc_medio, custo,
-    conversoes"""
-)
-FATO_GRUPO = _cols(
-    """data, id_grupo, status_grupo, id_campanha, impressoes, cliques, ctr, cpc_medio, custo,
-    conversoes"""
-)
-FATO_KEYWORDS = _cols(
-    """data, palavra_chave, tipo_correspondencia, status, criterion_id, grupo_id, campanha_id,
-    impressoes, cliques, custo, conversoes"""
-)
-FATO_ANUNCIO = _cols(
-    """data, id_campanha, id_grupo, id_anuncio, id_rede, id_dispositivo, impressoes, cliques,
-    ctr, cpc_medio, custo, conversoes"""
-)
-FATO_PUBLICO = _cols(
-    """data, id_campanha, id_grupo, id_publico, faixa_idade, genero, faixa_renda,
-    status_parental, impressoes, cliques, conversoes"""
-)
+ADS_B_AD_COLUMNS = [
+    "data", "id_campanha", "id_grupo", "id_anuncio", "nome_anuncio", "tipo_anuncio", "rede", "id_rede",
+    "dispositivo", "id_dispositivo", "impressoes", "cliques", "ctr", "cpc_medio", "custo", "conversoes",
+    "final_urls", "youtube_video_id", "youtube_url", "thumbnail_url",
+]
+DIM_ANUNCIO = [
+    "id_anuncio", "nome_anuncio", "tipo_anuncio", "final_urls", "youtube_video_id", "youtube_url", "thumbnail_url",
+]
+DIM_CAMPANHA = ["id_campanha", "nome_campanha", "tipo_campanha"]
+DIM_DISPOSITIVO = ["dispositivo", "id_dispositivo"]
+DIM_GRUPO = ["id_grupo", "nome_grupo"]
+DIM_REDE = ["rede", "id_rede"]
+DIM_PUBLICO = ["id_publico", "publicos_do_grupo"]
+FATO_CAMPANHA = [
+    "data", "id_campanha", "status_campanha", "impressoes", "cliques", "ctr", "cpc_medio", "custo", "conversoes",
+]
+FATO_GRUPO = [
+    "data", "id_grupo", "status_grupo", "id_campanha", "impressoes", "cliques", "ctr", "cpc_medio", "custo",
+    "conversoes",
+]
+FATO_KEYWORDS = [
+    "data", "palavra_chave", "tipo_correspondencia", "status", "criterion_id", "grupo_id", "campanha_id",
+    "impressoes", "cliques", "custo", "conversoes",
+]
+FATO_ANUNCIO = [
+    "data", "id_campanha", "id_grupo", "id_anuncio", "id_rede", "id_dispositivo", "impressoes", "cliques", "ctr",
+    "cpc_medio", "custo", "conversoes",
+]
+FATO_PUBLICO = [
+    "data", "id_campanha", "id_grupo", "id_publico", "faixa_idade", "genero", "faixa_renda", "status_parental",
+    "impressoes", "cliques", "conversoes",
+]
 
 # CRM
-MOVE_COLUMNS = _cols(
-    """event_type, deal_id, pipeline_id, old_stage_id, new_stage_id, title, value, currency,
-    person_id, owner_id, status, pipeline_name, movement_type, comment, timestamp, email,
-    utm_campaign, utm_source, utm_medium, utm_content, fk_allstages, deal_ativo"""
-)
+MOVE_COLUMNS = [
+    "event_type", "deal_id", "pipeline_id", "old_stage_id", "new_stage_id", "title", "value", "currency",
+    "person_id", "owner_id", "status", "pipeline_name", "movement_type", "comment", "timestamp", "email",
+    "utm_campaign", "utm_source", "utm_medium", "utm_content", "fk_allstages", "deal_ativo",
+]
 MOVE_RENAMES = {"old_value": "old_stage_id", "new_value": "new_stage_id"}
 MOVE_INTS = ["deal_id", "pipeline_id", "old_stage_id", "new_stage_id", "person_id", "deal_ativo"]
 MOVE_FLOATS = ["value"]
@@ -158,30 +152,28 @@ BUYER_ROLE = "BUYER"
 BUYER_COLUMNS = ["Nome do comprador", "Email do comprador"]
 AFFILIATE_COLUMN = "Nome Afiliado"
 TEST_SALES = [445793, 445784]
-DIM_AFILIADO = _cols("ID_Afiliado, Nome Afiliado")
-DIM_CLIENTE = _cols(
-    """Nome do comprador, Email do comprador, Número de telefone, Endereço físico, ID_Cliente,
-    CPF/CNPJ"""
-)
-DIM_OFERTA = _cols("ID Oferta, Nome da oferta")
-DIM_PRODUTO = _cols("ID Produto, Nome do produto, Categoria, Tipo do produto")
-F_VENDAS = _cols(
-    """ID Venda, Data da venda, Data de pagamento, Data de vencimento do boleto,
-    Data liberação do saldo, ID Produto, ID Oferta, Método de pagamento, Forma de pagamento,
-    Cupom, Valor Oferta, Valor Pago, Taxa Voomp, Valor comissão afiliado,
-    Valor comissão co-produtor, Valor Recebido, Status da venda, Motivo do reembolso,
-    Motivo da recusa, Venda inteligente, Tipo de cobrança, ID Contrato, Status de Contrato,
-    Período, Recorrência atual, Recorrência total, Assinaturas em atraso (dias), Nota fiscal,
-    Order Bump, UF Origem, Taxa de câmbio, Link Boleto, Cod. de Barras, ID_Afiliado,
-    ID_Cliente"""
-)
-F_PROJECAO = _cols(
-    """ID Venda, Data Prevista de Pagamento, ID Produto, ID Oferta, Método de pagamento,
-    Forma de pagamento, Cupom, Valor a pagar, Taxa Voomp, Valor comissão afiliado,
-    Valor comissão co-produtor, Taxa de parcelamento do cliente, Valor a receber,
-    Status da venda, Venda inteligente, Tipo de cobrança, ID Contrato, Período,
-    Recorrência atual, Recorrência total, Order Bump, UF Origem, ID_Afiliado, ID_Cliente"""
-)
+DIM_AFILIADO = ["ID_Afiliado", "Nome Afiliado"]
+DIM_CLIENTE = [
+    "Nome do comprador", "Email do comprador", "Número de telefone", "Endereço físico", "ID_Cliente", "CPF/CNPJ",
+]
+DIM_OFERTA = ["ID Oferta", "Nome da oferta"]
+DIM_PRODUTO = ["ID Produto", "Nome do produto", "Categoria", "Tipo do produto"]
+F_VENDAS = [
+    "ID Venda", "Data da venda", "Data de pagamento", "Data de vencimento do boleto", "Data liberação do saldo",
+    "ID Produto", "ID Oferta", "Método de pagamento", "Forma de pagamento", "Cupom", "Valor Oferta", "Valor Pago",
+    "Taxa Voomp", "Valor comissão afiliado", "Valor comissão co-produtor", "Valor Recebido", "Status da venda",
+    "Motivo do reembolso", "Motivo da recusa", "Venda inteligente", "Tipo de cobrança", "ID Contrato",
+    "Status de Contrato", "Período", "Recorrência atual", "Recorrência total", "Assinaturas em atraso (dias)",
+    "Nota fiscal", "Order Bump", "UF Origem", "Taxa de câmbio", "Link Boleto", "Cod. de Barras", "ID_Afiliado",
+    "ID_Cliente",
+]
+F_PROJECAO = [
+    "ID Venda", "Data Prevista de Pagamento", "ID Produto", "ID Oferta", "Método de pagamento",
+    "Forma de pagamento", "Cupom", "Valor a pagar", "Taxa Voomp", "Valor comissão afiliado",
+    "Valor comissão co-produtor", "Taxa de parcelamento do cliente", "Valor a receber", "Status da venda",
+    "Venda inteligente", "Tipo de cobrança", "ID Contrato", "Período", "Recorrência atual", "Recorrência total",
+    "Order Bump", "UF Origem", "ID_Afiliado", "ID_Cliente",
+]
 
 # social
 SOCIAL_PAGE = (
@@ -197,9 +189,9 @@ CALLS_INTS = ["AGENDAMENTOS", "CALLS REALIZADAS"]
 
 # FX
 FX = ("success boolean, base string, date string, rates map<string,double>")
-FX_COLUMNS = _cols(
-    "data_extracao, data_referencia, moeda_origem, moeda_destino, quantidade, resultado"
-)
+FX_COLUMNS = [
+    "data_extracao", "data_referencia", "moeda_origem", "moeda_destino", "quantidade", "resultado",
+]
 
 # contacts
 CONTACT_LEAD = {

@@ -65,18 +65,26 @@ def ft_move(
     not deleted count as active. The newest time of each deal is looked for in
     the raw ``events``, where given, so that the enrichment need not run twice.
     """
-    df = rename_aliases(_typed_moves(silver), {"deal_ativo": "flag_deal_ativo"})
     times = None
     if events is not None:
         key = {n: T.StringType() for n in ("deal_id", "timestamp")}
         schema = T.StructType([T.StructField(n, t) for n, t in key.items()])
         times = _typed_moves(align_to_contract(_event_texts(events), schema, dict.fromkeys(key, "")))
-    df = flag_latest(
-        df.withColumn("date", F.to_date("timestamp")), "deal_id", "timestamp", "flg_ultimo_movimento",
-        times_from=times,
-    )
-    if deals is None:
-        return df
+    df = flag_latest(_dated_moves(silver), "deal_id", "timestamp", "flg_ultimo_movimento", times_from=times)
+    return df if deals is None else _with_active(df, silver, deals)
+
+
+def ft_move_rows(silver: DataFrame, deals: DataFrame) -> DataFrame:
+    """The rows of :func:`ft_move` without the latest flag, which needs the rows of other deliveries."""
+    return _with_active(_dated_moves(silver), silver, deals)
+
+
+def _dated_moves(silver: DataFrame) -> DataFrame:
+    df = rename_aliases(_typed_moves(silver), {"deal_ativo": "flag_deal_ativo"})
+    return df.withColumn("date", F.to_date("timestamp"))
+
+
+def _with_active(df: DataFrame, silver: DataFrame, deals: DataFrame) -> DataFrame:
     alive = deals.where(~F.col("status").eqNullSafe(DELETED)).select(F.col("id").alias("deal_id"))
     return member_flag(df, alive, "deal_id", "flag_deal_ativo", counts_from=silver)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,20 +37,20 @@ def unique_users(users: DataFrame) -> DataFrame:
     return last_wins(users.withColumn("__key", key), "__key", _newest_first(users)).drop("__key")
 
 
-def sales(records: DataFrame) -> DataFrame:
-    """Flat sales with the approval time in UTC, at UTC-3 and as local text."""
-    df = flatten_paths(records, c.SALES_PATHS)
+def sales(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Flat sales with the approval time in UTC, at UTC-3 and as local text; columns of ``keep`` stay."""
+    df = flatten_paths(records, {**c.SALES_PATHS, **{k: k for k in keep}})
     if "approved_datetime_utc" not in df.columns:
         df = df.withColumn("approved_datetime_utc", epoch_ms_to_ts(F.col("approved_date")))
     local = fixed_offset(F.col("approved_datetime_utc"))
     return df.withColumns({"approved_datetime_brt": local, "approved_datetime_br": br_text(local)})
 
 
-def buyers(records: DataFrame) -> DataFrame:
+def buyers(records: DataFrame, with_pull: bool = False) -> DataFrame:
     """One row per buyer: first name, first document that has a value, of the newest pull that shows the buyer.
 
     The order is that of the records and of the entries inside each. Pulls are
-    told apart by their file, where the reader kept it.
+    told apart by their file, where the reader kept it; ``with_pull`` adds it.
     """
     placed = records.withColumn("record", F.struct(*_place(records))).drop("pos")
     rows = explode_children(
@@ -69,9 +71,11 @@ def buyers(records: DataFrame) -> DataFrame:
         dated = left_lookup(rows, newest, ["buyer_ucode"], nulls_match=True, count_col="__n")
         rows = dated.where(F.col("__pull").eqNullSafe(F.col("__newest"))).drop("__pull", "__newest")
     order = F.struct("record", "pos", F.coalesce("child_pos", F.lit(-1)))
-    return first_per_group(
-        rows, ["buyer_ucode"], order, {"buyer_name": False, "document_value": True}
-    )
+    first = {"buyer_name": False, "document_value": True}
+    if not with_pull:
+        return first_per_group(rows, ["buyer_ucode"], order, first)
+    dated = rows.withColumn("pull", F.col("record.source_file"))
+    return first_per_group(dated, ["buyer_ucode"], order, {**first, "pull": False})
 
 
 def build_sales_a(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -17,8 +17,10 @@ from martkit.functions.text import strip
 from martkit.operators.combine import stack_diagonal, stack_relaxed, stack_strict
 from martkit.operators.project import null_tokens as apply_null_tokens
 from martkit.operators.project import q, rename_aliases, select_all
+from martkit.workspace import written
 
 CORRUPT = "_corrupt_record"
+NO_SEPARATOR = "\x00\x01\x00 no line ends here \x00\x01\x00"
 # What readers leave out: file, text where there is one, reason.
 REJECTS = f"source_file string, {CORRUPT} string, reason string"
 # Fixed value: the id of the writing job in the name of a part file.
@@ -37,15 +39,16 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
 def _json(
     spark: SparkSession, path: str | Sequence[str], fields: Sequence[str], lines: bool = False
 ) -> DataFrame:
-    """The records with every field as text, so that no value of a strange type spoils its file."""
+    """The records with every field as text, so that no value of a strange type spoils its file.
+
+    A file that isn't one record per line is read as one line up to a separator
+    that no file holds: its text is parsed in memory. As a multi-line file, Spark
+    would fetch the text of each number from the file again, by its place.
+    """
     text = T.StructType([T.StructField(n, T.StringType()) for n in (*fields, CORRUPT)])
-    return (
-        spark.read.schema(text)
-        .option("multiLine", not lines)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path if isinstance(path, str) else list(path))
-    )
+    reader = spark.read.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = reader if lines else reader.option("lineSep", NO_SEPARATOR)
+    return reader.json(path if isinstance(path, str) else list(path))
 
 
 def _typed(text: Column, kind: T.DataType) -> tuple[Column, Column]:
@@ -121,8 +124,27 @@ def read_json_rejects(
     return _rejects(_json_records(spark, path, schema, True, lines))
 
 
+def split_json_records(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, lines: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The records with their file, and those left out, from one scan.
+
+    The typed records are written to the shared folder and both are read from there.
+    """
+    records = written(_json_records(spark, path, schema, True, lines))
+    return _good(records), _rejects(records)
+
+
+def split_json_envelope(
+    spark: SparkSession, path: str | Sequence[str], record: T.StructType | str, field: str = "dados"
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`split_json_records`, for the records of an envelope; the good ones carry ``pos``."""
+    records = written(_envelope_items(spark, path, as_schema(record), field, True))
+    return _good(records), _rejects(records)
+
+
 def _envelope_items(
-    spark: SparkSession, path: str, record: T.StructType, field: str, with_file: bool
+    spark: SparkSession, path: str | Sequence[str], record: T.StructType, field: str, with_file: bool
 ) -> DataFrame:
     raw = _json(spark, path, [field])
     raw = with_source_file(raw) if with_file else raw
@@ -378,6 +400,18 @@ def require_single_file(spark: SparkSession, pattern: str) -> None:
         raise ValueError(f"expected exactly one file in {pattern}, found {'several' if found else 'none'}")
 
 
+def single_file_verdicts(spark: SparkSession, path: str, delivery: str) -> DataFrame:
+    """For each delivery below a folder, its number of files and whether it is the one file that is expected.
+
+    ``delivery`` is a pattern whose first group is the delivery's name in a
+    file's path; files that don't match belong to none. Only names are read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    named = files.where(F.col("path").rlike(delivery)).groupBy(F.regexp_extract("path", delivery, 1).alias("delivery"))
+    verdict = F.when(F.col("n_files") == 1, F.lit("accepted")).otherwise(F.lit("refused"))
+    return named.agg(F.count(F.lit(1)).alias("n_files")).withColumn("verdict", verdict)
+
+
 def version_time(path: Column) -> Column:
     """Time stamp ``yyyyMMdd_HHmmss`` in a file or folder name, the last one if several."""
     text = F.when(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from martkit.operators.incremental import high_watermark, missing_days
 from martkit.plans import ads_a, ads_b, contacts, contracts, crm, daily, layers, sales_a, sales_b, small
+from martkit.sources.pointed import PointedTable
 from martkit.sources.readers import list_files
 from tests.helpers import frame, rows
 from tests.test_files import put
@@ -382,13 +383,13 @@ def test_daily_moves_after_a_failed_run(spark, tmp_path, monkeypatch):
 
     deliver("a.json", move("a", 1), move("b", 2), "half a rec", move("other", 1, "8"))
     with monkeypatch.context() as m:
-        m.setattr(daily, "rewrite_versions", stop)
+        m.setattr(PointedTable, "replace", stop)
         with pytest.raises(RuntimeError, match="stopped"):
             run("20250101_000000")
     deliver("b.json", move("c", 3))
     assert run("20250102_000000") == ["20250101_000000", "20250102_000000"]
     assert run("20250103_000000") == []
-    fact = spark.read.parquet(str(tmp_path / "gold" / "ft_move"))
+    fact = daily.read_moves(spark, str(tmp_path / "gold"))
     got = fact.select("title", "flg_ultimo_movimento", "flag_deal_ativo", "utm_campaign", "load_ts").collect()
     assert sorted(map(tuple, got)) == [
         ("a", 0, 1, "c", "20250101_000000"), ("b", 0, 1, "c", "20250101_000000"),

@@ -304,7 +304,7 @@ def test_new_rows_and_control(spark):
     assert rows(joins.append_control(control, fresh, "id")) == [(1,), (2,)]
 
 
-def test_map_to_columns_last_entry_wins(spark):
+def test_map_to_columns_last_entry_wins(spark, monkeypatch):
     texts = [
         (1, '{"utm_source": "a", "h1": "b", "x": "z"}'), (2, '{"UTM Source": null}'), (3, "{}"),
     ]
@@ -312,8 +312,17 @@ def test_map_to_columns_last_entry_wins(spark):
         "id", F.from_json("t", "map<string,string>").alias("m")
     )
     labels = frame(spark, "key string, name string", ("h1", " UTM_source "), ("x", "Unrelated"))
-    got = joins.map_to_columns(df, "id", "m", labels, {"utm source": "s", "utm_medium": "m"})
-    assert rows(got) == [(1, "b", ""), (2, "", "")]
+    aliases = {"utm source": "s", "utm_medium": "m"}
+    for most in (joins.LABELS, 0):  # labels in an expression, and joined
+        monkeypatch.setattr(joins, "LABELS", most)
+        assert rows(joins.map_to_columns(df, "id", "m", labels, aliases)) == [(1, "b", ""), (2, "", "")]
+    monkeypatch.undo()
+    alone = joins.map_to_columns(df, "id", "m", labels, aliases, one_per_key=True)
+    assert rows(alone) == [(1, "b", ""), (2, "", "")]
+    assert "Exchange" not in plan(alone) and "Generate" not in plan(alone)
+    # a key that is an alias's name, but has another label, is not the alias
+    other = frame(spark, "key string, name string", ("utm_source", "Unrelated"), ("x", None))
+    assert rows(joins.map_to_columns(df, "id", "m", other, aliases)) == [(2, "", "")]
 
 
 # --- aggregates ----------------------------------------------------------------------
