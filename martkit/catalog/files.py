@@ -12,6 +12,7 @@ from martkit.catalog.registry import query, table
 from martkit.operators import combine, history
 from martkit.operators.explode import flatten_report
 from martkit.sources import readers, writers
+from martkit.streaming import ingest
 from martkit.streaming.ingest import ingest_new_files
 from martkit.workspace import new_folder
 
@@ -242,6 +243,28 @@ def ingest_once(spark, sf):
     return spark.read.parquet(target)
 
 
+@query(
+    "ingest_last_wins",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS pull,
+           CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders
+    """,
+)
+def ingest_last_wins(spark, sf):
+    """Two overlapping pulls, a run after each and one more with nothing new: the second pull's rows count."""
+    base = new_folder(spark, "last-wins")
+    schema = readers.as_schema("o_orderkey bigint, pull int, price double")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("price"))
+    again = orders.where("o_orderstatus = 'O'").withColumn("price", F.col("price") + 1)
+    for pull, rows in enumerate((orders, again, None), 1):
+        if rows is not None:
+            rows.select("o_orderkey", F.lit(pull).alias("pull"), "price").write.mode("append").json(f"{base}/landing")
+        ingest.ingest_last_wins(
+            spark, f"{base}/landing", schema, f"{base}/kept", f"{base}/marks", "o_orderkey", [F.col("pull").desc()]
+        )
+    return ingest.last_wins_table(spark, f"{base}/kept", schema).read().select("o_orderkey", "pull", "price")
+
+
 @query(
     "web_report_json",
     """

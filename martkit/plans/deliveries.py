@@ -10,7 +10,7 @@ of the delivery, days, partitions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -210,14 +210,6 @@ def buyers_table(spark: SparkSession, gold: str) -> PointedTable:
     return PointedTable(spark, f"{gold}/users", kinds, [BUCKET])
 
 
-def _merged(table: PointedTable, delivered: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Replace the buckets that the delivery touches by the merge of their kept rows with it."""
-    delivered = written(delivered)
-    touched = [str(r[0]) for r in delivered.select(BUCKET).distinct().collect()]
-    if touched:
-        table.replace(merge(table.read(touched), delivered))
-
-
 def run_sales_a(spark: SparkSession, bronze: str, gold: str, upto: date | None = None) -> dict[str, list[str]]:
     """Take in the sales and user pulls that are new, up to a last day.
 
@@ -238,12 +230,14 @@ def run_sales_a(spark: SparkSession, bronze: str, gold: str, upto: date | None =
         good, bad = split_json_envelope(spark, new.paths, record)
         if feed == "sales":
             order = [F.col("__file").desc(), F.col("__pos").desc()]
-            _merged(sales_table(spark, gold), _flat_sales(good),
-                    lambda kept, got, order=order: merge_last_wins(kept, got, "__tx", order, "__file"))
+            sales_table(spark, gold).merge(
+                _flat_sales(good), lambda kept, got, order=order: merge_last_wins(kept, got, "__tx", order, "__file")
+            )
         else:
             pulled = sales_a.buyers(good, with_pull=True).withColumn(BUCKET, bucket_of("buyer_ucode", BUCKETS))
-            _merged(buyers_table(spark, gold), pulled,
-                    lambda kept, got: dedup_by_key(kept.unionByName(got), ["buyer_ucode"], [F.col("pull").desc()]))
+            buyers_table(spark, gold).merge(
+                pulled, lambda kept, got: dedup_by_key(kept.unionByName(got), ["buyer_ucode"], [F.col("pull").desc()])
+            )
         rejects.replace(bad.withColumns({"feed": F.lit(feed), "pull": F.element_at(F.split("source_file", "/"), -1)}))
         taken[feed] = new
     _taken(spark, control, taken)

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martkit.operators.project import q
+from martkit.workspace import written
 
 
 def _text(col: str) -> Column:
@@ -84,10 +85,17 @@ class PointedTable:
             .partitionBy("__folder").parquet(f"{self.path}/{generation}")
         )
         made = self.spark.read.schema("__part string, __folder string").parquet(f"{self.path}/{generation}")
-        written = {r["__part"]: f"{generation}/__folder={r['__folder']}" for r in made.distinct().collect()}
+        new = {r["__part"]: f"{generation}/__folder={r['__folder']}" for r in made.distinct().collect()}
         kept = {p: f for p, f in now.items() if p not in set(drop)}
-        self._commit(kept | written, number + 1)
-        return sorted(written)
+        self._commit(kept | new, number + 1)
+        return sorted(new)
+
+    def merge(self, delivered: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame]) -> list[str]:
+        """Replace the partitions that the rows touch by ``how`` of their kept rows and the delivered ones; no other is read."""
+        delivered = written(delivered)
+        part = F.concat_ws("|", *[_text(c) for c in self.by])
+        touched = [r[0] for r in delivered.select(part).distinct().collect()]
+        return self.replace(how(self.read(touched), delivered), drop=touched) if touched else []
 
     def _commit(self, parts: dict[str, str], number: int) -> None:
         fs, target = self._fs(f"{self.path}/pointers/{number:010}.json")

@@ -15,6 +15,8 @@ from martkit.operators.state import merge_newest, merge_snapshot, newest_times
 from martkit.plans import ads_a, daily, deliveries, layers, sales_a
 from martkit.plans import contracts as c
 from martkit.sources.pointed import PointedTable
+from martkit.sources.readers import as_schema
+from martkit.streaming.ingest import ingest_last_wins, last_wins_table
 from tests.helpers import frame, rows
 from tests.test_files import put
 
@@ -303,3 +305,40 @@ def test_sales_in_two_deliveries(spark, tmp_path, monkeypatch):
         assert rows(got[name].select(*want[name].columns)) == rows(want[name]), name
     assert [(r["feed"], r["reason"]) for r in deliveries.read_rejects(spark, gold, "pull").collect()] == [("sales", "wrong type: purchase")]
     assert rows(deliveries.undated_files(spark, str(bronze), ["sales", "users"])) == []
+
+
+# --- streaming ------------------------------------------------------------------
+
+
+def test_streamed_pulls_keep_the_newest_row(spark, tmp_path, monkeypatch):
+    """Overlapping pulls in several batches; a batch that stops before its commit, and one that stops after it."""
+    schema = as_schema("k string, v string, at int")
+    feed, kept = tmp_path / "feed", str(tmp_path / "kept")
+
+    def land(name, *records):
+        put(str(feed), name, "\n".join(json.dumps(r) for r in records))
+
+    def run():
+        newest = [F.col("at").desc(), F.col("source_file").desc()]
+        ingest_last_wins(spark, str(feed), schema, kept, str(tmp_path / "marks"), "k", newest, options={"maxFilesPerTrigger": 1})
+
+    def got():
+        return rows(last_wins_table(spark, kept, schema).read().select("k", "v", "at"))
+
+    land("a.json", {"k": "1", "v": "a", "at": 1}, {"k": "2", "v": "a", "at": 5}, {"v": "none", "at": 1}, {"v": "none", "at": 1})
+    run()
+    land("b.json", {"k": "1", "v": "b", "at": 2}, {"k": "2", "v": "late", "at": 4}, {"k": "3", "v": "b", "at": 1}, {"v": "other", "at": 1})
+    commit = PointedTable._commit
+    for after in (False, True):
+        def stop(self, *args, after=after):
+            if after:
+                commit(self, *args)
+            raise RuntimeError("stopped")
+
+        with monkeypatch.context() as m:
+            m.setattr(PointedTable, "_commit", stop)
+            with pytest.raises(Exception, match="stopped"):
+                run()
+    run()
+    run()
+    assert got() == sorted([("1", "b", 2), ("2", "a", 5), ("3", "b", 1), (None, "none", 1), (None, "none", 1), (None, "other", 1)], key=repr)
