@@ -68,7 +68,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.document_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    path = public_tokenizers.path(TOKENIZER)
+    return token_files.document_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,12 +14,16 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,6 +40,9 @@ BLOOM_ODDS = 0.01
 WRITER_ROWS = 64  # that the ORC writer holds before it looks at the size of its stripe
 CUT_CHARS = 1 << 16  # a longer text is encoded in parts
 BATCH_CHARS = 1 << 20  # encoded at once
+MEMO = 400_000  # matches whose ids a task remembers
+ENCODED_AT_ONCE = 20_000  # of new matches
+FIRST_GAP = "\u0378"  # no character before it is unassigned
 _CUT = re.compile(r"(?<=\w)[ \n](?=\w)")
 
 
@@ -53,32 +60,83 @@ def parts_of(text: str, size: int = CUT_CHARS) -> list[str]:
     return out
 
 
-def _encoded(encoder, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def unassigned() -> str:
+    """A pattern for characters that Python's Unicode tables don't know: libraries may differ on them."""
+    known = np.array([unicodedata.category(chr(c)) != "Cn" for c in range(sys.maxunicode + 1)])
+    edges = np.flatnonzero(np.diff(known.astype(np.int8), prepend=1, append=1))
+    return "[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]"
+
+
+class Encoder:
+    """A tokenizer of the tokenizers library; ``pattern`` is the split of its byte-level pre-tokenizer, where it has one.
+
+    With the pattern, texts are split first and the library encodes each
+    different match once for as long as it is remembered. Parts with an added
+    token's text or an unassigned character are encoded as a whole.
+    """
+
+    def __init__(self, file: str, pattern: str | None = None, unsure: str | None = None) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_str(file)
+        self.memo: dict[str, bytes] = {}
+        self.matches = None
+        if pattern is not None:
+            self.matches = regex.compile(pattern)
+            self.single = Tokenizer.from_str(file)
+            self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+            self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+            self.unsure = re.compile(unsure or unassigned())
+
+    def _split(self, part: str) -> list[str] | None:
+        if self.matches is None or self.added.search(part):
+            return None
+        if not part.isascii() and max(part) >= FIRST_GAP and self.unsure.search(part):
+            return None
+        return self.matches.findall(part)
+
+    def encode(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part as 32-bit integers."""
+        split = [self._split(p) for p in parts]
+        fresh = list(set().union(*[s for s in split if s is not None]).difference(self.memo))
+        memo = self.memo
+        for start in range(0, len(fresh), ENCODED_AT_ONCE):
+            some = fresh[start : start + ENCODED_AT_ONCE]
+            for match, found in zip(some, self.single.encode_batch_fast(some, add_special_tokens=False)):
+                memo[match] = array("i", found.ids).tobytes()
+        out = []
+        for part, pieces in zip(parts, split):
+            if pieces is None:
+                out.append(array("i", self.whole.encode(part, add_special_tokens=False).ids).tobytes())
+            else:
+                out.append(b"".join(map(memo.__getitem__, pieces)))
+        if len(memo) > MEMO:
+            memo.clear()
+        return out
+
+
+def _encoded(encoder: Encoder, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The number of ids of each text, the end id counted, and all ids one after the other."""
+    end = array("i", [end_id]).tobytes()
     owners: list[int] = []
-    lists: list[list[int]] = []
+    found: list[bytes] = []
     waiting: list[str] = []
     chars = 0
-
-    def flush() -> None:
-        lists.extend(e.ids for e in encoder.encode_batch_fast(waiting, add_special_tokens=False))
-        waiting.clear()
-
     for i, text in enumerate(texts):
         for part in parts_of(text):
+            if waiting and chars + len(part) > BATCH_CHARS:
+                found += encoder.encode(waiting)
+                waiting, chars = [], 0
             owners.append(i)
             waiting.append(part)
             chars += len(part)
-            if chars >= BATCH_CHARS:
-                flush()
-                chars = 0
-        owners.append(i)
-        if waiting:
-            flush()
-            chars = 0
-        lists.append([end_id])
-    counts = np.bincount(owners, weights=[len(x) for x in lists], minlength=len(texts)).astype(np.int64)
-    return counts, np.concatenate([np.array(x, np.int32) for x in lists]) if lists else np.zeros(0, np.int32)
+    found += encoder.encode(waiting)
+    last = np.flatnonzero(np.diff(owners, append=-1))
+    for place in last.tolist():
+        found[place] += end
+    counts = np.bincount(owners, weights=[len(f) // 4 for f in found], minlength=len(texts)).astype(np.int64)
+    return counts, np.frombuffer(b"".join(found), np.int32)
 
 
 def _lists(counts: np.ndarray, ids: np.ndarray) -> pa.Array:
@@ -122,12 +180,13 @@ def _files_path(path: str) -> str:
 
 def write_tokens(
     df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-    stripe_bytes: int = STRIPE_BYTES,
+    stripe_bytes: int = STRIPE_BYTES, pattern: str | None = None,
 ) -> None:
     """Encode every whole text and write the ids, ``end_id`` after each text, in ascending order of the document id.
 
     ``tokenizer`` is the file of a byte-level BPE of the tokenizers library; the
-    driver reads it. Null and empty texts have the end id alone; bytes that
+    driver reads it. ``pattern``, the split of its pre-tokenizer, saves work, see
+    :class:`Encoder`. Null and empty texts have the end id alone; bytes that
     aren't UTF-8 count as U+FFFD. A null id comes first; rows of one id come in
     the order of a hash of the text, and a hot id is spread over files. Each row
     is one document; other columns are not read. An empty table gives files
@@ -135,16 +194,14 @@ def write_tokens(
     """
     spark = df.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
-        sent = spark.sparkContext.broadcast(file.read())
+        sent = spark.sparkContext.broadcast((file.read(), pattern, pattern and unassigned()))
     kind = df.select(F.col(id_col)).schema[0].dataType.simpleString()
     ddl = f"doc_id {kind}, file int, before long, after long, ids array<int>"  # places in the file's sequence of ids
     schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_str(sent.value)
+        encoder = Encoder(*sent.value)
         file, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             raws = byte_list(batch.column("raw"))
@@ -221,7 +278,7 @@ def read_span(spark: SparkSession, path: str, first: int, end: int) -> DataFrame
                        F.slice("ids", (skip + 1).cast("int"), (stop - skip).cast("int")).alias("ids"))
 
 
-def document_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
+def document_tokens(docs: DataFrame, tokenizer: str, pattern: str | None = None) -> DataFrame:
     """Digest of the token files of all documents, read back from the files.
 
     ``ids_crc32`` is over the ids as little-endian 32-bit integers, the end id
@@ -229,7 +286,7 @@ def document_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     spark = docs.sparkSession
     path = new_folder(spark, "token-files")
-    write_tokens(docs, path, tokenizer)
+    write_tokens(docs, path, tokenizer, pattern=pattern)
     rows = read_tokens(spark, path)
     kind = rows.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"

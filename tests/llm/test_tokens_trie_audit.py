@@ -6,6 +6,7 @@ import glob
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -44,7 +45,7 @@ def plain_files(encoder, texts):
 
 def test_token_files(spark, sf, encoder):
     docs = table(spark, sf, "documents")
-    got = token_files.document_tokens(docs, PATH).orderBy("start").collect()
+    got = token_files.document_tokens(docs, PATH, public_tokenizers.PATTERN).orderBy("start").collect()
     rows = docs.orderBy("doc_id").collect()
     assert [r["doc_id"] for r in got] == [r["doc_id"] for r in rows]
     assert [tuple(r)[1:] for r in got] == plain_files(encoder, [r["text"] for r in rows])
@@ -74,6 +75,19 @@ def test_parts_give_the_ids_of_the_whole(encoder):
         assert joined == encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_matches_are_encoded_as_in_the_whole_text(encoder):
+    """Every character, assigned or not, beside letters, digits, spaces and marks; and added tokens."""
+    with open(PATH, encoding="utf-8") as file:
+        pieces = token_files.Encoder(file.read(), public_tokenizers.PATTERN)
+    characters = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b 1{c}2 {c}.{c}{c} {c}x" for c in characters[i : i + 64]) for i in range(0, len(characters), 64)]
+    texts += ["", "<|endoftext|>", "one <|endoftext|> two", "it's 'tis ''s !'s 's\n's", "  two   three \n\n x\t\ty "]
+    for first in range(0, len(texts), 500):
+        part = texts[first : first + 500]
+        want = [e.ids for e in encoder.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(b, np.int32).tolist() for b in pieces.encode(part)] == want
+
+
 def scanned_rows(df):
     """Rows that the scan of the largest table gave out."""
     df.collect()
