@@ -23,10 +23,11 @@ REPEAT_WINDOW = 8
 SAMPLE_FILES, SAMPLE_ROWS = 4, 2_000
 
 # Scripts that write no spaces between words.
-UNSPACED = "[" + "".join(f"\\p{{Is{name}}}" for name in (
+_UNSPACED_SCRIPTS = (
     "Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese", "Balinese",
     "Tai_Le", "New_Tai_Lue", "Tai_Tham",
-)) + "]+"
+)
+UNSPACED = "[" + "".join(f"\\p{{Is{name}}}" for name in _UNSPACED_SCRIPTS) + "]+"
 
 _WORD_SEPARATOR = "[\\x20\\x09-\\x0D]+"
 
@@ -228,7 +229,8 @@ def document_quality(docs: DataFrame) -> DataFrame:
 
 
 # The words' separators and the symbols as above; the SQL checks every column but needs no order of the rules.
-DOCUMENT_QUALITY_SQL = """
+_UNSPACED_SQL = "[" + "".join(f"\\p{{{name}}}" for name in _UNSPACED_SCRIPTS) + "]+"
+DOCUMENT_QUALITY_SQL = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
     [x for x in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x != ''] AS w,
@@ -245,11 +247,13 @@ m AS (
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words,
-    length(regexp_replace(t, '\\P{L}+', '', 'g')) AS letters, len(string_split(t, chr(10))) AS n_lines
+    length(regexp_replace(t, '[^\\p{{L}}\\p{{M}}]+', '', 'g')) AS letters,
+    length(t) - length(regexp_replace(t, '{_UNSPACED_SQL}', '', 'g')) AS unspaced, len(string_split(t, chr(10))) AS n_lines
   FROM d LEFT JOIN rep USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR n_symbols * 10 > n_words * 3 OR word_chars > 15 * n_words OR word_chars < 2 * n_words
+  NOT (base_failed OR n_symbols * 10 > n_words * 3 OR (word_chars > 15 * n_words AND word_chars - 2 * unspaced > 15 * n_words)
+    OR word_chars < 2 * n_words
     OR (n_dup_lines >= 5 AND n_dup_lines * 10 > n_lines * 3) OR letters * 2 < word_chars) AS kept
 FROM f
 """

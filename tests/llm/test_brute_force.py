@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ import tiktoken
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from martkit.llm import byte_bpe, decontaminate, lm_score, near_dedup, suffix_dedup
+from martkit.llm import byte_bpe, decontaminate, lm_score, near_dedup, quality, suffix_dedup
 from martkit.llm.suffix_array import suffix_array
 from martkit.llm.tables import table
 from tests.oracle import connect, differences
@@ -312,3 +313,25 @@ def test_pipeline(spark, sf):
     assert {r["doc_id"]: r["decoded_sha256"] for r in last} == {
         i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()
     }
+
+
+def test_quality_sql_on_other_scripts(spark):
+    """Scripts without spaces, vowel signs, and texts of long words that neither excuses."""
+    draw = random.Random(11)
+
+    def words(letters, n, low, high):
+        return " ".join("".join(draw.choices(letters, k=draw.randint(low, high))) for _ in range(n))
+
+    han, thai, hindi = "漢字東京語文書読中国人日本", "กขคงจชซญดตถทธนบปผพภมยรลวสหอ" + "ะาำิีึืุู", "कखगघचजतदनपबमयरलवसह" + "ािीुूेैोौं"
+    texts = [
+        words(han, 25, 18, 30), words(thai, 25, 18, 40), words(hindi, 30, 3, 9), words("abc", 25, 16, 30), words("a1111", 30, 3, 8),
+        words(han + "abcdefgh", 25, 14, 20), words(han[0] + "abcdefghijklmnop", 30, 16, 18), "漢" * 400, words("áñ", 40, 2, 6), None, "",
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = quality.document_quality(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert differences(got, con, quality.DOCUMENT_QUALITY_SQL) is None
+    kept = {r["doc_id"] for r in got.collect() if r["kept"]}
+    assert {0, 1, 2} <= kept and 3 not in kept and 4 not in kept
