@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from martkit.llm.tables import byte_list, record, utf8
+from martkit.llm.tables import byte_list, record, released, utf8
 from martkit.workspace import written
 
 WINDOW = 13
@@ -66,7 +66,7 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int)
                     yield record({"item": [item] * len(part), "gram": part, "n": [n] * len(part)}, schema)
 
     id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return items.select(id_text, utf8(text_col)).mapInArrow(run, "item string, gram binary, n int").distinct()
+    return items.select(id_text, utf8(text_col)).mapInArrow(released(run), "item string, gram binary, n int").distinct()
 
 
 def packed(rows: list) -> dict:
@@ -143,7 +143,7 @@ def _scan(frame: DataFrame, grams) -> DataFrame:
             columns = {"row": batch.column("row").cast(schema.field("row").type), "raw": batch.column("raw")}
             yield record(columns | {"n_words": sizes, "runs": runs, "items": items}, schema)
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(released(run), frame.schema)
 
 
 def blocks(windows: DataFrame, most: int, most_bytes: int) -> Iterator[list]:
@@ -222,7 +222,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             yield record({"row": batch.column(0).cast(schema.field("row").type), "text": texts}, schema)
 
     kind = found.schema[id_col].dataType.simpleString()
-    mapped = found.select(F.col(id_col).alias("row"), "raw", "runs").mapInArrow(run, f"row {kind}, text string")
+    mapped = found.select(F.col(id_col).alias("row"), "raw", "runs").mapInArrow(released(run), f"row {kind}, text string")
     return mapped.select(F.col("row").alias(id_col), F.col("text").alias(text_col))
 
 

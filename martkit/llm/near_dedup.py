@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martkit.llm.graph import components
-from martkit.llm.tables import SPACES, bounds_of, byte_list, groups, record, utf8
+from martkit.llm.tables import SPACES, bounds_of, byte_list, groups, record, released, utf8
 from martkit.workspace import written
 
 SHINGLE = 5
@@ -93,7 +93,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     raw = utf8(text_col)
     frame = df.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("place"), raw.alias("raw"))
-    return frame.mapInArrow(run, ddl)
+    return frame.mapInArrow(released(run), ddl)
 
 
 def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -190,7 +190,7 @@ def _likely(nodes: DataFrame, classes: DataFrame) -> DataFrame:
 
     rows = nodes.join(classes.select("cls", "tokens"), "cls").select("tree", "node", "cls", "tokens")
     sorted_rows = rows.repartition("node").sortWithinPartitions("node", "cls")
-    return sorted_rows.mapInArrow(run, "tree int, node long, cls long, mate long")
+    return sorted_rows.mapInArrow(released(run), "tree int, node long, cls long, mate long")
 
 
 def _sets(df: DataFrame, text_col: str, active: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def _sets(df: DataFrame, text_col: str, active: DataFrame) -> DataFrame:
     texts = df.select(F.xxhash64(raw).alias("place"), raw.alias("raw")).withColumn("bucket", bucket)
     texts = texts.join(F.broadcast(places.select(bucket).distinct()), "bucket", "left_semi")
     single = texts.groupBy("place").agg(F.first("raw").alias("raw"))  # copies meet before the shuffle
-    sets = single.join(places, "place", "left_semi").select("raw").mapInArrow(run, "print binary, shingles binary")
+    sets = single.join(places, "place", "left_semi").select("raw").mapInArrow(released(run), "print binary, shingles binary")
     return sets.join(active.select("print", "cls"), "print").select("cls", "shingles")
 
 
@@ -239,7 +239,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     own = partners.select("hub", "salt").distinct().select("hub", "salt", F.col("hub").alias("cls"), F.lit(0).alias("rank"))
     rows = own.unionByName(partners).join(sets, "cls")
     dealt = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "rank")
-    return dealt.select("hub", "salt", "cls", "shingles").mapInArrow(run, "a long, b long")
+    return dealt.select("hub", "salt", "cls", "shingles").mapInArrow(released(run), "a long, b long")
 
 
 def _find(parent: dict, x: int) -> int:
@@ -297,7 +297,7 @@ def _links_between(rows: DataFrame, classes: DataFrame, sets: DataFrame) -> Data
     full = rows.join(classes.select("cls", "tokens"), "cls").join(sets, "cls")
     dealt = full.repartition("node").sortWithinPartitions("node", "cls")
     columns = ["tree", "node", "tokens", "root", "mask", "shingles"]
-    return dealt.select(*columns).mapInArrow(run, "a long, b long")
+    return dealt.select(*columns).mapInArrow(released(run), "a long, b long")
 
 
 def _roots(frame: DataFrame, found: DataFrame, col: str) -> DataFrame:

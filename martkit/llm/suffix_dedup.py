@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from martkit.llm.suffix_array import suffix_array
-from martkit.llm.tables import bounds_of, byte_list, fingerprint, groups, record, utf8
+from martkit.llm.tables import bounds_of, fingerprint, groups, record, released, utf8
 from martkit.workspace import written
 
 LENGTH = 400
@@ -121,7 +121,7 @@ def _repeated_anchors(texts: DataFrame) -> DataFrame:
             place = (starts.astype(np.uint64) * np.uint64(_FACTOR) + own) * np.uint64(0xC2B2AE3D27D4EB4F)
             yield record({"anchor": found.view(np.int64), "place": (place ^ (place >> np.uint64(31))).view(np.int64)}, schema)
 
-    places = texts.mapInArrow(run, "anchor long, place long")
+    places = texts.mapInArrow(released(run), "anchor long, place long")
     seen = places.groupBy("anchor").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     return written(seen.where("a != b").select("anchor"))
 
@@ -178,7 +178,7 @@ def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
         if rows:
             yield record(dict(zip(schema.names, zip(*rows))), schema)
 
-    return texts.mapInArrow(run, ddl)
+    return texts.mapInArrow(released(run), ddl)
 
 
 def repeated_starts(contexts: list[bytes], starts: list[int], twice: np.ndarray, length: int = LENGTH) -> list[list[int]]:
@@ -243,7 +243,7 @@ def _sorted_runs(distinct: DataFrame) -> DataFrame:
                 first = end
 
     dealt = distinct.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("anchor", "ctx", "starts", "twice", "bytes").mapInArrow(run, ddl)
+    return dealt.select("anchor", "ctx", "starts", "twice", "bytes").mapInArrow(released(run), ddl)
 
 
 def _dealt_runs(hot: DataFrame) -> DataFrame:
@@ -257,7 +257,7 @@ def _dealt_runs(hot: DataFrame) -> DataFrame:
                 hashes = [xxhash.xxh3_128_digest(text[i : i + LENGTH]) for i in range(n)]
                 yield record({"passage": hashes, "ctx": [ctx] * n, "at": range(n), "places": [2 if more else 1] * n}, schema)
 
-    passages = written(hot.select("ctx", "starts", "twice", "bytes").mapInArrow(run, ddl))
+    passages = written(hot.select("ctx", "starts", "twice", "bytes").mapInArrow(released(run), ddl))
     again = written(passages.groupBy("passage").agg(F.sum("places").alias("n")).where("n > 1").select("passage"))
     found = passages.join(again, "passage", "left_semi").select("ctx", "at")
     return found.groupBy("ctx").agg(
@@ -319,17 +319,21 @@ def kept_bytes(text: bytes, runs: list[int], length: int = LENGTH) -> tuple[list
     return spans, b"".join([*parts, text[at:]])
 
 
-def _cleaned(df: DataFrame, text_col: str, runs: DataFrame) -> DataFrame:
-    """For each text with repeated passages but the whole copies: bytes removed, spans, rest and its digest."""
-    ddl = "print binary, n_removed long, n_spans long, rest binary"
+def _cleaned(df: DataFrame, text_col: str, runs: DataFrame, as_text: bool = False) -> DataFrame:
+    """For each text with repeated passages but the whole copies: bytes removed, spans and the rest.
+
+    The rest is bytes, or ``as_text`` without the characters that are cut in part.
+    """
+    ddl = f"print binary, n_removed long, n_spans long, rest {'string' if as_text else 'binary'}"
     schema = to_arrow_schema(df.sparkSession.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raws = batch.column("raw").to_pylist()
             done = [kept_bytes(t, r) for t, r in zip(raws, batch.column("runs").to_pylist())]
+            rest = [k.decode("utf-8", "ignore") if as_text else k for _, k in done]
             yield record({"print": batch.column("print"), "n_removed": [len(t) - len(k) for t, (_, k) in zip(raws, done)],
-                          "n_spans": [len(s) for s, _ in done], "rest": [k for _, k in done]}, schema)
+                          "n_spans": [len(s) for s, _ in done], "rest": rest}, schema)
 
     partial = runs.where("not whole").select("print", "runs")
     bucket = F.pmod(F.xxhash64("print"), F.lit(FILTER_BUCKETS))
@@ -337,7 +341,7 @@ def _cleaned(df: DataFrame, text_col: str, runs: DataFrame) -> DataFrame:
         F.broadcast(partial.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi"
     )
     single = maybe.groupBy("print").agg(F.first("raw").alias("raw"))  # copies meet before the shuffle
-    return single.join(partial, "print").select("print", "raw", "runs").mapInArrow(run, ddl)
+    return single.join(partial, "print").select("print", "raw", "runs").mapInArrow(released(run), ddl)
 
 
 def document_repeats(docs: DataFrame) -> DataFrame:
@@ -376,18 +380,9 @@ def drop_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None =
     the frame has it, becomes the length of the text that is left.
     """
     runs = repeated_runs(docs, text_col)
-    rest = F.col("rest")
-    cleaned = _cleaned(docs, text_col, runs).select("print", rest)
-    schema = to_arrow_schema(docs.sparkSession.createDataFrame([], "print binary, text string").schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.decode("utf-8", "ignore") for t in byte_list(batch.column("rest"))]
-            yield record({"print": batch.column("print"), "text": texts}, schema)
-
-    texts = cleaned.mapInArrow(run, "print binary, text string")
-    whole = runs.where("whole").select("print", F.lit("").alias("text"))
-    touched = written(texts.unionByName(whole)).withColumnRenamed("text", "rest")
+    cleaned = _cleaned(docs, text_col, runs, as_text=True).select("print", "rest")
+    whole = runs.where("whole").select("print", F.lit("").alias("rest"))
+    touched = written(cleaned.unionByName(whole))
     bucket = F.pmod(F.xxhash64("print"), F.lit(FILTER_BUCKETS))
     packed = docs.select(F.struct("*").alias("whole"), fingerprint(text_col).alias("print")).withColumn("bucket", bucket)
     buckets = F.broadcast(touched.select(bucket.alias("bucket")).distinct())
