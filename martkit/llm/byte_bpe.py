@@ -15,15 +15,17 @@ import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from martkit.llm.tables import byte_list, record, utf8
+from martkit.llm.tables import byte_list, record, released, utf8
 
-MEMO = 150_000  # pieces that a worker remembers in each of two generations, and pairs of tokens
+MEMO = 200_000  # pieces that a task remembers in each of two generations, and pairs of tokens
+MEMO_CHARS = 64  # longer pieces are not remembered, so the memory's bytes are bounded too
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,12 +41,14 @@ class BytePairs:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.names = {rank: str(rank) for rank in ranks.values()}
+        self.named = {str(rank): token for token, rank in ranks.items()}
         self.shorter = {rank: self._longest_prefix(token) for token, rank in ranks.items()}
         self.pieces = regex.compile(pattern)
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, tuple[str, int, bytes]] = {}
-        self.older: dict[str, tuple[str, int, bytes]] = {}
+        self.memo: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.search = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for token, rank in ranks.items():
             self.search.add_word(token.decode("latin-1"), rank)
@@ -111,32 +115,34 @@ class BytePairs:
             return [whole]
         text, compatible, pairs = piece.decode("latin-1"), self.compatible, self.pairs
         longest = [token for _, token in self.search.iter_long(text)]
-        for pair in zip(longest, longest[1:]):
+        for i, pair in enumerate(zip(longest, longest[1:]), 1):
             known = pairs.get(pair)
             if not (compatible(*pair) if known is None else known):
-                return self._backtrack(text)
+                return self._backtrack(text, longest[:i], longest[i])
         return longest
 
-    def _backtrack(self, text: str) -> list[int]:
+    def _backtrack(self, text: str, ids: list[int], token: int | None) -> list[int]:
         """Longest matches where they are compatible, shorter ones and steps back where not.
 
-        The tokens that lead to a place are always the same, so a place from
-        which nothing fits is dead for good: each place is left at most once.
+        Goes on after ``ids`` with ``token``, the longest there. The tokens that
+        lead to a place are always the same, so a place from which nothing fits
+        is dead for good: each place is left at most once.
         """
-        sizes, shorter, compatible = self.sizes, self.shorter, self.compatible
+        sizes, shorter, compatible, pairs, search = self.sizes, self.shorter, self.compatible, self.pairs, self.search
         n = len(text)
         dead = bytearray(n + 1)
-        ids: list[int] = []
-        at = 0
-        token: int | None = None
+        at = sum([sizes[i] for i in ids])
         while at < n:
             if token is None:
-                token = next(self.search.iter_long(text, at))[1]
+                token = next(search.iter_long(text, at))[1]
             end = at + sizes[token]
-            if not dead[end] and (not ids or compatible(ids[-1], token)):
-                ids.append(token)
-                at, token = end, None
-                continue
+            if not dead[end]:
+                pair = (ids[-1], token) if ids else None
+                known = True if pair is None else pairs.get(pair)
+                if compatible(*pair) if known is None else known:
+                    ids.append(token)
+                    at, token = end, None
+                    continue
             token = shorter[token]
             while token is None:
                 dead[at] = 1
@@ -145,42 +151,28 @@ class BytePairs:
                 token = shorter[last]
         return ids
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-    def piece(self, text: str) -> tuple[str, int, bytes]:
-        """Ids joined by commas, their number and the bytes they decode to."""
+    def piece(self, text: str) -> str:
+        """Decimal ids of a match, joined by commas."""
         known = self.older.get(text)
         if known is None:
-            ids = self.encode_piece(text.encode("utf-8"))
-            known = ",".join(map(str, ids)), len(ids), self.decode(ids)
-        if len(self.memo) >= MEMO:
-            self.older, self.memo = self.memo, {}
-        self.memo[text] = known
+            names = self.names
+            known = ",".join([names[i] for i in self.encode_piece(text.encode("utf-8"))])
+        if len(text) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO:
+                self.older = dict(self.memo)
+                self.memo.clear()
+            self.memo[text] = known
         return known
 
-    def encode(self, text: str) -> list[tuple[str, int, bytes]]:
+    def encode(self, text: str) -> str:
+        """Decimal ids of a text, joined by commas."""
         get, piece = self.memo.get, self.piece
-        out = []
-        for p in self.pieces.findall(text):
-            known = get(p)
-            if known is None:
-                known = piece(p)
-                get = self.memo.get
-            out.append(known)
-        return out
+        return ",".join([get(p) or piece(p) for p in self.pieces.findall(text)])
 
 
 def _broadcast(spark: SparkSession, path: str):
     """The ranks, sent to the workers: a vocabulary's size, whatever the data's."""
-    return spark.sparkContext.broadcast({"ranks": read_ranks(path)})
-
-
-def _pairs(sent, pattern: str) -> BytePairs:
-    """The encoder, which a worker builds once and keeps beside the ranks for its next tasks."""
-    if pattern not in sent.value:
-        sent.value[pattern] = BytePairs(sent.value["ranks"], pattern)
-    return sent.value[pattern]
+    return spark.sparkContext.broadcast(read_ranks(path))
 
 
 def encode(
@@ -201,24 +193,25 @@ def encode(
     schema = to_arrow_schema(df.sparkSession.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _pairs(sent, pattern)
+        pairs = BytePairs(sent.value, pattern)
+        named = pairs.named
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 counts, ids_hash, text_hash, ids = [], [], [], []
                 for raw in byte_list(part.column("raw")):
-                    pieces = pairs.encode(raw.decode("utf-8", "replace"))
-                    joined = ",".join([p[0] for p in pieces])
-                    counts.append(sum([p[1] for p in pieces]))
+                    joined = pairs.encode(raw.decode("utf-8", "replace"))
+                    names = joined.split(",") if joined else []
+                    counts.append(len(names))
                     ids_hash.append(hashlib.sha256(joined.encode()).hexdigest())
-                    text_hash.append(hashlib.sha256(b"".join([p[2] for p in pieces])).hexdigest())
+                    text_hash.append(hashlib.sha256(b"".join([named[n] for n in names])).hexdigest())
                     if with_ids:
-                        ids.append(list(map(int, joined.split(","))) if joined else [])
+                        ids.append(np.array(names, np.int32))
                 columns = {"row": part.column("row").cast(schema.field("row").type), "n_tokens": counts,
                            "ids_sha256": ids_hash, "decoded_sha256": text_hash, "token_ids": ids}
                 yield record(columns, schema)
 
-    return frame.mapInArrow(run, ddl).withColumnRenamed("row", id_col)
+    return frame.mapInArrow(released(run), ddl).withColumnRenamed("row", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
@@ -229,10 +222,10 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "tok
     schema = to_arrow_schema(df.sparkSession.createDataFrame([], f"row {kind}, text string").schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _pairs(sent, "")
+        tokens = {rank: token for token, rank in sent.value.items()}
         for batch in batches:
-            texts = [None if ids is None else pairs.decode(ids).decode("utf-8", "replace")
+            texts = [None if ids is None else b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
                      for ids in batch.column("ids").to_pylist()]
             yield record({"row": batch.column("row").cast(schema.field("row").type), "text": texts}, schema)
 
-    return frame.mapInArrow(run, f"row {kind}, text string").withColumnRenamed("row", id_col)
+    return frame.mapInArrow(released(run), f"row {kind}, text string").withColumnRenamed("row", id_col)
