@@ -36,7 +36,7 @@ TOP = 10
 BLOCK_TERMS = 8192  # about, of a block
 TILE = 32  # groups, about, of a tile
 PAIRS_AT_ONCE = 64  # of groups, walked together
-COUNTED_TERMS = 200_000  # that a task holds before it sends its counts on
+COUNTED_TERMS = 800_000  # that a task holds before it sends its counts on
 PIECE_BYTES = 1 << 20  # of a long text, counted at a time
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # in UTF-8: letters of ASCII and all characters beyond
 _GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
@@ -60,7 +60,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     A group's documents without terms count too: a row with an empty term and
     ``n`` 0 stands for each group. Tasks add up before the shuffle.
     """
-    ddl = "lang string, source string, term string, n long, n_docs long"
+    ddl = "lang string, source string, term binary, n long, n_docs long"
     schema = to_arrow_schema(docs.sparkSession.createDataFrame([], ddl).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,25 +69,25 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
         def told() -> Iterator[pa.RecordBatch]:
             for (lang, source), found in counts.items():
-                terms = [t.decode("utf-8", "replace") for t in found]
-                held = holders[lang, source]
-                yield record({"lang": [lang] * len(terms), "source": [source] * len(terms), "term": terms,
-                              "n": list(found.values()), "n_docs": [held[t] for t in found]}, schema)
+                held, many = holders[lang, source], len(found)
+                yield record({"lang": pa.repeat(pa.scalar(lang, pa.string()), many), "source": pa.repeat(pa.scalar(source, pa.string()), many),
+                              "term": list(found), "n": list(found.values()), "n_docs": list(map(held.__getitem__, found))}, schema)
             counts.clear()
             holders.clear()
 
         held = 0
         for batch in batches:
             for raw, lang, source in zip(*(batch.column(c).to_pylist() for c in ("raw", "lang", "source"))):
-                group, own = (lang, source), Counter()
-                for piece in _pieces(raw):
-                    own.update(_TERM.findall(piece.lower()))  # bytes: A to Z only
+                group, own = (lang, source), set()
                 known = counts[group]
                 held -= len(known)
-                known.update(own)
+                for piece in _pieces(raw):
+                    terms = _TERM.findall(piece.lower())  # bytes: A to Z only
+                    known.update(terms)
+                    own.update(terms)
                 known[b""] += 0
                 held += len(known)
-                holders[group].update(own.keys())
+                holders[group].update(own)
                 if held > COUNTED_TERMS:
                     yield from told()
                     held = 0
@@ -99,7 +99,8 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         F.coalesce(F.col(lang_col), empty).alias("lang"), F.coalesce(F.col(source_col), empty).alias("source"),
     )
     partial = frame.mapInArrow(released(run), ddl)
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    added = partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    return added.withColumn("term", F.col("term").cast("string"))
 
 
 # --- trees --------------------------------------------------------------------
@@ -227,12 +228,11 @@ def audit(counts: DataFrame) -> DataFrame:
         F.col("docs") >= LEAST_DOCS
     )
     kept = written(kept.select("lang", "term", "lang_n"))
-    langs = counts.select("lang").distinct().join(
-        kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total")), "lang", "left"
-    )
-    of_lang = counts.groupBy("lang").agg(F.count_distinct("source").alias("sources"))
+    named = written(counts.where("term = ''").select("lang", "source"))  # one row for each group
+    of_lang = named.groupBy("lang").agg(F.count("*").alias("sources"))
+    sums = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
     terms = F.coalesce("terms", F.lit(0)).cast("long")
-    langs = written(langs.join(of_lang, "lang").select(
+    langs = written(of_lang.join(sums, "lang", "left").select(
         "lang", terms.alias("terms"), F.coalesce("lang_total", F.lit(0)).cast("long").alias("lang_total"),
         F.greatest(F.ceil(terms / BLOCK_TERMS), F.lit(1)).cast("int").alias("blocks"),
         F.ceil(F.col("sources") / TILE).cast("int").alias("tiles"),
@@ -254,7 +254,7 @@ def audit(counts: DataFrame) -> DataFrame:
         F.collect_list("place").alias("places"), F.collect_list("n").alias("counts"), F.sum("n").alias("n")
     ))
     totals = leaves.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")
+    groups = named.join(totals, ["lang", "source"], "left")
     groups = left_lookup(groups, langs, ["lang"]).select(
         "lang", "source", F.coalesce("total", F.lit(0)).cast("long").alias("total"), "terms", "blocks", "tiles",
         _spread(F.col("source"), F.col("tiles"), 2).alias("tile"), F.lit(False).alias("of_lang"),
