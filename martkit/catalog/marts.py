@@ -642,13 +642,24 @@ def sales_a_users(spark, sf):
     )
 
 
-def land_pulls(records, path, date):
-    """One file for each date, with its records in the order of ``pos`` as an envelope."""
+PULL_RECORDS = 20_000  # about, of one file: a task parses a file whole
+PULL_DATES = 12  # of one delivery
+
+
+def land_pulls(records, path, date, together):
+    """Files for each date, each with its records in the order of ``pos`` as an envelope.
+
+    A date with many records gets several files; those of one value of
+    ``together`` are in one. Every file has a folder of its own, as an envelope
+    is a file's only value.
+    """
     item = F.struct(*[c for c in records.columns if c != "pos"])
-    pulls = records.groupBy(date.alias("date")).agg(
+    files = max(1, -(-records.count() // (PULL_DATES * PULL_RECORDS)))
+    part = F.pmod(F.xxhash64(together), F.lit(files)).cast("int")
+    pulls = records.groupBy(date.alias("date"), part.alias("part")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", item.alias("r")))), lambda x: x["r"]).alias("dados")
     )
-    pulls.write.mode("append").partitionBy("date").json(path)
+    pulls.write.mode("append").partitionBy("date", "part").json(path)
 
 
 @query("mart_sales_a_daily", ORACLE["mart_sales_a"])
@@ -657,15 +668,16 @@ def mart_sales_a_daily(spark, sf):
     base = new_folder(spark, "sales-daily")
     records = sales_a_records(spark, sf)
     again = F.col("pos") > 1_000_000_000
-    day = F.date_add(F.lit("2024-01-01"), F.pmod("pos", F.lit(12)).cast("int") + F.when(again, 100).otherwise(0))
+    day = F.date_add(F.lit("2024-01-01"), F.pmod("pos", F.lit(PULL_DATES)).cast("int") + F.when(again, 100).otherwise(0))
     early = ~again & (F.col("pos") % 2 == 0)
-    # all entries of a buyer come in one pull
-    buyer_day = F.date_add(F.lit("2024-01-01"), F.pmod(F.xxhash64(F.element_at("users", 2)["user"]["ucode"]), F.lit(12)).cast("int"))
+    # all entries of a buyer come in one file; another hash than that of the day deals them to files
+    buyer = F.element_at("users", 2)["user"]["ucode"]
+    buyer_day = F.date_add(F.lit("2024-01-01"), F.pmod(F.xxhash64(buyer), F.lit(PULL_DATES)).cast("int"))
     for run, part in enumerate((early, ~early, None)):
         if part is not None:
-            land_pulls(records.where(part), f"{base}/bronze/sales", day)
+            land_pulls(records.where(part), f"{base}/bronze/sales", day, F.col("pos"))
         if run == 0:
-            land_pulls(sales_a_users(spark, sf), f"{base}/bronze/users", buyer_day)
+            land_pulls(sales_a_users(spark, sf), f"{base}/bronze/users", buyer_day, F.struct(buyer, F.lit(1)))
         run_sales_a(spark, f"{base}/bronze", f"{base}/gold")
     return sales_with_documents(read_sales_a(spark, f"{base}/gold"))
 

@@ -12,11 +12,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from martkit.catalog import ORACLE, QUERIES, marts
 from martkit.operators.incremental import high_watermark, missing_days
 from martkit.plans import ads_a, ads_b, contacts, contracts, crm, daily, layers, sales_a, sales_b, small
 from martkit.sources.pointed import PointedTable
 from martkit.sources.readers import list_files
 from tests.helpers import frame, rows
+from tests.oracle import connect, differences
 from tests.test_files import put
 
 END = dt.datetime(9999, 12, 31, 23, 59, 59)
@@ -214,6 +216,24 @@ def test_sales_a(spark, tmp_path):
     assert rows(gold(spark, tmp_path, "users")) == [("u1", "N", "d1"), ("u2", "M", None)]
 
 
+def test_pulls_land_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(marts, "PULL_RECORDS", 10)
+    records = spark.range(1200).select(F.col("id").alias("pos"), F.col("id").alias("x"), (F.col("id") % 300).alias("owner"))
+    day = F.when(F.col("pos") % 2 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02"))
+    marts.land_pulls(records, str(tmp_path), day, F.col("owner"))
+    pulls = [json.loads(f.read_text())["dados"] for f in sorted(tmp_path.rglob("*.json"))]
+    assert max(map(len, pulls)) <= 240
+    assert all([r["x"] for r in p] == sorted(r["x"] for r in p) for p in pulls)
+    assert sorted(r["x"] for p in pulls for r in p) == list(range(1200))
+    owners = [o for p in pulls for o in {r["owner"] for r in p}]
+    assert len(owners) == len(set(owners)) == 300
+
+
+def test_sales_a_daily_over_many_files(spark, sf, monkeypatch):
+    monkeypatch.setattr(marts, "PULL_RECORDS", 30)
+    assert differences(QUERIES["mart_sales_a_daily"](spark, sf), connect(sf), ORACLE["mart_sales_a_daily"]) is None
+
+
 def test_unique_users(spark):
     df = frame(
         spark, "id string, email string, role string, pos long",
