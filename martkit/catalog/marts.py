@@ -348,11 +348,13 @@ def ads_b_mart(spark, sf, *only):
 def mart_ads_b(spark, sf):
     mart = ads_b_mart(spark, sf, "fato_anuncio", "dim_anuncio", "dim_rede", "dim_dispositivo", "dim_grupoAnuncio")
     ad = mart["dim_anuncio"].select("id_anuncio", "nome_anuncio")
-    return attach_dims(
+    # the large dimensions first: where they shuffle the fact, its rows are still narrow
+    whole = attach_dims(
         mart["fato_anuncio"],
-        {"id_anuncio": ad, "id_rede": mart["dim_rede"], "id_dispositivo": mart["dim_dispositivo"],
-         "id_grupo": mart["dim_grupoAnuncio"]},
+        {"id_anuncio": ad, "id_grupo": mart["dim_grupoAnuncio"], "id_rede": mart["dim_rede"],
+         "id_dispositivo": mart["dim_dispositivo"]},
     )
+    return select_all(whole, [*c.FATO_ANUNCIO, "nome_anuncio", "rede", "dispositivo", "nome_grupo"])
 
 
 @query(

@@ -90,16 +90,24 @@ def combine_ads(frames: Sequence[DataFrame]) -> DataFrame:
     return with_label_ids(rows, {x: label_ids(rows, x) for x in AD_LABELS})
 
 
+_TABLES_OF = {
+    "campaigns": ("dim_campanha", "fato_campanha"), "groups": ("dim_grupoAnuncio", "fato_grupoAnuncio"),
+    "keywords": ("fato_keywords",),
+}
+
+
 def build_ads_b(inputs: dict[str, DataFrame], only: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """``campaigns, groups, ads, keywords, audiences`` (text) to the tables of the mart, or to those of ``only``.
 
     A feed is typed and written once, when its first table is asked for; facts
-    and dimensions read what is written.
+    and dimensions read what is written. With one table asked for, a feed of
+    campaigns, groups or keywords is read by that table alone and not written.
     """
 
     @cache
     def typed(name: str) -> DataFrame:
-        return written(silver(inputs[name]))
+        rows = silver(inputs[name])
+        return rows if only is not None and sum(t in only for t in _TABLES_OF[name]) < 2 else written(rows)
 
     @cache
     def ads() -> DataFrame:

@@ -132,6 +132,18 @@ def test_ads_b(spark, tmp_path):
     assert list(gold(spark, tmp_path, "dim_grupoAnuncio").columns) == contracts.DIM_GRUPO
 
 
+def test_ads_b_writes_no_feed_that_one_table_reads(spark, sf, monkeypatch):
+    def refused(df):
+        assert "nome_grupo" not in df.columns
+        return df
+
+    monkeypatch.setattr(ads_b, "written", refused)
+    mart = marts.ads_b_mart(spark, sf, "dim_grupoAnuncio", "fato_anuncio")
+    assert mart["dim_grupoAnuncio"].count() == mart["dim_grupoAnuncio"].select("id_grupo").distinct().count()
+    with pytest.raises(AssertionError):
+        marts.ads_b_mart(spark, sf, "dim_grupoAnuncio", "fato_grupoAnuncio")
+
+
 def test_crm(spark, tmp_path):
     def move(i, deal, ts, **kw):
         land(tmp_path, "moves", f"{i}.json", {"event_type": "move", "deal_id": deal, "pipeline_id": 1,
