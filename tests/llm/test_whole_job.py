@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import random
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from martkit.llm import lang_id, licenses, lm_score, quality, tables
+import corpus_pipeline
+from martkit.llm import lang_id, licenses, lm_score, quality, suffix_dedup, tables
 from tests.helpers import frame
 
 
@@ -120,3 +125,45 @@ def test_clean_texts_of_every_script_pass(docs):
     got = {r["doc_id"]: r["rejected_by"] for r in quality.reject_reasons(docs(*rows, *bad)).collect()}
     assert {name: got[i] for i, name in enumerate(CLEAN)} == dict.fromkeys(CLEAN) and got[len(CLEAN)] is None
     assert (got[100], got[101]) == ("word_length", "letters")
+
+
+# --- repeated passages in the pipeline ----------------------------------------------
+
+
+def without_repeats(texts, length=50):
+    """The words outside every passage of so many words that starts at two places."""
+    places = defaultdict(list)
+    for i, text in texts.items():
+        words = text.split()
+        for at in range(len(words) - length + 1):
+            places[tuple(words[at : at + length])].append((i, at))
+    covered = {(i, k) for where in places.values() if len(where) > 1 for i, at in where for k in range(at, at + length)}
+    return {i: [w for k, w in enumerate(t.split()) if (i, k) not in covered] for i, t in texts.items()}
+
+
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT_CONTEXTS, 0])
+def test_pipeline_cuts_passages_of_fifty_words(spark, docs, monkeypatch, hot):
+    """Far shorter than 400 bytes, of just under and over 50 words, with other white space, and repeated in one text."""
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+    draw = random.Random(hot)
+
+    def noise(n):
+        return ["".join(draw.choices("abcdeé", k=draw.randint(1, 4))) for _ in range(n)]
+
+    shared = [noise(n) for n in (49, 50, 51, 60, 130, 30)]
+    period = noise(7)
+    texts = {}
+    for i in range(60):
+        words = noise(draw.randint(0, 60))
+        for _ in range(draw.randint(0, 4)):
+            words += draw.choice([*shared, period * draw.randint(2, 12)])[draw.choice([0, 0, 1, 20]) :] + noise(draw.randint(0, 20))
+        texts[i] = "".join(w + draw.choice([" ", " ", " ", "\n", "  ", "\t"]) for w in words)
+    texts[60] = texts[61] = "  " + " ".join(noise(50))  # copies
+    texts[62] = texts[63] = " ".join("longer" + w for w in noise(49))  # 49 words are no passage
+    texts[64] = ""
+    table = docs(*texts.items()).repartition(5)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup_stage(spark, table, "").collect()}
+    want = without_repeats(texts)
+    assert {i: t.split() for i, t in got.items()} == want
+    assert got[60] == got[61] == "" and sum(t == texts[i] for i, t in got.items()) > 5
+    assert sum(1 for i, t in texts.items() if len(t.split()) > len(want[i])) > 20
