@@ -20,6 +20,8 @@ import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,15 @@ INDEX_ROWS = 1000
 BLOOM_ODDS = 0.01
 WRITER_ROWS = 64  # that the ORC writer holds before it looks at the size of its stripe
 CUT_CHARS = 1 << 16  # a longer text is encoded in parts
-BATCH_CHARS = 1 << 20  # encoded at once
-MEMO = 400_000  # matches whose ids a task remembers
+BATCH_CHARS = 1 << 24  # encoded at once
+ROWS_BYTES = 1 << 24  # of texts that are encoded for one batch of rows
+KEY_BYTES = 32  # pieces of up to so many bytes are compared by numpy
+SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+MEMO = 500_000  # matches whose ids are remembered; of more, the half that was met most often
 ENCODED_AT_ONCE = 20_000  # of new matches
-FIRST_GAP = "\u0378"  # no character before it is unassigned
+FIRST_GAP = 0xCD  # that starts U+0378 in UTF-8: no character before it is unassigned
+_ASCII_SPACE = np.isin(np.arange(256), [c for c in SPACES if c < 0x80])
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of eight
 _CUT = re.compile(r"(?<=\w)[ \n](?=\w)")
 
 
@@ -67,55 +74,207 @@ def unassigned() -> str:
     return "[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]"
 
 
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in the tokens of a byte-level vocabulary."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _single_spaces(data: np.ndarray) -> np.ndarray:
+    """Where a space stands between two characters that aren't white space; ``data`` is UTF-8 with 3 zeros on each side."""
+    at = np.flatnonzero(data == 0x20)
+    left, right = data[at - 1], data[at + 1]
+    blank = _ASCII_SPACE[left] | _ASCII_SPACE[right]
+    wide = np.flatnonzero((left >= 0x80) | (right >= 0x80))
+    one = [data[at[wide] + k].astype(np.int64) for k in (-3, -2, -1, 1, 2, 3)]
+    before, after = one[0] << 16 | one[1] << 8 | one[2], one[3] << 16 | one[4] << 8 | one[5]
+    for raw in (chr(c).encode() for c in SPACES if c >= 0x80):
+        value, bits = int.from_bytes(raw), 8 * len(raw)
+        blank[wide] |= ((before & ((1 << bits) - 1)) == value) | ((after >> (24 - bits)) == value)
+    return at[~blank]
+
+
+def _distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch of bytes the number of its value, and one stretch for each value.
+
+    Stretches of up to KEY_BYTES bytes are sorted by a hash and compared, others
+    and those whose hash is shared by two values go through a dictionary.
+    """
+    padded = np.append(data, np.zeros(KEY_BYTES, np.uint8))
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    key = sizes.astype(np.uint64)
+    parts = []
+    for k in range(0, KEY_BYTES, 8):
+        parts.append(eight[np.minimum(starts + k, len(data))] & _FIRST_BYTES[np.clip(sizes - k, 0, 8)])
+        key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + parts[-1]
+        key = (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(key)
+    ranked = key[order]
+    fresh = np.append(True, ranked[1:] != ranked[:-1])[: len(key)]
+    number, first = np.empty(len(key), np.int64), order[fresh]
+    number[order] = np.cumsum(fresh) - 1
+    same = (sizes <= KEY_BYTES) & (sizes == sizes[first][number])
+    for part in parts:
+        same &= part == part[first][number]
+    apart = np.flatnonzero(~same)
+    if len(apart):
+        numbers = _Numbers()
+        raw = data.tobytes()
+        found = np.array([numbers[raw[a : a + n]] for a, n in zip(starts[apart].tolist(), sizes[apart].tolist())])
+        number[apart] = found + len(first)
+        firsts = np.empty(len(numbers), np.int64)
+        firsts[found] = apart
+        first = np.append(first, firsts)
+        used = np.zeros(len(first), bool)
+        used[number] = True
+        number, first = (np.cumsum(used) - 1)[number], first[used]
+    return number, first
+
+
 class Encoder:
     """A tokenizer of the tokenizers library; ``pattern`` is the split of its byte-level pre-tokenizer, where it has one.
 
-    With the pattern, texts are split first and the library encodes each
-    different match once for as long as it is remembered. Parts with an added
-    token's text or an unassigned character are encoded as a whole.
+    With the pattern, each different piece between single spaces is split
+    once, and the library encodes each different match once for as long as it is
+    remembered: such a space always begins a match of byte-level BPE. Parts with
+    an added token's text, and pieces with an unassigned character, are encoded
+    as a whole.
     """
 
     def __init__(self, file: str, pattern: str | None = None, unsure: str | None = None) -> None:
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_str(file)
-        self.memo: dict[str, bytes] = {}
+        self.library = Tokenizer.from_str(file)
         self.matches = None
-        if pattern is not None:
+        if pattern is not None and self.library.normalizer is None:
+            self.splits = self.library.pre_tokenizer
             self.matches = regex.compile(pattern)
-            self.single = Tokenizer.from_str(file)
-            self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+            added = [t.content for t in self.library.get_added_tokens_decoder().values()]
             self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
             self.unsure = re.compile(unsure or unassigned())
-
-    def _split(self, part: str) -> list[str] | None:
-        if self.matches is None or self.added.search(part):
-            return None
-        if not part.isascii() and max(part) >= FIRST_GAP and self.unsure.search(part):
-            return None
-        return self.matches.findall(part)
+            self.letters = byte_letters()
+            vocabulary = self.library.get_vocab()
+            self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token
+            self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+            self.memo = _Numbers()
+            self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)  # of the matches in the memo
+            self.met = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the half of the memo that was met most often."""
+        kept = np.sort(np.argsort(self.met)[-(MEMO // 2) :])
+        matches = list(self.memo)
+        self.memo = _Numbers({matches[i]: n for n, i in enumerate(kept.tolist())})
+        sizes = np.diff(self.ends)[kept]
+        self.ids = self.ids[_ranges(self.ends[kept], sizes)]
+        self.ends, self.met = np.append(0, np.cumsum(sizes)), self.met[kept] // 2
+
+    def _wholes(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, np.int32) for f in found]
+
+    def _cut(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """How many of the ids reach to each of these numbers of bytes."""
+        return np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right")
+
+    def _learn(self, matches: list[str]) -> None:
+        """Remember the ids of matches, in the order of their numbers."""
+        spelt = [m.encode().decode("latin-1").translate(self.letters) for m in matches]
+        self.library.pre_tokenizer = None
+        try:
+            batches = [self.library.encode_batch_fast([spelt[i : i + ENCODED_AT_ONCE]], is_pretokenized=True,
+                                                      add_special_tokens=False)[0].ids
+                       for i in range(0, len(spelt), ENCODED_AT_ONCE)]
+        finally:
+            self.library.pre_tokenizer = self.splits
+        ids = np.concatenate([np.array(b, np.int32) for b in batches])
+        ends = self._cut(ids, np.cumsum([len(x) for x in spelt]))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+
+    def _matched(self, text: str) -> np.ndarray:
+        """The ids of a text by its matches."""
+        if len(self.memo) > MEMO:
+            self._forget()
+        before = len(self.memo)
+        matches = self.matches.findall(text)
+        numbers = np.fromiter(map(self.memo.__getitem__, matches), np.int64, len(matches))
+        if len(self.memo) > before:
+            self._learn(list(islice(self.memo, before, None)))
+        self.met = np.append(self.met, np.zeros(len(self.memo) - before, np.int64)) + np.bincount(
+            numbers, minlength=len(self.memo)
+        )
+        return self.ids[_ranges(self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers])]
+
+    def _pieces(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts, one after the other, and the number of each part's ids: of any but empty parts."""
+        raws = [p.encode() for p in parts]
+        whole = b"".join([b"\0\0\0", *raws, b"\0\0\0"])
+        data = np.frombuffer(whole, np.uint8)
+        borders = np.cumsum([3, *map(len, raws)])
+        begins, cut = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        begins[borders] = cut[borders] = cut[_single_spaces(data)] = True
+        bounds = np.flatnonzero(cut)
+        starts, sizes = bounds[:-1], np.diff(bounds)
+        number, first = _distinct(data, starts, sizes)
+        values = [whole[a : a + n] for a, n in zip(starts[first].tolist(), sizes[first].tolist())]
+        # the first piece of a part has no space to keep it from the piece before
+        alone = begins[starts[first]]
+        joined = b"".join([values[i] for i in np.flatnonzero(~alone).tolist()]).decode()
+        if data.max() >= FIRST_GAP and self.unsure.search(joined):
+            for i in np.flatnonzero(~alone).tolist():
+                alone[i] = bool(self.unsure.search(values[i].decode()))
+            joined = b"".join([values[i] for i in np.flatnonzero(~alone).tolist()]).decode()
+        inner, outer = np.flatnonzero(~alone), np.flatnonzero(alone)
+        apart = self._wholes([values[i].decode() for i in outer.tolist()])
+        ids = self._matched(joined)
+        counts = np.zeros(len(first), np.int64)
+        counts[inner] = np.diff(self._cut(ids, np.cumsum(sizes[first][inner])), prepend=0)
+        counts[outer] = [len(a) for a in apart]
+        places = np.zeros(len(first), np.int64)
+        places[inner] = np.cumsum(counts[inner]) - counts[inner]
+        places[outer] = len(ids) + np.cumsum(counts[outer]) - counts[outer]
+        ids = np.concatenate([ids, *apart])
+        each = counts[number]
+        total = np.append(0, np.cumsum(each))
+        return ids[_ranges(places[number], each)], np.diff(total[np.searchsorted(bounds, borders)])
 
     def encode(self, parts: list[str]) -> list[bytes]:
         """The ids of each part as 32-bit integers."""
-        split = [self._split(p) for p in parts]
-        fresh = list(set().union(*[s for s in split if s is not None]).difference(self.memo))
-        memo = self.memo
-        for start in range(0, len(fresh), ENCODED_AT_ONCE):
-            some = fresh[start : start + ENCODED_AT_ONCE]
-            for match, found in zip(some, self.single.encode_batch_fast(some, add_special_tokens=False)):
-                memo[match] = array("i", found.ids).tobytes()
-        out = []
-        for part, pieces in zip(parts, split):
-            if pieces is None:
-                out.append(array("i", self.whole.encode(part, add_special_tokens=False).ids).tobytes())
-            else:
-                out.append(b"".join(map(memo.__getitem__, pieces)))
-        if len(memo) > MEMO:
-            memo.clear()
+        out = [b""] * len(parts)
+        split = [i for i, p in enumerate(parts) if p and self.matches is not None and not self.added.search(p)]
+        if split:
+            ids, counts = self._pieces([parts[i] for i in split])
+            ends = 4 * np.cumsum(counts)
+            raw = ids.astype(np.int32, copy=False).tobytes()
+            for i, a, b in zip(split, (ends - 4 * counts).tolist(), ends.tolist()):
+                out[i] = raw[a:b]
+        for i in sorted(set(range(len(parts))).difference(split)):
+            out[i] = array("i", self.library.encode(parts[i], add_special_tokens=False).ids).tobytes()
         return out
 
 
+@lru_cache(maxsize=1)
+def _kept_encoder(file: str, pattern: str | None, unsure: str | None) -> Encoder:
+    """An encoder that the tasks of a worker use one after the other: its memory is bounded by MEMO."""
+    return Encoder(file, pattern, unsure)
+
+
 def _encoded(encoder: Encoder, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The number of ids of each text, the end id counted, and all ids one after the other."""
     end = array("i", [end_id]).tobytes()
@@ -201,12 +360,12 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder = Encoder(*sent.value)
+        encoder = _kept_encoder(*sent.value)
         file, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             raws = byte_list(batch.column("raw"))
             rows = batch.column("row").cast(schema.field("doc_id").type)
-            for first, end in _rows_within([len(r) for r in raws], 4 * BATCH_CHARS):
+            for first, end in _rows_within([len(r) for r in raws], ROWS_BYTES):
                 counts, ids = _encoded(encoder, [r.decode("utf-8", "replace") for r in raws[first:end]], end_id)
                 starts = before + np.cumsum(counts) - counts
                 before += int(counts.sum())

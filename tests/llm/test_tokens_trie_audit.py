@@ -88,6 +88,27 @@ def test_matches_are_encoded_as_in_the_whole_text(encoder):
         assert [np.frombuffer(b, np.int32).tolist() for b in pieces.encode(part)] == want
 
 
+def test_pieces_between_single_spaces(encoder, monkeypatch):
+    """White space of all kinds, long pieces, clashing hashes and a memo that overflows; few pieces are split again."""
+    with open(PATH, encoding="utf-8") as file:
+        pieces = token_files.Encoder(file.read(), public_tokenizers.PATTERN)
+    seen = []
+    monkeypatch.setattr(pieces, "_matched", lambda text, f=pieces._matched: seen.append(len(text)) or f(text))
+    text = " ".join(f"word{i % 50}, of the" for i in range(4000))
+    want = encoder.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(pieces.encode([text])[0], np.int32).tolist() == want and sum(seen) < len(text) // 20
+    draw = random.Random(9)
+    words = [*map(chr, token_files.SPACES), "  ", "\r\n", " a", " b", " the", "don't", "12", "½", "東京", "\u0378", "!", "'s", "\0", "“"]
+    words += ["x" * n + "é" for n in (7, 8, 31, 32, 40)] + ["<|endoftext|>"]
+    for memo, key in ((40, 32), (500_000, 0)):
+        monkeypatch.setattr(token_files, "MEMO", memo)
+        monkeypatch.setattr(token_files, "KEY_BYTES", key)
+        for i in range(60):
+            texts = ["".join(draw.choices(words[: len(words) - i % 2], k=draw.randint(0, 60))) for _ in range(20)]
+            want = [e.ids for e in encoder.encode_batch(texts, add_special_tokens=False)]
+            assert [np.frombuffer(b, np.int32).tolist() for b in pieces.encode(texts)] == want
+
+
 def scanned_rows(df):
     """Rows that the scan of the largest table gave out."""
     df.collect()
