@@ -22,8 +22,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 words that occur elsewhere; one that is all such passages stays, empty."""
-    return suffix_dedup.drop_repeats(docs, measure=suffix_dedup.WORDS)
+    """Documents without the passages of 400 bytes or 50 words that occur elsewhere; one that is all such stays, empty."""
+    return suffix_dedup.drop_repeats(docs, measures=(suffix_dedup.BYTES, suffix_dedup.WORDS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,11 +159,14 @@ def test_pipeline_cuts_passages_of_fifty_words(spark, docs, monkeypatch, hot):
             words += draw.choice([*shared, period * draw.randint(2, 12)])[draw.choice([0, 0, 1, 20]) :] + noise(draw.randint(0, 20))
         texts[i] = "".join(w + draw.choice([" ", " ", " ", "\n", "  ", "\t"]) for w in words)
     texts[60] = texts[61] = "  " + " ".join(noise(50))  # copies
-    texts[62] = texts[63] = " ".join("longer" + w for w in noise(49))  # 49 words are no passage
+    texts[62] = texts[63] = " ".join(noise(49))  # neither 50 words nor 400 bytes
     texts[64] = ""
+    long = "漢字" * 20 + "".join(noise(150))  # a passage of 400 bytes and one word
+    texts[65], texts[66] = "my start" + long + "my end", "one" + long + "two"
     table = docs(*texts.items()).repartition(5)
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup_stage(spark, table, "").collect()}
     want = without_repeats(texts)
-    assert {i: t.split() for i, t in got.items()} == want
+    assert len(long.encode()) >= 400 and (got.pop(65), got.pop(66)) == ("my startmy end", "onetwo")
+    assert {i: t.split() for i, t in got.items()} == {i: w for i, w in want.items() if i < 65}
     assert got[60] == got[61] == "" and sum(t == texts[i] for i, t in got.items()) > 5
     assert sum(1 for i, t in texts.items() if len(t.split()) > len(want[i])) > 20
