@@ -21,10 +21,11 @@ from array import array
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,13 +44,11 @@ WRITER_ROWS = 64  # that the ORC writer holds before it looks at the size of its
 CUT_CHARS = 1 << 16  # a longer text is encoded in parts
 BATCH_CHARS = 1 << 24  # encoded at once
 ROWS_BYTES = 1 << 24  # of texts that are encoded for one batch of rows
-KEY_BYTES = 32  # pieces of up to so many bytes are compared by numpy
+KEY_BYTES = 32  # longer matches are not remembered, so the memory's bytes are bounded too
 SPACES = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 MEMO = 500_000  # matches whose ids are remembered; of more, the half that was met most often
-ENCODED_AT_ONCE = 20_000  # of new matches
 FIRST_GAP = 0xCD  # that starts U+0378 in UTF-8: no character before it is unassigned
 _ASCII_SPACE = np.isin(np.arange(256), [c for c in SPACES if c < 0x80])
-_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of eight
 _CUT = re.compile(r"(?<=\w)[ \n](?=\w)")
 
 
@@ -81,14 +80,6 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class _Numbers(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key) -> int:
-        self[key] = n = len(self)
-        return n
-
-
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of ranges, one range after the other."""
     ends = np.cumsum(sizes)
@@ -109,48 +100,18 @@ def _single_spaces(data: np.ndarray) -> np.ndarray:
     return at[~blank]
 
 
-def _distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each stretch of bytes the number of its value, and one stretch for each value.
-
-    Stretches of up to KEY_BYTES bytes are sorted by a hash and compared, others
-    and those whose hash is shared by two values go through a dictionary.
-    """
-    padded = np.append(data, np.zeros(KEY_BYTES, np.uint8))
-    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
-    key = sizes.astype(np.uint64)
-    parts = []
-    for k in range(0, KEY_BYTES, 8):
-        parts.append(eight[np.minimum(starts + k, len(data))] & _FIRST_BYTES[np.clip(sizes - k, 0, 8)])
-        key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + parts[-1]
-        key = (key ^ (key >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    order = np.argsort(key)
-    ranked = key[order]
-    fresh = np.append(True, ranked[1:] != ranked[:-1])[: len(key)]
-    number, first = np.empty(len(key), np.int64), order[fresh]
-    number[order] = np.cumsum(fresh) - 1
-    same = (sizes <= KEY_BYTES) & (sizes == sizes[first][number])
-    for part in parts:
-        same &= part == part[first][number]
-    apart = np.flatnonzero(~same)
-    if len(apart):
-        numbers = _Numbers()
-        raw = data.tobytes()
-        found = np.array([numbers[raw[a : a + n]] for a, n in zip(starts[apart].tolist(), sizes[apart].tolist())])
-        number[apart] = found + len(first)
-        firsts = np.empty(len(numbers), np.int64)
-        firsts[found] = apart
-        first = np.append(first, firsts)
-        used = np.zeros(len(first), bool)
-        used[number] = True
-        number, first = (np.cumsum(used) - 1)[number], first[used]
-    return number, first
+def _distinct(whole: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch between bounds the number of its value, and the first stretch of each value."""
+    buffers = [None, pa.py_buffer(bounds.astype(np.int64, copy=False)), pa.py_buffer(whole)]
+    number = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode().indices.to_numpy()
+    return number, np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
 
 
 class Encoder:
     """A tokenizer of the tokenizers library; ``pattern`` is the split of its byte-level pre-tokenizer, where it has one.
 
     With the pattern, each different piece between single spaces is split
-    once, and the library encodes each different match once for as long as it is
+    once, and the library's model encodes each different match once for as long as it is
     remembered: such a space always begins a match of byte-level BPE. Parts with
     an added token's text, and pieces with an unassigned character, are encoded
     as a whole.
@@ -162,7 +123,6 @@ class Encoder:
         self.library = Tokenizer.from_str(file)
         self.matches = None
         if pattern is not None and self.library.normalizer is None:
-            self.splits = self.library.pre_tokenizer
             self.matches = regex.compile(pattern)
             added = [t.content for t in self.library.get_added_tokens_decoder().values()]
             self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
@@ -171,17 +131,15 @@ class Encoder:
             vocabulary = self.library.get_vocab()
             self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each token
             self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
-            self.memo = _Numbers()
+            self.memo = pa.array([], pa.large_string())
             self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)  # of the matches in the memo
             self.met = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
         """Keep the half of the memo that was met most often."""
         kept = np.sort(np.argsort(self.met)[-(MEMO // 2) :])
-        matches = list(self.memo)
-        self.memo = _Numbers({matches[i]: n for n, i in enumerate(kept.tolist())})
         sizes = np.diff(self.ends)[kept]
-        self.ids = self.ids[_ranges(self.ends[kept], sizes)]
+        self.memo, self.ids = self.memo.take(kept), self.ids[_ranges(self.ends[kept], sizes)]
         self.ends, self.met = np.append(0, np.cumsum(sizes)), self.met[kept] // 2
 
     def _wholes(self, texts: list[str]) -> list[np.ndarray]:
@@ -192,34 +150,36 @@ class Encoder:
         """How many of the ids reach to each of these numbers of bytes."""
         return np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right")
 
-    def _learn(self, matches: list[str]) -> None:
-        """Remember the ids of matches, in the order of their numbers."""
-        spelt = [m.encode().decode("latin-1").translate(self.letters) for m in matches]
-        self.library.pre_tokenizer = None
-        try:
-            batches = [self.library.encode_batch_fast([spelt[i : i + ENCODED_AT_ONCE]], is_pretokenized=True,
-                                                      add_special_tokens=False)[0].ids
-                       for i in range(0, len(spelt), ENCODED_AT_ONCE)]
-        finally:
-            self.library.pre_tokenizer = self.splits
-        ids = np.concatenate([np.array(b, np.int32) for b in batches])
-        ends = self._cut(ids, np.cumsum([len(x) for x in spelt]))
-        self.ids = np.concatenate([self.ids, ids])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+    def _learnt(self, matches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of matches, one after the other, and the number of each one's ids."""
+        tokens = self.library.model.tokenize
+        spelt = [m.encode().decode("latin-1").translate(self.letters) for m in matches.to_numpy(zero_copy_only=False).tolist()]
+        found = [[t.id for t in tokens(s)] for s in spelt]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, counts.sum()), counts
 
     def _matched(self, text: str) -> np.ndarray:
         """The ids of a text by its matches."""
         if len(self.memo) > MEMO:
             self._forget()
-        before = len(self.memo)
-        matches = self.matches.findall(text)
-        numbers = np.fromiter(map(self.memo.__getitem__, matches), np.int64, len(matches))
-        if len(self.memo) > before:
-            self._learn(list(islice(self.memo, before, None)))
-        self.met = np.append(self.met, np.zeros(len(self.memo) - before, np.int64)) + np.bincount(
-            numbers, minlength=len(self.memo)
-        )
-        return self.ids[_ranges(self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers])]
+        matches = pa.array(self.matches.findall(text), pa.large_string()).dictionary_encode()
+        distinct, numbers = matches.dictionary, matches.indices.to_numpy()
+        known = pc.index_in(distinct, value_set=self.memo)
+        places = known.fill_null(-1).to_numpy().astype(np.int64)
+        long = pc.binary_length(distinct).to_numpy() > KEY_BYTES
+        fresh = np.concatenate([np.flatnonzero((places < 0) & ~long), np.flatnonzero((places < 0) & long)])
+        places[fresh] = len(self.memo) + np.arange(len(fresh))
+        new = distinct.take(fresh)
+        learnt, counts = self._learnt(new)
+        ids = np.concatenate([self.ids, learnt])
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        met = np.append(self.met, np.zeros(len(fresh), np.int64))
+        met[places] += np.bincount(numbers, minlength=len(distinct))
+        kept = len(met) - int(long[fresh].sum())
+        self.memo = pa.concat_arrays([self.memo, new.slice(0, kept - len(self.memo))])
+        self.ids, self.ends, self.met = ids[: ends[kept]], ends[: kept + 1], met[:kept]
+        numbers = places[numbers]
+        return ids[_ranges(ends[numbers], ends[numbers + 1] - ends[numbers])]
 
     def _pieces(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of parts, one after the other, and the number of each part's ids: of any but empty parts."""
@@ -231,20 +191,20 @@ class Encoder:
         begins[borders] = cut[borders] = cut[_single_spaces(data)] = True
         bounds = np.flatnonzero(cut)
         starts, sizes = bounds[:-1], np.diff(bounds)
-        number, first = _distinct(data, starts, sizes)
-        values = [whole[a : a + n] for a, n in zip(starts[first].tolist(), sizes[first].tolist())]
+        number, first = _distinct(whole, bounds)
+        starts, sizes = starts[first], sizes[first]
         # the first piece of a part has no space to keep it from the piece before
-        alone = begins[starts[first]]
-        joined = b"".join([values[i] for i in np.flatnonzero(~alone).tolist()]).decode()
+        alone = begins[starts]
+        joined = data[_ranges(starts[~alone], sizes[~alone])].tobytes().decode()
         if data.max() >= FIRST_GAP and self.unsure.search(joined):
             for i in np.flatnonzero(~alone).tolist():
-                alone[i] = bool(self.unsure.search(values[i].decode()))
-            joined = b"".join([values[i] for i in np.flatnonzero(~alone).tolist()]).decode()
+                alone[i] = bool(self.unsure.search(whole[starts[i] : starts[i] + sizes[i]].decode()))
+            joined = data[_ranges(starts[~alone], sizes[~alone])].tobytes().decode()
         inner, outer = np.flatnonzero(~alone), np.flatnonzero(alone)
-        apart = self._wholes([values[i].decode() for i in outer.tolist()])
+        apart = self._wholes([whole[a : a + n].decode() for a, n in zip(starts[outer].tolist(), sizes[outer].tolist())])
         ids = self._matched(joined)
         counts = np.zeros(len(first), np.int64)
-        counts[inner] = np.diff(self._cut(ids, np.cumsum(sizes[first][inner])), prepend=0)
+        counts[inner] = np.diff(self._cut(ids, np.cumsum(sizes[inner])), prepend=0)
         counts[outer] = [len(a) for a in apart]
         places = np.zeros(len(first), np.int64)
         places[inner] = np.cumsum(counts[inner]) - counts[inner]

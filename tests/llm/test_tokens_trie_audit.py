@@ -109,6 +109,20 @@ def test_pieces_between_single_spaces(encoder, monkeypatch):
             assert [np.frombuffer(b, np.int32).tolist() for b in pieces.encode(texts)] == want
 
 
+def test_long_matches_are_not_remembered(encoder, monkeypatch):
+    """The memo's bytes are bounded too; others reach the model once, whatever they stand beside."""
+    with open(PATH, encoding="utf-8") as file:
+        pieces = token_files.Encoder(file.read(), public_tokenizers.PATTERN)
+    seen = []
+    monkeypatch.setattr(pieces, "_learnt", lambda matches, f=pieces._learnt: seen.extend(matches.to_pylist()) or f(matches))
+    long = "x" * (token_files.KEY_BYTES + 1)
+    for text in (f"so the {long} and {long}, the end", f"so and the, {long} the end", f"so {long} the and end"):
+        want = encoder.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(pieces.encode([text])[0], np.int32).tolist() == want
+        assert sorted(pieces.memo.to_pylist()) == [" and", " end", " the", ","]
+    assert Counter(seen) == {" and": 1, " end": 1, " the": 1, ",": 1, f" {long}": 3}
+
+
 def scanned_rows(df):
     """Rows that the scan of the largest table gave out."""
     df.collect()
