@@ -3,7 +3,10 @@
 Documents are sets of word shingles; equal sets form one class. Each of TREES
 independent trees branches the classes by a minwise token of the set: classes
 that share the token share a node. A node too large for one task branches
-again by further chosen tokens. The classes of a small node are compared
+again by further chosen tokens, unless that leaves it most of its pairs to compare,
+as among near copies of one text: such a tight node is dealt out in blocks.
+Its classes are linked to a few of them, its hubs, and only those of different components
+are compared further. The classes of a small node are compared
 exhaustively: sketches first, then, where a link would join two components, the
 full sets. A pair with similarity s misses all trees of undivided nodes with
 probability (1 - s) ** TREES: at 0.75 and 16 trees, 2e-10.
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -31,6 +34,9 @@ TOKENS = 64  # minwise tokens of a set: the trees' own, then those for further b
 LIKELY = 27  # of 64 equal tokens; a pair at 0.75 has fewer with probability 3e-10
 NODE_ROWS, NODE_SHINGLES = 2048, 4_000_000  # what one task compares
 BRANCHES, DEPTH = 2, 12
+TIGHT = 0.75  # share of a node's pairs that its branches hold together, from which it is dealt out instead
+HUBS = 32  # rows that all blocks of a tight node have
+COLUMNS = 1 << 14  # shingles of a node that are compared as bits
 PARTNERS = 4096  # rows to verify against one hub in one task
 FILTER_BUCKETS = 1 << 20  # rows of the broadcast filter, at any size of the data
 
@@ -96,50 +102,124 @@ def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return frame.mapInArrow(released(run), ddl)
 
 
-def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Rows (tree, node, cls) of the nodes that one task can compare, with two rows or more.
 
-    Also, for each class, the trees (bits) in which its first node was too large and was divided.
+    Also the rows of the tight nodes, None if there are none, and, for each class, the trees (bits) in which its
+    first node was too large and was divided.
     """
     level = classes.select(
         "cls", "n", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")
     ).select("cls", "n", F.col("tree").cast("int").alias("tree"), F.xxhash64("tree", "token").alias("node"))
+    sizes = level.groupBy("node").agg(F.count("*").alias("rows"), F.sum("n").alias("weight")).where("rows > 1")
+    level = written(level.join(written(sizes), "node"))
     done: list[DataFrame] = []
+    dealt: list[DataFrame] = []
     divided = None
     for depth in range(DEPTH + 1):
-        sizes = level.groupBy("node").agg(F.count("*").alias("rows"), F.sum("n").alias("weight")).where("rows > 1")
-        level = written(level.join(written(sizes), "node"))
         large = (F.col("rows") > NODE_ROWS) | (F.col("weight") > NODE_SHINGLES)
         done.append(level.where(~large).select("tree", "node", "cls"))
         rest = level.where(large)
-        if divided is None:
-            bit = F.expr("shiftleft(1, tree)").alias("bit")
-            divided = written(rest.select("cls", bit).groupBy("cls").agg(F.bit_or("bit").alias("mask")))
         if rest.isEmpty():
-            return _union(done), divided
-        if depth < DEPTH:
-            level = _branched(rest, classes)
-    return _union([*done, _dealt(rest)]), divided
+            break
+        if depth == DEPTH:
+            dealt.append(rest)
+            break
+        children = _branched(rest, classes)
+        sizes = written(children.groupBy("node").agg(
+            F.count("*").alias("rows"), F.sum("n").alias("weight"), F.first("parent").alias("parent"), F.first("above").alias("above")
+        ).where("rows > 1"))
+        pairs = sizes.groupBy("parent").agg(F.sum(F.pow("rows", F.lit(2))).alias("pairs"), F.first("above").alias("above"))
+        tight = written(pairs.where(F.col("pairs") >= TIGHT * F.pow("above", F.lit(2))).select("parent"))
+        loose = rest
+        if not tight.isEmpty():
+            nodes = tight.withColumnRenamed("parent", "node")
+            dealt.append(rest.join(nodes, "node", "left_semi"))
+            loose, children = rest.join(nodes, "node", "left_anti"), children.join(tight, "parent", "left_anti")
+        if depth == 0:
+            divided = _trees(loose)
+        level = written(children.select("cls", "n", "tree", "node").join(sizes.select("node", "rows", "weight"), "node"))
+    columns = ["tree", "node", "cls", "n", "rows", "weight"]
+    together = written(_union([f.select(*columns) for f in dealt])) if dealt else None
+    return _union(done), together, divided if divided is not None else _trees(rest)
+
+
+def _trees(rest: DataFrame) -> DataFrame:
+    """For each class the trees of its rows, as bits."""
+    bit = F.expr("shiftleft(1, tree)").alias("bit")
+    return written(rest.select("cls", bit).groupBy("cls").agg(F.bit_or("bit").alias("mask")))
 
 
 def _branched(rest: DataFrame, classes: DataFrame) -> DataFrame:
     """Every row in BRANCHES children of its node: by the tokens that the node's number chooses."""
     branch = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES - 1))).alias("branch")
-    chosen = rest.select("tree", "node", "cls", "n", branch).withColumn(
+    chosen = rest.select("tree", "node", "cls", "n", "rows", branch).withColumn(
         "choice", F.lit(TREES + 1) + F.pmod(F.xxhash64("node", "branch"), F.lit(TOKENS - TREES)).cast("int")
     )
     with_tokens = chosen.join(classes.select("cls", "tokens"), "cls")
     child = F.xxhash64("node", "branch", F.element_at("tokens", F.col("choice")))
-    return with_tokens.select("cls", "n", "tree", child.alias("node"))
+    return with_tokens.select("cls", "n", "tree", child.alias("node"), F.col("node").alias("parent"), F.col("rows").alias("above"))
 
 
-def _dealt(rest: DataFrame) -> DataFrame:
-    """Nodes that no token divides, in blocks of classes: every two blocks of a node meet in one task."""
-    parts = F.greatest(F.ceil(F.col("rows") * 2 / NODE_ROWS), F.ceil(F.col("weight") * 2 / NODE_SHINGLES)).cast("int")
-    block = rest.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-    pairs = block.select("tree", "node", "cls", "own", F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
-    meeting = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return pairs.select("tree", meeting.alias("node"), "cls")
+def _parts(rows: str, weight: str) -> Column:
+    """Number of blocks, two of which one task compares."""
+    return F.greatest(F.ceil(F.col(rows) * 2 / NODE_ROWS), F.ceil(F.col(weight) * 2 / NODE_SHINGLES)).cast("int")
+
+
+def _blocks(tight: DataFrame) -> DataFrame:
+    """Rows (tree, node, cls, hub) of the tight nodes' blocks; the hubs of a node are in each of its blocks."""
+    split = tight.withColumn("parts", _parts("rows", "weight"))
+    order = Window.partitionBy("node").orderBy(F.xxhash64("node", "cls"), "cls")
+    hubs = split.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    hubs = written(hubs.select("tree", "node", "cls", "parts"))
+    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    rows = split.join(hubs.select("node", "cls"), ["node", "cls"], "left_anti").select(
+        "tree", F.xxhash64("node", own).alias("node"), "cls", F.lit(False).alias("hub")
+    )
+    every = hubs.select("tree", "node", "cls", F.explode(F.expr("sequence(0, parts - 1)")).alias("own"))
+    return rows.unionByName(every.select("tree", F.xxhash64("node", "own").alias("node"), "cls", F.lit(True).alias("hub")))
+
+
+def _meetings(tight: DataFrame) -> DataFrame:
+    """Rows (tree, node, cls, root, side) by which every two rows of a tight node with different roots meet in one task.
+
+    The rows of a node's largest component are dealt in blocks, and so are the others; every block of the others meets
+    every block, of these and of the component. The two sides of a meeting are compared; -1: all rows.
+    """
+    count, weight = F.count("*").alias("rows"), F.sum("n").alias("weight")
+    roots = tight.groupBy("node", "root").agg(count, weight)
+    tops = roots.groupBy("node").agg(
+        F.max(F.struct("rows", "weight", "root")).alias("top"), F.sum("rows").alias("rows"), F.sum("weight").alias("weight")
+    ).where("top.rows < rows")
+    tops = tops.select(
+        "node", F.col("top.root").alias("most"), F.col("top.rows").alias("most_rows"), F.col("top.weight").alias("most_weight"),
+        (F.col("rows") - F.col("top.rows")).alias("rest_rows"), (F.col("weight") - F.col("top.weight")).alias("rest_weight"),
+    )
+    parts = written(tops.select(
+        "node", "most", _parts("most_rows", "most_weight").alias("most_parts"), _parts("rest_rows", "rest_weight").alias("rest_parts")
+    ))
+    rows = tight.select("tree", "node", "cls", "root").join(parts, "node")
+    of_most = F.col("root") == F.col("most")
+
+    def own(of: str) -> Column:
+        return F.pmod(F.xxhash64("cls"), F.col(of)).cast("int").alias("own")
+
+    def each(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1)).alias("other")
+
+    def met(kind: int, first: str | Column, second: str | Column) -> Column:
+        return F.xxhash64("node", F.lit(kind), first, second).alias("node")
+
+    named = ["tree", "node", "cls", "root"]
+    most = rows.where(of_most).select(*named, own("most_parts"), each("rest_parts"))
+    rest = rows.where(~of_most).select(*named, own("rest_parts"), each("most_parts"))
+    among = rows.where(~of_most).select(*named, own("rest_parts"), each("rest_parts"))
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return _union([
+        most.select("tree", met(0, "own", "other"), "cls", "root", F.lit(0).alias("side")),
+        rest.select("tree", met(0, "other", "own"), "cls", "root", F.lit(1).alias("side")),
+        among.select("tree", met(1, F.least("own", "other"), F.greatest("own", "other")), "cls", "root", side.alias("side")),
+    ])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -157,19 +237,41 @@ def _likely_partner(tokens: np.ndarray) -> np.ndarray:
     """For each row of a node the first other row whose tokens make a link likely, -1 for none."""
     n = len(tokens)
     out = np.full(n, -1, np.int64)
+    low = np.ascontiguousarray(tokens.T.astype(np.uint8))  # equal tokens have equal bytes
     for start in range(0, n, 64):
-        equal = np.zeros((min(64, n - start), n), np.int16)
+        equal = np.zeros((min(64, n - start), n), np.uint8)
         for t in range(TOKENS):
-            equal += tokens[start : start + 64, t, None] == tokens[None, :, t]
+            equal += low[t, start : start + 64, None] == low[t, None, :]
         equal[np.arange(len(equal)), np.arange(start, start + len(equal))] = 0
         likely = equal >= LIKELY
-        out[start : start + 64] = np.where(likely.any(1), likely.argmax(1), -1)
+        rows = np.flatnonzero(likely.any(1))
+        while len(rows):
+            first = likely[rows].argmax(1)
+            sure = (tokens[start + rows] == tokens[first]).sum(1) >= LIKELY
+            out[start + rows[sure]] = first[sure]
+            rows, first = rows[~sure], first[~sure]
+            likely[rows, first] = False
+            rows = rows[likely[rows].any(1)]
     return out
 
 
+def _best_hub(tokens: np.ndarray, hubs: int) -> np.ndarray:
+    """For each row of a block the other row, of its first ``hubs``, with the most equal tokens; -1 if no link is likely."""
+    equal = np.zeros((len(tokens), hubs), np.uint8)
+    for t in range(TOKENS):
+        equal += tokens[:, t, None] == tokens[None, :hubs, t]
+    equal[np.arange(hubs), np.arange(hubs)] = 0
+    return np.where(equal.max(1) >= LIKELY, equal.argmax(1), -1)
+
+
 def _likely(nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of the nodes that have a likely partner in their node, with the first such partner."""
-    schema = pa.schema([("tree", pa.int32()), ("node", pa.int64()), ("cls", pa.int64()), ("mate", pa.int64())])
+    """Rows of the nodes that have a likely partner in their node, with the first such partner.
+
+    Where a node is a block, which has hubs, the most likely hub goes before.
+    """
+    schema = pa.schema([
+        ("tree", pa.int32()), ("node", pa.int64()), ("cls", pa.int64()), ("mate", pa.int64()), ("block", pa.bool_())
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "node"):
@@ -178,19 +280,24 @@ def _likely(nodes: DataFrame, classes: DataFrame) -> DataFrame:
             bounds = bounds_of(batch.column("node").to_numpy())
             mates = np.full(len(cls), -1, np.int64)
             sizes = np.diff(bounds)
-            two = bounds[:-1][sizes == 2]
+            hubs = np.add.reduceat(batch.column("hub").to_numpy(zero_copy_only=False).astype(np.int64), bounds[:-1])
+            two = bounds[:-1][(sizes == 2) & (hubs == 0)]
             close = two[(tokens[two] == tokens[two + 1]).sum(1) >= LIKELY]
             mates[close], mates[close + 1] = close + 1, close
-            for start, n in zip(bounds[:-1][sizes > 2], sizes[sizes > 2]):
+            larger = (sizes > 2) | (hubs > 0)
+            for start, n, h in zip(bounds[:-1][larger], sizes[larger], hubs[larger]):
                 mate = _likely_partner(tokens[start : start + n])
+                if h:
+                    best = _best_hub(tokens[start : start + n], h)
+                    mate = np.where(best < 0, mate, best)
                 mates[start : start + n] = np.where(mate < 0, -1, mate + start)
             kept = np.flatnonzero(mates >= 0)
             columns = {n: batch.column(n).take(pa.array(kept)) for n in ("tree", "node", "cls")}
-            yield record(columns | {"mate": cls[mates[kept]]}, schema)
+            yield record(columns | {"mate": cls[mates[kept]], "block": np.repeat(hubs > 0, sizes)[kept]}, schema)
 
-    rows = nodes.join(classes.select("cls", "tokens"), "cls").select("tree", "node", "cls", "tokens")
-    sorted_rows = rows.repartition("node").sortWithinPartitions("node", "cls")
-    return sorted_rows.mapInArrow(released(run), "tree int, node long, cls long, mate long")
+    rows = nodes.join(classes.select("cls", "tokens"), "cls").select("tree", "node", "cls", "hub", "tokens")
+    sorted_rows = rows.repartition("node").sortWithinPartitions("node", F.desc("hub"), "cls")
+    return sorted_rows.mapInArrow(released(run), "tree int, node long, cls long, mate long, block boolean")
 
 
 def _sets(df: DataFrame, text_col: str, active: DataFrame) -> DataFrame:
@@ -242,61 +349,84 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.select("hub", "salt", "cls", "shingles").mapInArrow(released(run), "a long, b long")
 
 
-def _find(parent: dict, x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
+class _Common:
+    """Shingles that several sets of a node have, the most frequent as bits: an upper bound of two sets' intersection."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        _, places, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")[: min(COLUMNS, int((counts > 1).sum()))]
+        column = np.full(len(counts), -1, np.int64)
+        column[order] = np.arange(len(order))
+        own, column = np.repeat(np.arange(len(sets)), self.sizes), column[places]
+        among = counts[places] > 1
+        self.others = np.bincount(own[among & (column < 0)], minlength=len(sets))  # shingles beyond the columns
+        self.bits = np.zeros((len(sets), -(-len(order) // 64) * 8), np.uint8)
+        kept = column >= 0
+        np.bitwise_or.at(self.bits, (own[kept], column[kept] >> 3), np.uint8(1) << (column[kept] & 7).astype(np.uint8))
+        self.bits = self.bits.view(np.uint64)
+
+    def may_link(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Whether a set can be linked with others, by the bits; ``similar`` has the last word."""
+        both = np.bitwise_count(self.bits[others] & self.bits[i]).sum(1, dtype=np.int64)
+        both += np.minimum(self.others[others], self.others[i])
+        return 100 * both >= PERCENT * (self.sizes[others] + self.sizes[i] - both)
 
 
-def _links_in_node(tree: int, tokens: np.ndarray, masks: np.ndarray, roots: np.ndarray,
+def _links_in_node(tree: int, tokens: np.ndarray, masks: np.ndarray, roots: np.ndarray, sides: np.ndarray,
                    sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that join different components of a node's rows, each confirmed on the full sets.
 
-    Pairs that an earlier tree's undivided node has compared are left to it.
+    Pairs that an earlier tree's undivided node has compared are left to it. Of a meeting the two sides are compared.
     """
-    parent = {int(r): int(r) for r in roots}
+    label = roots.copy()
+    common, met = None, 0
+    bits = 1 << np.arange(tree)
+    whole = sides[0] < 0
+    second = np.flatnonzero(sides == 0)
     out = []
-    for i in range(len(tokens) - 1):
-        others = np.arange(i + 1, len(tokens))
-        others = others[roots[others] != roots[i]]
+    for i in range(len(tokens) - 1) if whole else np.flatnonzero(sides == 1):
+        others = np.arange(i + 1, len(tokens)) if whole else second
+        others = others[label[others] != label[i]]
         same = tokens[others] == tokens[i]
-        near = same.sum(1)
-        if tree:
-            bits = 1 << np.arange(tree)
+        likely = same.sum(1) >= LIKELY
+        others = others[likely]
+        if tree and len(others):
             divided = ((masks[others, None] | masks[i]) & bits) > 0
-            fresh = ~(same[:, :tree] & ~divided).any(1)
-        else:
-            fresh = True
-        others = others[(near >= LIKELY) & fresh]
+            others = others[~(same[likely, :tree] & ~divided).any(1)]
+        met += len(others)
+        if met > len(tokens):  # else the bits cost more than they save
+            if common is None:
+                common = _Common(sets)
+            others = others[common.may_link(i, others)]
         for j in others:
-            a, b = _find(parent, int(roots[i])), _find(parent, int(roots[j]))
+            a, b = sorted((int(label[i]), int(label[j])))
             if a != b and similar(sets[i], sets[j]):
-                parent[max(a, b)] = min(a, b)
-                out.append((int(roots[i]), int(roots[j])))
+                label[label == b] = a
+                out.append((a, b))
     return out
 
 
 def _links_between(rows: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components, from the nodes that hold rows of several."""
+    """Links between components, from the nodes and meetings that hold rows of several."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "node"):
             tokens = _lists(batch.column("tokens"), TOKENS, np.int32)
             roots, masks = batch.column("root").to_numpy(), batch.column("mask").to_numpy()
-            trees = batch.column("tree").to_numpy()
+            trees, sides = batch.column("tree").to_numpy(), batch.column("side").to_numpy()
             bounds = bounds_of(batch.column("node").to_numpy())
             found = []
             for start, end in zip(bounds[:-1], bounds[1:]):
                 sets_here = [np.frombuffer(s.as_py(), np.uint64) for s in batch.column("shingles").slice(start, end - start)]
                 part = slice(start, end)
-                found += _links_in_node(int(trees[start]), tokens[part], masks[part], roots[part], sets_here)
+                found += _links_in_node(int(trees[start]), tokens[part], masks[part], roots[part], sides[part], sets_here)
             yield record({"a": [x for x, _ in found], "b": [y for _, y in found]}, schema)
 
     full = rows.join(classes.select("cls", "tokens"), "cls").join(sets, "cls")
     dealt = full.repartition("node").sortWithinPartitions("node", "cls")
-    columns = ["tree", "node", "tokens", "root", "mask", "shingles"]
+    columns = ["tree", "node", "tokens", "root", "mask", "side", "shingles"]
     return dealt.select(*columns).mapInArrow(released(run), "a long, b long")
 
 
@@ -319,9 +449,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("id").alias("low"), F.min("place").alias("place"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
     )
     classes = written(grouped.withColumn("cls", F.monotonically_increasing_id()))
-    nodes, divided = _nodes(classes)
-    rows = written(_likely(nodes, classes))
-    roots = _linked(df, text_col, classes, rows, divided)
+    nodes, tight, divided = _nodes(classes)
+    nodes = nodes.withColumn("hub", F.lit(False))
+    rows = written(_likely(nodes if tight is None else nodes.unionByName(_blocks(tight)), classes))
+    roots = _linked(df, text_col, classes, rows, tight, divided)
     rooted = _roots(classes.select("cls", "print", "low"), roots, "cls")
     lows = written(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
     named = written(rooted.join(lows, "root").select("print", "root", "component_id"))
@@ -333,15 +464,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       "root", "place")
 
 
-def _linked(df: DataFrame, text_col: str, classes: DataFrame, rows: DataFrame, divided: DataFrame) -> DataFrame:
+def _linked(
+    df: DataFrame, text_col: str, classes: DataFrame, rows: DataFrame, tight: DataFrame | None, divided: DataFrame
+) -> DataFrame:
     """Components of the classes: links to each row's first partner, then those between components."""
-    pairs = rows.where("mate < cls").select(F.col("mate").alias("hub"), "cls").distinct()
-    active = rows.select("cls").distinct()
+    pairs = rows.where("block OR mate < cls").select(F.col("mate").alias("hub"), "cls").distinct()
+    rows = rows.where("NOT block")
+    active = rows.select("cls").distinct() if tight is None else _union([rows.select("cls"), tight.select("cls")]).distinct()
     sets = written(_sets(df, text_col, classes.join(active, "cls", "left_semi").select("cls", "print", "place")))
     first = components(_verified(pairs, sets))
     rooted = written(_roots(rows.select("tree", "node", "cls"), first, "cls"))
     mixed = rooted.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("node")
-    open_rows = rooted.join(mixed, "node", "left_semi").join(divided, "cls", "left").fillna(0, ["mask"])
+    open_rows = rooted.join(mixed, "node", "left_semi").withColumn("side", F.lit(-1))
+    if tight is not None:
+        open_rows = open_rows.unionByName(_meetings(written(_roots(tight, first, "cls"))))
+    open_rows = open_rows.join(divided, "cls", "left").fillna(0, ["mask"])
     second = components(_links_between(open_rows, classes, sets))
     joined = _roots(first.select("id", F.col("root").alias("before")), second, "before").select("id", "root")
     lone = second.join(first, "id", "left_anti")

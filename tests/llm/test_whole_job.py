@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from martkit.llm import lang_id, licenses, lm_score, quality, suffix_dedup, tables
+from martkit.llm import lang_id, licenses, lm_score, near_dedup, quality, suffix_dedup, tables
 from tests.helpers import frame
 
 
@@ -170,3 +170,73 @@ def test_pipeline_cuts_passages_of_fifty_words(spark, docs, monkeypatch, hot):
     assert {i: t.split() for i, t in got.items()} == {i: w for i, w in want.items() if i < 65}
     assert got[60] == got[61] == "" and sum(t == texts[i] for i, t in got.items()) > 5
     assert sum(1 for i, t in texts.items() if len(t.split()) > len(want[i])) > 20
+
+
+# --- near copies ------------------------------------------------------------------
+
+
+def edited_copies(texts: int, copies: int) -> list[str]:
+    """Copies of some texts, some words of each drawn anew: at the most a third."""
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(5000)]
+    heads = [draw.choices(words, k=120) for _ in range(texts)]
+    rates = [[0.0, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.33][i % 8] for i in range(copies)]
+    return [" ".join(draw.choice(words) if draw.random() < r else w for w in h) for h in heads for r in rates]
+
+
+def plain_components(texts: list[str]) -> list[int]:
+    sets = [near_dedup.shingle_set(t.encode()) for t in texts]
+    own = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if own[i] != own[j] and near_dedup.similar(sets[i], sets[j]):
+                a, b = sorted((own[i], own[j]))
+                own = [a if x == b else x for x in own]
+    return own
+
+
+def test_near_copies_of_one_text_do_not_multiply(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE_ROWS", 12)
+    monkeypatch.setattr(near_dedup, "HUBS", 3, raising=False)
+    counts, likely = [], near_dedup._likely
+
+    def counted(nodes, classes):
+        counts.append(nodes.count())
+        return likely(nodes, classes)
+
+    monkeypatch.setattr(near_dedup, "_likely", counted)
+    texts = edited_copies(2, 120)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.document_duplicates(docs(*enumerate(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_components(texts)
+    assert counts[0] < 3 * near_dedup.TREES * len(texts)
+
+
+def test_meetings_compare_every_two_rows_of_different_components_once_on_two_sides(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE_ROWS", 6)
+    roots = [0] * 14 + [1] * 5 + list(range(20, 27))
+    rows = [(0, 7, i, 10, 26, 260, root) for i, root in enumerate(roots)]
+    tight = frame(spark, "tree int, node long, cls long, n long, rows long, weight long, root long", *rows)
+    met = defaultdict(list)
+    for r in near_dedup._meetings(tight).collect():
+        met[r["node"]].append((r["side"], r["cls"]))
+    pairs = []
+    for members in met.values():
+        assert len(members) <= 24
+        pairs += [tuple(sorted((x, y))) for s, x in members for t, y in members if (s == t == -1 and x < y) or (s, t) == (0, 1)]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) >= {(x, y) for x in range(26) for y in range(x + 1, 26) if roots[x] != roots[y]}
+    assert not near_dedup._meetings(tight.where("root = 0")).collect()
+
+
+def test_bits_of_a_node_bound_what_sets_share(monkeypatch):
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 300, n).astype(np.uint64)) for n in draw.integers(1, 200, 60)]
+    sets += [np.append(s[: len(s) * 9 // 10], np.uint64(1000 + i)) for i, s in enumerate(sets)]
+    for columns in (1 << 14, 64, 5):
+        monkeypatch.setattr(near_dedup, "COLUMNS", columns)
+        common = near_dedup._Common(sets)
+        for i, one in enumerate(sets):
+            others = np.delete(np.arange(len(sets)), i)
+            may = common.may_link(i, others)
+            want = np.array([near_dedup.similar(one, sets[j]) for j in others])
+            assert not (want & ~may).any() and (columns < 300 or (want == may).all())
