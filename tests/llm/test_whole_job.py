@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -240,3 +240,28 @@ def test_bits_of_a_node_bound_what_sets_share(monkeypatch):
             may = common.may_link(i, others)
             want = np.array([near_dedup.similar(one, sets[j]) for j in others])
             assert not (want & ~may).any() and (columns < 300 or (want == may).all())
+
+
+# --- repeated passages of words ---------------------------------------------------
+
+
+def test_word_passages_are_sorted_by_short_codes(monkeypatch):
+    draw = np.random.default_rng(5)
+    sorted_bytes, plain = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, depth: sorted_bytes.append(len(text)) or plain(text, depth))
+    measure = suffix_dedup.Measure(4, 2, 8)
+    for kinds in (1, 2, 200, 256, 257, 3000):
+        words = draw.integers(0, 2**63, kinds, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        numbers = [draw.integers(0, kinds, 40) for _ in range(30)]
+        numbers += [np.concatenate([draw.integers(0, kinds, 5), x[10:20], draw.integers(0, kinds, 5)]) for x in numbers[:10]]
+        starts = [len(x) - 3 for x in numbers]
+        twice = draw.random(len(numbers)) < 0.1
+        found = Counter()
+        for x, more in zip(numbers, twice):
+            found.update({tuple(x[i : i + 4]): 0 for i in range(len(x) - 3)})
+            for i in range(len(x) - 3):
+                found[tuple(x[i : i + 4])] += 2 if more else 1
+        flags = [[found[tuple(x[i : i + 4])] > 1 for i in range(len(x) - 3)] for x in numbers]
+        want = [np.flatnonzero(np.diff(f, prepend=False, append=False)).tolist() for f in flags]
+        assert suffix_dedup.repeated_starts([words[x].tobytes() for x in numbers], starts, twice, measure) == want
+        assert sorted_bytes.pop() <= (1 if kinds <= 256 else 2) * sum(map(len, numbers))
